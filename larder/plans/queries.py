@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.operators import resolve as R
+from larder.plans.materialize import materialize
 from larder.sources import testdata as V
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,7 +26,8 @@ def query(name: str):
 
 
 def resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.resolve_catalog(V.catalog(spark, sf_dir))
+    """The resolved catalog, checkpointed: every later stage reads it."""
+    return materialize(R.resolve_catalog(V.catalog(spark, sf_dir)))
 
 
 SERVINGS_COLS = [
@@ -68,3 +70,54 @@ def q_servings_resolution(spark, sf_dir):
 def q_time_resolution(spark, sf_dir):
     """Derived and imputed prep / cook / total minutes."""
     return resolved(spark, sf_dir).select("RecipeId", *TIME_COLS)
+
+
+# -- resolution summaries (A10-A16) and contract C1 ---------------------------
+
+from larder.operators import summaries as S  # noqa: E402
+
+
+@query("category_summary")
+def q_category_summary(spark, sf_dir):
+    return S.category_summary(resolved(spark, sf_dir))
+
+
+@query("servings_summary")
+def q_servings_summary(spark, sf_dir):
+    return S.servings_summary(resolved(spark, sf_dir))
+
+
+@query("yield_unit_counts")
+def q_yield_unit_counts(spark, sf_dir):
+    return S.yield_unit_counts(resolved(spark, sf_dir))
+
+
+@query("time_presence")
+def q_time_presence(spark, sf_dir):
+    return S.time_presence(resolved(spark, sf_dir))
+
+
+@query("time_consistency")
+def q_time_consistency(spark, sf_dir):
+    return S.time_consistency(resolved(spark, sf_dir), variant="script")
+
+
+@query("time_consistency_eda")
+def q_time_consistency_eda(spark, sf_dir):
+    return S.time_consistency(resolved(spark, sf_dir), variant="eda")
+
+
+@query("time_derivation")
+def q_time_derivation(spark, sf_dir):
+    return S.time_derivation(resolved(spark, sf_dir))
+
+
+@query("time_imputation")
+def q_time_imputation(spark, sf_dir):
+    return S.time_imputation(resolved(spark, sf_dir))
+
+
+@query("resolved_contract")
+def q_resolved_contract(spark, sf_dir):
+    src = V.catalog(spark, sf_dir)
+    return S.resolved_contract(src, R.resolve_catalog(src))

@@ -196,3 +196,154 @@ SELECT RecipeId, RecipeCategory_clean, {SERVINGS_COLS} FROM resolved"""
 
 SQL["time_resolution"] = f"""{with_resolved()}
 SELECT RecipeId, {TIME_COLS} FROM resolved"""
+
+
+# -- resolution summaries -------------------------------------------------------
+
+def pctd(count: str, total: str) -> str:
+    return (f"(CASE WHEN ({total}) = 0 THEN 0.0 ELSE "
+            f"round(CAST(100 AS DOUBLE) * ({count}) / ({total}), 4) END)")
+
+
+def unpivot(agg_sql: str, rows: list[tuple[str, dict[str, str]]]) -> str:
+    """``SELECT 'metric', cols FROM agg UNION ALL ...`` over a one-row CTE."""
+    parts = []
+    for name, cols in rows:
+        sel = ", ".join(f"{expr} AS {alias}" for alias, expr in cols.items())
+        parts.append(f"SELECT {q(name)} AS metric, {sel} FROM a")
+    return f", a AS ({agg_sql})\n" + "\nUNION ALL ".join(parts)
+
+
+def cnt(cond: str) -> str:
+    return f"CAST(SUM(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT)"
+
+
+SQL["category_summary"] = f"""{with_resolved()}
+SELECT total_recipes, category_missing_count, {pctd('category_missing_count', 'total_recipes')} AS category_missing_percent,
+  total_recipes - category_missing_count AS category_present_count,
+  {pctd('total_recipes - category_missing_count', 'total_recipes')} AS category_present_percent
+FROM (SELECT COUNT(*) AS total_recipes, CAST(SUM(category_missing_original) AS BIGINT) AS category_missing_count
+      FROM resolved)"""
+
+_serv_counts = {
+    "total_recipes": "COUNT(*)",
+    "servings_only": cnt("RecipeServings_clean IS NOT NULL AND RecipeYield_clean IS NULL"),
+    "yield_only": cnt("RecipeServings_clean IS NULL AND RecipeYield_clean IS NOT NULL"),
+    "both_present": cnt("RecipeServings_clean IS NOT NULL AND RecipeYield_clean IS NOT NULL"),
+    "both_missing": cnt("RecipeServings_clean IS NULL AND RecipeYield_clean IS NULL"),
+    "parsed_from_yield": "CAST(SUM(servings_from_yield) AS BIGINT)",
+    "still_missing_after_yield_parse": "CAST(SUM(servings_missing_after_yield_parse) AS BIGINT)",
+    "imputed_with_category_median": "CAST(SUM(servings_imputed_with_category_median) AS BIGINT)",
+    "imputed_with_global_median": "CAST(SUM(servings_imputed_with_global_median) AS BIGINT)",
+}
+SQL["servings_summary"] = with_resolved() + unpivot(
+    "SELECT " + ", ".join(f"{v} AS {k}" for k, v in _serv_counts.items())
+    + ", median(ResolvedServings) AS mb, median(ResolvedServings_imputed) AS ma FROM resolved",
+    [(k, {"count": k, "percent_total_dataset": pctd(k, "total_recipes"), "value": "CAST(NULL AS DOUBLE)"})
+     for k in _serv_counts]
+    + [("median_resolved_servings_before_imputation",
+        {"count": "CAST(NULL AS BIGINT)", "percent_total_dataset": "CAST(NULL AS DOUBLE)", "value": "mb"}),
+       ("median_resolved_servings_after_imputation",
+        {"count": "CAST(NULL AS BIGINT)", "percent_total_dataset": "CAST(NULL AS DOUBLE)", "value": "ma"})])
+
+SQL["yield_unit_counts"] = f"""{with_resolved()}
+SELECT yield_unit_token, COUNT(*) AS recipe_count FROM resolved WHERE yield_unit_token <> ''
+GROUP BY yield_unit_token ORDER BY recipe_count DESC, yield_unit_token"""
+
+_P, _C, _T = ("PrepTime_Minutes_clean IS NOT NULL", "CookTime_Minutes_clean IS NOT NULL",
+              "TotalTime_Minutes_clean IS NOT NULL")
+_presence = {
+    "all_three_present": f"{_P} AND {_C} AND {_T}",
+    "prep_cook_present_total_missing": f"{_P} AND {_C} AND NOT ({_T})",
+    "prep_total_present_cook_missing": f"{_P} AND NOT ({_C}) AND {_T}",
+    "cook_total_present_prep_missing": f"NOT ({_P}) AND {_C} AND {_T}",
+    "only_prep_present": f"{_P} AND NOT ({_C}) AND NOT ({_T})",
+    "only_cook_present": f"NOT ({_P}) AND {_C} AND NOT ({_T})",
+    "only_total_present": f"NOT ({_P}) AND NOT ({_C}) AND {_T}",
+    "all_three_missing": f"NOT ({_P}) AND NOT ({_C}) AND NOT ({_T})",
+}
+SQL["time_presence"] = with_resolved() + unpivot(
+    "SELECT COUNT(*) AS total_recipes, " + ", ".join(f"{cnt(v)} AS {k}" for k, v in _presence.items())
+    + " FROM resolved",
+    [(k, {"count": k, "percent_total_dataset": pctd(k, "total_recipes")})
+     for k in list(_presence) + ["total_recipes"]])
+
+
+def _consistency_sql(variant: str) -> str:
+    atol = "1e-08" if variant == "script" else "1e-06"
+    p, c, t = "PrepTime_Minutes_clean", "CookTime_Minutes_clean", "TotalTime_Minutes_clean"
+
+    def close(a, b):
+        return f"coalesce(abs(({a}) - ({b})) <= {atol} + 1e-05 * abs({b}), false)"
+
+    all3 = f"{_P} AND {_C} AND {_T}"
+    cm = f"{_P} AND {_T} AND NOT ({_C})"
+    pm = f"{_C} AND {_T} AND NOT ({_P})"
+    ptb = f"coalesce({t} < {p}, false)" if variant == "script" else f"NOT {close(p, t)}"
+    ctb = f"coalesce({t} < {c}, false)" if variant == "script" else f"NOT {close(c, t)}"
+    metrics = [
+        ("all_three_present", all3, "total"),
+        ("total_equals_prep_plus_cook", f"{all3} AND {close(t, p + ' + ' + c)}", "all_three_present"),
+        ("total_mismatch_when_all_present", f"{all3} AND NOT {close(t, p + ' + ' + c)}", "all_three_present"),
+        ("cook_missing_prep_total_present", cm, "total"),
+        ("prep_equals_total_when_cook_missing", f"{cm} AND {close(p, t)}", "cook_missing_prep_total_present"),
+        ("prep_total_mismatch_when_cook_missing", f"{cm} AND {ptb}", "cook_missing_prep_total_present"),
+        ("prep_missing_cook_total_present", pm, "total"),
+        ("cook_equals_total_when_prep_missing", f"{pm} AND {close(c, t)}", "prep_missing_cook_total_present"),
+        ("cook_total_mismatch_when_prep_missing", f"{pm} AND {ctb}", "prep_missing_cook_total_present"),
+        ("recoverable_total_missing", f"{_P} AND {_C} AND NOT ({_T})", "total"),
+    ]
+    rows = []
+    for name, _, rel in metrics:
+        within = pctd(name, rel)
+        if variant != "script":
+            within = f"(CASE WHEN {rel} = 0 THEN CAST(NULL AS DOUBLE) ELSE {within} END)"
+        rows.append((name, {"count": name, "percent_total_dataset": pctd(name, "total"),
+                            "percent_within_relevant_case": within}))
+    return with_resolved() + unpivot(
+        "SELECT COUNT(*) AS total, " + ", ".join(f"{cnt(cond)} AS {n}" for n, cond, _ in metrics)
+        + " FROM resolved", rows)
+
+
+SQL["time_consistency"] = _consistency_sql("script")
+SQL["time_consistency_eda"] = _consistency_sql("eda")
+
+_rules = [("can_derive_cooktime", "cooktime_derived_from_total_prep"),
+          ("can_derive_preptime", "preptime_derived_from_total_cook"),
+          ("can_derive_totaltime", "totaltime_derived_from_prep_cook")]
+SQL["time_derivation"] = with_resolved() + unpivot(
+    "SELECT COUNT(*) AS total, " + ", ".join(f"CAST(SUM({c}) AS BIGINT) AS {m}" for m, c in _rules)
+    + " FROM resolved",
+    [(m, {"count": m, "percent_total_dataset": pctd(m, "total")}) for m, _ in _rules])
+
+_ti = [("CookTime_Minutes", "cooktime"), ("PrepTime_Minutes", "preptime"), ("TotalTime_Minutes", "totaltime")]
+SQL["time_imputation"] = with_resolved() + unpivot(
+    "SELECT COUNT(*) AS total, " + ", ".join(
+        f"{cnt(b + '_clean IS NULL')} AS {p}_orig, {cnt(b + '_resolved IS NULL')} AS {p}_res, "
+        f"{cnt(b + '_imputed IS NULL')} AS {p}_final, "
+        f"CAST(SUM({p}_imputed_with_category_median) AS BIGINT) AS {p}_cat, "
+        f"CAST(SUM({p}_imputed_with_global_median) AS BIGINT) AS {p}_glob" for b, p in _ti)
+    + " FROM resolved",
+    [(b, {"original_missing_count": f"{p}_orig", "resolved_missing_count": f"{p}_res",
+          "imputed_with_category_median_count": f"{p}_cat",
+          "imputed_with_global_median_count": f"{p}_glob", "final_missing_count": f"{p}_final",
+          "original_missing_percent": pctd(f"{p}_orig", "total"),
+          "resolved_missing_percent": pctd(f"{p}_res", "total"),
+          "final_missing_percent": pctd(f"{p}_final", "total")}) for b, p in _ti])
+
+_final = ["ResolvedServings_imputed", "CookTime_Minutes_imputed", "PrepTime_Minutes_imputed",
+          "TotalTime_Minutes_imputed"]
+SQL["resolved_contract"] = with_resolved() + """
+, src AS (SELECT COUNT(*) AS src_rows,
+    COUNT(DISTINCT RecipeId) + MAX(CASE WHEN RecipeId IS NULL THEN 1 ELSE 0 END) AS src_ids FROM catalog)
+, res AS (SELECT COUNT(*) AS rows_,
+    COUNT(DISTINCT RecipeId) + MAX(CASE WHEN RecipeId IS NULL THEN 1 ELSE 0 END) AS ids,
+    CAST(SUM(time_arithmetic_mismatch) AS BIGINT) AS mismatch, """ + ", ".join(
+    f"{cnt(c + ' IS NULL')} AS {c}__null, {cnt(c + ' < 0')} AS {c}__neg" for c in _final) + """ FROM resolved)
+, a AS (SELECT * FROM res CROSS JOIN src)
+SELECT 'row_count_kept' AS "check", CAST(abs(rows_ - src_rows) AS BIGINT) AS violations, 'error' AS severity FROM a
+UNION ALL SELECT 'distinct_ids_kept', CAST(abs(ids - src_ids) AS BIGINT), 'error' FROM a
+""" + "".join(
+    f"UNION ALL SELECT '{c}_non_null', {c}__null, 'error' FROM a\n"
+    f"UNION ALL SELECT '{c}_non_negative', {c}__neg, 'error' FROM a\n" for c in _final) + \
+    "UNION ALL SELECT 'time_arithmetic_mismatch', mismatch, 'warning' FROM a"
