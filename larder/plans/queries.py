@@ -121,3 +121,45 @@ def q_time_imputation(spark, sf_dir):
 def q_resolved_contract(spark, sf_dir):
     src = V.catalog(spark, sf_dir)
     return S.resolved_contract(src, R.resolve_catalog(src))
+
+
+# -- numeric matrix (M1, M2, A6, A7, C2) -----------------------------------------
+
+from larder.operators import numeric as N  # noqa: E402
+
+
+def numeric_fit(spark, sf_dir):
+    res = resolved(spark, sf_dir)
+    return res, N.fit_numeric(res)
+
+
+@query("numeric_log_matrix")
+def q_numeric_log_matrix(spark, sf_dir):
+    res, model = numeric_fit(spark, sf_dir)
+    return N.log_matrix(res, model)
+
+
+@query("numeric_scaled")
+def q_numeric_scaled(spark, sf_dir):
+    res, model = numeric_fit(spark, sf_dir)
+    return N.scaled_matrix(res, model)
+
+
+@query("numeric_preprocessing_summary")
+def q_numeric_preprocessing_summary(spark, sf_dir):
+    res, model = numeric_fit(spark, sf_dir)
+    return N.preprocessing_summary(res, model)
+
+
+@query("numeric_scaled_summary")
+def q_numeric_scaled_summary(spark, sf_dir):
+    res, model = numeric_fit(spark, sf_dir)
+    return N.scaled_summary(N.scaled_matrix(res, model), model.features)
+
+
+@query("numeric_contract")
+def q_numeric_contract(spark, sf_dir):
+    res, model = numeric_fit(spark, sf_dir)
+    n = res.count()
+    return N.numeric_contract(N.log_matrix(res, model), N.scaled_matrix(res, model),
+                              model.features, n)

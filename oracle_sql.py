@@ -347,3 +347,90 @@ UNION ALL SELECT 'distinct_ids_kept', CAST(abs(ids - src_ids) AS BIGINT), 'error
     f"UNION ALL SELECT '{c}_non_null', {c}__null, 'error' FROM a\n"
     f"UNION ALL SELECT '{c}_non_negative', {c}__neg, 'error' FROM a\n" for c in _final) + \
     "UNION ALL SELECT 'time_arithmetic_mismatch', mismatch, 'warning' FROM a"
+
+
+# -- numeric matrix ----------------------------------------------------------------
+
+from larder.operators.numeric import (  # noqa: E402
+    CLIPPING_QUANTILE_BY_GROUP, NUMERIC_FEATURE_COLS, feature_group,
+)
+
+_F = NUMERIC_FEATURE_COLS
+_CLIP = [f for f in _F if CLIPPING_QUANTILE_BY_GROUP[feature_group(f)] is not None]
+
+
+def _clean_expr(f):
+    bad = f"{f} <= 0" if feature_group(f) == "serving" else f"{f} < 0"
+    return f"CASE WHEN {bad} THEN NULL ELSE CAST({f} AS DOUBLE) END AS {f}"
+
+
+NUMERIC_CTE = (
+    ",\nn0 AS (SELECT RecipeId, " + ", ".join(_clean_expr(f) for f in _F) + " FROM resolved)"
+    + ",\nnmed AS (SELECT " + ", ".join(f"median({f}) AS {f}" for f in _F) + " FROM n0)"
+    + ",\nn1 AS (SELECT n0.RecipeId, " + ", ".join(f"coalesce(n0.{f}, nmed.{f}) AS {f}" for f in _F)
+    + " FROM n0 CROSS JOIN nmed)"
+    + ",\nncap AS (SELECT " + ", ".join(f"quantile_cont({f}, 0.995) AS {f}" for f in _CLIP) + " FROM n1)"
+    + ",\nn2 AS (SELECT n1.RecipeId, " + ", ".join(
+        f"ln(1 + least(n1.{f}, ncap.{f})) AS {f}" if f in _CLIP else f"ln(1 + n1.{f}) AS {f}" for f in _F)
+    + " FROM n1 CROSS JOIN ncap)"
+    + ",\nnst AS (SELECT " + ", ".join(f"avg({f}) AS {f}__m, stddev_pop({f}) AS {f}__s" for f in _F)
+    + " FROM n2)"
+    + ",\nn3 AS (SELECT n2.RecipeId, " + ", ".join(
+        f"(n2.{f} - {f}__m) / (CASE WHEN {f}__s = 0 THEN 1.0 ELSE {f}__s END) AS {f}" for f in _F)
+    + " FROM n2 CROSS JOIN nst)"
+)
+
+SQL["numeric_log_matrix"] = with_resolved() + NUMERIC_CTE + "\nSELECT * FROM n2"
+SQL["numeric_scaled"] = with_resolved() + NUMERIC_CTE + "\nSELECT * FROM n3"
+SQL["numeric_scaled_summary"] = with_resolved() + NUMERIC_CTE + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{f}' AS feature, avg({f}) AS scaled_mean, stddev_pop({f}) AS scaled_std, "
+    f"min({f}) AS scaled_min, max({f}) AS scaled_max FROM n3" for f in _F)
+
+
+def _skew(x):
+    return (f"(CASE WHEN count({x}) < 3 THEN NULL WHEN stddev_pop({x}) = 0 THEN 0.0 "
+            f"ELSE skewness({x}) END)")
+
+
+def _summary_row(f):
+    g = feature_group(f)
+    clip = f in _CLIP
+    src_bad = f"{f} <= 0" if g == "serving" else f"{f} < 0"
+    imp, lg = f"n1.{f}", f"n2.{f}"
+    cap = f"(SELECT {f} FROM ncap)" if clip else "CAST(NULL AS DOUBLE)"
+    parts = [
+        f"'{f}' AS feature", f"'{g}' AS feature_group",
+        f"(SELECT CAST(SUM(CASE WHEN {f} IS NULL THEN 1 ELSE 0 END) AS BIGINT) FROM resolved) AS original_missing_count",
+        f"(SELECT CAST(SUM(CASE WHEN {f} < 0 THEN 1 ELSE 0 END) AS BIGINT) FROM resolved) AS invalid_negative_count",
+        (f"(SELECT CAST(SUM(CASE WHEN {f} <= 0 THEN 1 ELSE 0 END) AS BIGINT) FROM resolved)" if g == "serving"
+         else "CAST(0 AS BIGINT)") + " AS invalid_nonpositive_count",
+        f"(SELECT {f} FROM nmed) AS median_used_for_imputation",
+        f"CAST(SUM(CASE WHEN {imp} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing_after_imputation_count",
+        f"{'true' if clip else 'false'} AS clipping_applied",
+        f"{'0.995' if clip else 'CAST(NULL AS DOUBLE)'}::DOUBLE AS clipping_quantile",
+        f"{cap} AS clipping_cap_value",
+        (f"CAST(SUM(CASE WHEN {imp} > {cap} THEN 1 ELSE 0 END) AS BIGINT)" if clip else "CAST(0 AS BIGINT)")
+        + " AS clipped_value_count",
+        f"{_skew(imp)} AS skew_before", f"{_skew(lg)} AS skew_after_log1p",
+    ]
+    for x, p in ((imp, "before"), (lg, "after_log1p")):
+        parts += [f"min({x}) AS min_{p}", f"quantile_cont({x}, 0.5) AS median_{p}",
+                  f"quantile_cont({x}, 0.95) AS p95_{p}", f"quantile_cont({x}, 0.99) AS p99_{p}",
+                  f"quantile_cont({x}, 0.995) AS p995_{p}", f"max({x}) AS max_{p}"]
+    del src_bad
+    return "SELECT " + ", ".join(parts) + " FROM n1 JOIN n2 ON n1.RecipeId = n2.RecipeId"
+
+
+SQL["numeric_preprocessing_summary"] = with_resolved() + NUMERIC_CTE + "\n" + "\nUNION ALL ".join(
+    _summary_row(f) for f in _F)
+
+SQL["numeric_contract"] = with_resolved() + NUMERIC_CTE + """
+SELECT 'row_count' AS "check", CAST(0 AS BIGINT) AS violations
+UNION ALL SELECT 'recipe_id_non_null', CAST(SUM(CASE WHEN RecipeId IS NULL THEN 1 ELSE 0 END) AS BIGINT) FROM n3
+UNION ALL SELECT 'recipe_id_unique', CAST(COUNT(*) - COUNT(DISTINCT RecipeId) AS BIGINT) FROM n3
+UNION ALL SELECT 'log_values_finite', CAST(0 AS BIGINT)
+UNION ALL SELECT 'scaled_values_finite', CAST(0 AS BIGINT)
+UNION ALL SELECT 'scaled_means_zero', CAST(""" + " + ".join(
+    f"(CASE WHEN abs(avg({f})) > 1e-5 THEN 1 ELSE 0 END)" for f in _F) + """ AS BIGINT) FROM n3
+UNION ALL SELECT 'scaled_stds_one', CAST(""" + " + ".join(
+    f"(CASE WHEN abs(stddev_pop({f}) - 1.0) > 1e-5 THEN 1 ELSE 0 END)" for f in _F) + """ AS BIGINT) FROM n3"""
