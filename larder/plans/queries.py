@@ -163,3 +163,85 @@ def q_numeric_contract(spark, sf_dir):
     n = res.count()
     return N.numeric_contract(N.log_matrix(res, model), N.scaled_matrix(res, model),
                               model.features, n)
+
+
+# -- content matrix (F14-F22, M3-M5, A32-A34, C4, J6, W3, P14) --------------------
+
+from larder.operators import content as C  # noqa: E402
+
+CONTENT_SOURCES = {"ingredients": "RecipeIngredientParts", "keywords": "Keywords",
+                   "category": "RecipeCategory_clean", "yield": "yield_unit_token"}
+
+
+def content_docs(spark, sf_dir, res):
+    kept, removed = C.keyword_documents(V.keywords(spark, sf_dir), "RecipeId", "keyword")
+    docs = {
+        "ingredients": C.ingredient_documents(V.ingredients(spark, sf_dir), "RecipeId", "ingredient"),
+        "keywords": kept,
+        "category": C.category_documents(res),
+        "yield": C.yield_documents(res),
+    }
+    return docs, removed
+
+
+def content_model(spark, sf_dir, params=None):
+    res = resolved(spark, sf_dir)
+    docs, _ = content_docs(spark, sf_dir, res)
+    return C.build_content(res.select("RecipeId"), docs, CONTENT_SOURCES, params)
+
+
+@query("ingredient_documents")
+def q_ingredient_documents(spark, sf_dir):
+    """Distinct normalized ingredient tokens per recipe (long form)."""
+    docs = C.ingredient_documents(V.ingredients(spark, sf_dir), "RecipeId", "ingredient")
+    return docs.withColumnRenamed("id", "RecipeId")
+
+
+@query("keyword_removed_time_tags")
+def q_keyword_removed(spark, sf_dir):
+    """time-like keyword tags removed from keyword documents, with counts."""
+    _, removed = C.keyword_documents(V.keywords(spark, sf_dir), "RecipeId", "keyword")
+    return removed
+
+
+@query("tfidf_weighted")
+def q_tfidf_weighted(spark, sf_dir):
+    """The stacked weighted TF-IDF matrix in long form."""
+    m = content_model(spark, sf_dir)
+    return m.matrix.withColumnRenamed("id", "RecipeId")
+
+
+@query("content_features")
+def q_content_features(spark, sf_dir):
+    """Numbered feature dictionary with group, weight, df and idf."""
+    return content_model(spark, sf_dir).features.drop("term")
+
+
+@query("token_summary_ingredients")
+def q_token_summary_ingredients(spark, sf_dir):
+    return C.token_summary(content_model(spark, sf_dir), "ingredients")
+
+
+@query("token_summary_keywords")
+def q_token_summary_keywords(spark, sf_dir):
+    return C.token_summary(content_model(spark, sf_dir), "keywords")
+
+
+@query("category_token_counts")
+def q_category_token_counts(spark, sf_dir):
+    return C.single_token_counts(C.category_documents(resolved(spark, sf_dir)), "category_token")
+
+
+@query("yield_token_counts")
+def q_yield_token_counts(spark, sf_dir):
+    return C.single_token_counts(C.yield_documents(resolved(spark, sf_dir)), "yield_token")
+
+
+@query("content_matrix_summary")
+def q_content_matrix_summary(spark, sf_dir):
+    return C.matrix_summary(spark, content_model(spark, sf_dir))
+
+
+@query("content_contract")
+def q_content_contract(spark, sf_dir):
+    return C.content_contract(content_model(spark, sf_dir))

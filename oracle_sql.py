@@ -434,3 +434,141 @@ UNION ALL SELECT 'scaled_means_zero', CAST(""" + " + ".join(
     f"(CASE WHEN abs(avg({f})) > 1e-5 THEN 1 ELSE 0 END)" for f in _F) + """ AS BIGINT) FROM n3
 UNION ALL SELECT 'scaled_stds_one', CAST(""" + " + ".join(
     f"(CASE WHEN abs(stddev_pop({f}) - 1.0) > 1e-5 THEN 1 ELSE 0 END)" for f in _F) + """ AS BIGINT) FROM n3"""
+
+
+# -- content matrix ------------------------------------------------------------------
+
+from larder.functions.text import TIME_KEYWORD_PATTERNS  # noqa: E402
+from larder.operators.content import (  # noqa: E402
+    DEFAULT_PARAMS, FEATURE_PREFIX, GROUP_ORDER, GROUP_WEIGHTS,
+)
+
+
+def norm_token_sql(x: str) -> str:
+    s = f"lower(trim({x}))"
+    s = f"(CASE WHEN {s} IN ('', 'nan', 'none', 'null') THEN '' ELSE {s} END)"
+    s = f"replace(replace({s}, '&', ' and '), '''', '')"
+    s = f"regexp_replace({s}, '[^\\p{{L}}\\p{{N}}_\\s/-]+', ' ', 'g')"
+    s = f"regexp_replace({s}, '[\\s-]+', '_', 'g')"
+    s = f"regexp_replace({s}, '_+', '_', 'g')"
+    s = f"regexp_replace({s}, '^_+|_+$', '', 'g')"
+    return f"(CASE WHEN {s} IN ('', 'nan', 'none', 'null') THEN '' ELSE {s} END)"
+
+
+_TIME_RE = "|".join(f"(?:{p})" for p in TIME_KEYWORD_PATTERNS)
+_TFIDF = ", ".join(f"'{g}'" for g, p in DEFAULT_PARAMS.items() if p.tfidf)
+_GRANK = " ".join(f"WHEN '{g}' THEN {i}" for i, g in enumerate(GROUP_ORDER))
+_KEEP = " OR ".join(f"(g = '{g}' AND df >= {p.min_df} AND df <= {p.max_df} * n)"
+                    for g, p in DEFAULT_PARAMS.items())
+
+CONTENT_CTE = f""",
+ing_docs AS (
+  SELECT DISTINCT RecipeId AS id, {norm_token_sql('ingredient')} AS token FROM ingredients
+  WHERE {norm_token_sql('ingredient')} <> '' AND RecipeId IN (SELECT RecipeId FROM resolved)),
+kw_tok AS (
+  SELECT RecipeId AS id, {norm_token_sql('keyword')} AS token FROM keywords
+  WHERE RecipeId IN (SELECT RecipeId FROM resolved)),
+kw_docs AS (
+  SELECT DISTINCT id, token FROM kw_tok WHERE token <> '' AND NOT regexp_matches(token, {q(_TIME_RE)})),
+cat_docs AS (
+  SELECT RecipeId AS id, 'category__' || {norm_token_sql('RecipeCategory_clean')} AS token FROM resolved
+  WHERE RecipeCategory_clean IS NOT NULL AND {norm_token_sql('RecipeCategory_clean')} <> ''),
+yld_docs AS (
+  SELECT RecipeId AS id, lower(trim(yield_unit_token)) AS token FROM resolved
+  WHERE yield_unit_token IS NOT NULL
+    AND lower(trim(yield_unit_token)) NOT IN ('', 'yield__missing', 'yield__other')
+    AND regexp_matches(lower(trim(yield_unit_token)), '^yield__[a-z0-9_/]+$')),
+all_docs AS (
+  SELECT 'ingredients' AS g, id, token FROM ing_docs UNION ALL SELECT 'keywords', id, token FROM kw_docs
+  UNION ALL SELECT 'category', id, token FROM cat_docs UNION ALL SELECT 'yield', id, token FROM yld_docs),
+terms AS (
+  SELECT g, id, term, COUNT(*) AS tf FROM (
+    SELECT g, id, unnest(regexp_extract_all(lower(token), '\\b[\\w/]+\\b')) AS term FROM all_docs)
+  GROUP BY g, id, term),
+ndocs AS (SELECT COUNT(*) AS n FROM resolved),
+vocab AS (
+  SELECT g, term, df,
+    CASE WHEN g IN ({_TFIDF}) THEN ln((1.0 + n) / (1.0 + df)) + 1 ELSE 1.0 END AS idf
+  FROM (SELECT g, term, COUNT(*) AS df FROM terms GROUP BY g, term) CROSS JOIN ndocs
+  WHERE {_KEEP}),
+feat AS (
+  SELECT CAST(row_number() OVER (ORDER BY CASE g {_GRANK} END, term) - 1 AS INTEGER) AS feature_index,
+    (CASE g {" ".join(f"WHEN '{g}' THEN '{FEATURE_PREFIX[g]}'" for g in GROUP_ORDER)} END) || term AS feature_name,
+    g AS feature_group, term, df, idf,
+    CAST(CASE g {" ".join(f"WHEN '{g}' THEN {GROUP_WEIGHTS[g]}" for g in GROUP_ORDER)} END AS DOUBLE) AS group_weight
+  FROM vocab),
+wt AS (
+  SELECT t.id, t.g, f.feature_index, f.group_weight,
+    CASE WHEN t.g IN ({_TFIDF}) THEN (1 + ln(t.tf)) * f.idf ELSE 1.0 END AS w
+  FROM terms t JOIN feat f ON t.g = f.feature_group AND t.term = f.term),
+nrm AS (SELECT id, g, sqrt(sum(w * w)) AS norm FROM wt WHERE g IN ({_TFIDF}) GROUP BY id, g),
+cmatrix AS (
+  SELECT wt.id AS RecipeId, wt.feature_index, wt.g,
+    (CASE WHEN nrm.norm IS NULL THEN wt.w ELSE wt.w / nrm.norm END) * wt.group_weight AS value
+  FROM wt LEFT JOIN nrm ON wt.id = nrm.id AND wt.g = nrm.g)"""
+
+
+def with_content() -> str:
+    return with_resolved("ingredients", "keywords") + CONTENT_CTE
+
+
+SQL["ingredient_documents"] = f"""{with_resolved('ingredients')}
+SELECT DISTINCT RecipeId, {norm_token_sql('ingredient')} AS token FROM ingredients
+WHERE {norm_token_sql('ingredient')} <> ''"""
+
+SQL["keyword_removed_time_tags"] = f"""{with_resolved('keywords')}
+, kw AS (SELECT {norm_token_sql('keyword')} AS token FROM keywords)
+SELECT token AS keyword_token, COUNT(*) AS removed_count FROM kw
+WHERE token <> '' AND regexp_matches(token, {q(_TIME_RE)}) GROUP BY token"""
+
+SQL["tfidf_weighted"] = with_content() + "\nSELECT RecipeId, feature_index, value FROM cmatrix"
+SQL["content_features"] = with_content() + """
+SELECT feature_index, feature_name, feature_group, df, idf, group_weight FROM feat"""
+
+for _g in ("ingredients", "keywords"):
+    SQL[f"token_summary_{_g}"] = with_content() + f"""
+SELECT f.term AS token, CAST(SUM(CASE WHEN m.value > 0 THEN 1 ELSE 0 END) AS BIGINT) AS document_frequency,
+  SUM(m.value) AS total_tfidf_weight
+FROM cmatrix m JOIN feat f ON m.feature_index = f.feature_index
+WHERE f.feature_group = '{_g}' GROUP BY f.term"""
+
+SQL["category_token_counts"] = with_content() + """
+SELECT token AS category_token, COUNT(*) AS recipe_count FROM cat_docs GROUP BY token"""
+SQL["yield_token_counts"] = with_content() + """
+SELECT token AS yield_token, COUNT(*) AS recipe_count FROM yld_docs GROUP BY token"""
+
+_params = {g: p for g, p in DEFAULT_PARAMS.items()}
+SQL["content_matrix_summary"] = with_content() + """
+, gsum AS (
+  SELECT d.g, (SELECT n FROM ndocs) AS n, COUNT(DISTINCT d.id) AS nonempty,
+    (SELECT COUNT(*) FROM feat f WHERE f.feature_group = d.g) AS vsize,
+    (SELECT COUNT(*) FROM cmatrix m WHERE m.g = d.g) AS nnz
+  FROM all_docs d GROUP BY d.g)
+SELECT g AS feature_group,
+  CASE g """ + " ".join(f"WHEN '{g}' THEN '{s}'" for g, s in
+                          {"ingredients": "RecipeIngredientParts", "keywords": "Keywords",
+                           "category": "RecipeCategory_clean", "yield": "yield_unit_token"}.items()) + """ END
+    AS source_column,
+  vsize > 0 AS included, n AS n_documents, nonempty AS non_empty_documents,
+  round(nonempty * 100.0 / n, 4)::DOUBLE AS non_empty_document_percent,
+  vsize AS vocab_size, nnz AS matrix_nonzero_count,
+  CASE WHEN vsize > 0 THEN nnz / (n * vsize) ELSE 0.0 END AS matrix_density,
+  CASE g """ + " ".join(f"WHEN '{g}' THEN {GROUP_WEIGHTS[g]}" for g in GROUP_ORDER) + """ END::DOUBLE AS group_weight,
+  CASE g """ + " ".join(f"WHEN '{g}' THEN {float(p.min_df)}" for g, p in _params.items()) + """ END::DOUBLE
+    AS vectorizer_min_df,
+  CASE g """ + " ".join(f"WHEN '{g}' THEN {float(p.max_df)}" for g, p in _params.items()) + """ END::DOUBLE
+    AS vectorizer_max_df
+FROM gsum
+UNION ALL
+SELECT 'combined_content_matrix', '', true, (SELECT n FROM ndocs), NULL, NULL,
+  (SELECT COUNT(*) FROM feat), (SELECT COUNT(*) FROM cmatrix),
+  (SELECT COUNT(*) FROM cmatrix) / ((SELECT n FROM ndocs) * (SELECT COUNT(*) FROM feat)),
+  NULL, NULL, NULL"""
+
+SQL["content_contract"] = with_content() + """
+SELECT 'features_contiguous' AS "check",
+  CAST(CASE WHEN MIN(feature_index) = 0 AND MAX(feature_index) = COUNT(*) - 1 THEN 0 ELSE 1 END AS BIGINT)
+  AS violations FROM feat
+UNION ALL SELECT 'matrix_values_finite',
+  CAST(SUM(CASE WHEN value IS NULL OR isnan(value) OR isinf(value) THEN 1 ELSE 0 END) AS BIGINT) FROM cmatrix
+UNION ALL SELECT 'matrix_indices_named', CAST(0 AS BIGINT)"""
