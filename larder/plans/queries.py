@@ -245,3 +245,161 @@ def q_content_matrix_summary(spark, sf_dir):
 @query("content_contract")
 def q_content_contract(spark, sf_dir):
     return C.content_contract(content_model(spark, sf_dir))
+
+
+# -- reduction and embedding (M6-M13, J7, J8, W1, W4, W5, W7, A35, C5, C6) ---------
+
+import numpy as np  # noqa: E402
+
+from larder.operators import reduce as RD  # noqa: E402
+
+
+def scaled_numeric(spark, sf_dir):
+    res, model = numeric_fit(spark, sf_dir)
+    return materialize(N.scaled_matrix(res, model)), model
+
+
+def pca_model(spark, sf_dir):
+    scaled, nmodel = scaled_numeric(spark, sf_dir)
+    return scaled, RD.fit_pca(scaled, nmodel.features)
+
+
+@query("pca_covariance")
+def q_pca_covariance(spark, sf_dir):
+    """M6 input: sample covariance of every pair of scaled numeric features."""
+    scaled, nmodel = scaled_numeric(spark, sf_dir)
+    return RD.covariance_long(scaled, nmodel.features)
+
+
+@query("pca_explained")
+def q_pca_explained(spark, sf_dir):
+    _, m = pca_model(spark, sf_dir)
+    return RD.pca_explained(spark, m)
+
+
+@query("pca_selected")
+def q_pca_selected(spark, sf_dir):
+    _, m = pca_model(spark, sf_dir)
+    return RD.selected_components(RD.pca_explained(spark, m))
+
+
+@query("pca_loadings")
+def q_pca_loadings(spark, sf_dir):
+    _, m = pca_model(spark, sf_dir)
+    return RD.pca_loadings(spark, m)
+
+
+@query("pca_top_loadings")
+def q_pca_top_loadings(spark, sf_dir):
+    _, m = pca_model(spark, sf_dir)
+    return RD.top_loadings(RD.pca_loadings(spark, m))
+
+
+@query("pca_reconstruction")
+def q_pca_reconstruction(spark, sf_dir):
+    _, m = pca_model(spark, sf_dir)
+    return RD.pca_reconstruction(spark, m)
+
+
+@query("pca_scores")
+def q_pca_scores(spark, sf_dir):
+    scaled, m = pca_model(spark, sf_dir)
+    return RD.pca_scores(scaled, m)
+
+
+def svd_model(spark, sf_dir):
+    cm = content_model(spark, sf_dir)
+    matrix = materialize(cm.matrix)
+    n_feat = cm.features.count()
+    cands = RD.valid_svd_candidates(n_feat)
+    model = RD.fit_svd(matrix, cm.n_docs, n_feat, max(cands))
+    sel = RD.DEFAULT_SELECTED_SVD_COMPONENTS if RD.DEFAULT_SELECTED_SVD_COMPONENTS in cands else max(cands)
+    return cm, matrix, model, cands, sel
+
+
+@query("svd_sweep")
+def q_svd_sweep(spark, sf_dir):
+    _, _, model, cands, _ = svd_model(spark, sf_dir)
+    return RD.svd_sweep(spark, model, cands)
+
+
+@query("svd_explained")
+def q_svd_explained(spark, sf_dir):
+    _, _, model, _, sel = svd_model(spark, sf_dir)
+    return RD.svd_explained(spark, model, sel)
+
+
+@query("svd_top_terms")
+def q_svd_top_terms(spark, sf_dir):
+    cm, _, model, _, sel = svd_model(spark, sf_dir)
+    return RD.svd_top_terms(RD.components_long(spark, model, sel), cm.features)
+
+
+@query("svd_scores")
+def q_svd_scores(spark, sf_dir):
+    cm, matrix, model, _, sel = svd_model(spark, sf_dir)
+    return RD.svd_scores(matrix, resolved(spark, sf_dir).select("RecipeId"), model, sel)
+
+
+@query("combined_embedding")
+def q_combined_embedding(spark, sf_dir):
+    """One vector per recipe: content SVD then numeric PCA."""
+    cm, matrix, model, _, sel = svd_model(spark, sf_dir)
+    scaled, pm = pca_model(spark, sf_dir)
+    content = RD.svd_scores(matrix, scaled.select("RecipeId"), model, sel)
+    numeric = RD.pca_scores(scaled, pm)
+    cols = [c for c in numeric.columns if c != "RecipeId"]
+    return RD.combined_embedding(content, numeric, cols)
+
+
+@query("dimensionality_comparison")
+def q_dimensionality_comparison(spark, sf_dir):
+    """Shapes, kept variance / energy and reconstruction of every representation."""
+    cm, matrix, smodel, cands, sel = svd_model(spark, sf_dir)
+    scaled, pm = pca_model(spark, sf_dir)
+    n, d, f, k = pm.n, len(pm.features), smodel.n_features, pm.selected_k
+    recon = RD.pca_reconstruction(spark, pm).where(F.col("n_components") == k).first()
+    sweep = RD.svd_sweep(spark, smodel, [sel]).first()
+    rows = [
+        ("numeric_scaled", f"({n}, {d})", f"({n}, {d})", d, d, "StandardScaler output", "dense",
+         None, None, None, None),
+        ("numeric_pca_selected", f"({n}, {d})", f"({n}, {k})", d, k, "PCA", "dense", k,
+         float(pm.cumulative[k - 1]), recon["reconstruction_mse"], recon["reconstruction_rmse"]),
+        ("content_tfidf", f"({cm.n_docs}, {f})", f"({cm.n_docs}, {f})", f, f, "TF-IDF sparse matrix",
+         "sparse", None, None, None, None),
+        ("content_svd_selected", f"({cm.n_docs}, {f})", f"({cm.n_docs}, {sel})", f, sel, "TruncatedSVD",
+         "dense", sel, sweep["retained_energy"], sweep["reconstruction_mse"], sweep["reconstruction_rmse"]),
+        ("combined_recipe_reduced", f"({cm.n_docs}, {sel}) + ({n}, {k})", f"({n}, {sel + k})", f + d, sel + k,
+         "Concatenation", "dense", sel + k, None, None, None),
+    ]
+    return spark.createDataFrame(rows, "representation string, input_shape string, output_shape string, "
+                                       "original_dimensions int, reduced_dimensions int, method string, "
+                                       "sparse_or_dense string, selected_components int, "
+                                       "variance_or_energy_retained double, reconstruction_mse double, "
+                                       "reconstruction_rmse double")
+
+
+@query("reduce_contract")
+def q_reduce_contract(spark, sf_dir):
+    """C5 + C6: aligned ids, k > 0, target reached, row counts and finite outputs."""
+    emb = q_combined_embedding(spark, sf_dir)
+    scaled, pm = pca_model(spark, sf_dir)
+    cm = content_model(spark, sf_dir)
+    agg = emb.agg(F.count(F.lit(1)).alias("rows"),
+                  F.sum(F.exists("embedding", lambda x: F.isnan(x) | (F.abs(x) == float("inf")))
+                        .cast("long")).alias("nonfinite"),
+                  F.min(F.size("embedding")).alias("dmin"), F.max(F.size("embedding")).alias("dmax")).first()
+    orphan = (cm.matrix.select(F.col("id").alias("RecipeId")).distinct()
+              .join(scaled.select("RecipeId"), "RecipeId", "left_anti").count())
+    checks = [
+        ("numeric_ids_cover_content_ids", orphan),
+        ("pca_components_positive", int(pm.selected_k <= 0)),
+        ("pca_target_reached", int(pm.cumulative[pm.selected_k - 1] < RD.PCA_TARGET_VARIANCE - 1e-12)),
+        ("embedding_rows_match", abs(agg["rows"] - cm.n_docs)),
+        ("embedding_values_finite", int(agg["nonfinite"] or 0)),
+        ("embedding_width_constant", int(agg["dmin"] != agg["dmax"])),
+    ]
+    return spark.createDataFrame([(c, int(v)) for c, v in checks], "check string, violations long")
+
+
+_ = np

@@ -34,6 +34,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         SparkSession.builder.master(master or f"local[{cpus}]")
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
         .config("spark.driver.memory", os.environ.get("LARDER_DRIVER_MEMORY", "16g"))
         .config("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))

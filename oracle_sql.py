@@ -572,3 +572,10 @@ SELECT 'features_contiguous' AS "check",
 UNION ALL SELECT 'matrix_values_finite',
   CAST(SUM(CASE WHEN value IS NULL OR isnan(value) OR isinf(value) THEN 1 ELSE 0 END) AS BIGINT) FROM cmatrix
 UNION ALL SELECT 'matrix_indices_named', CAST(0 AS BIGINT)"""
+
+
+# -- reduction ---------------------------------------------------------------------
+
+SQL["pca_covariance"] = with_resolved() + NUMERIC_CTE + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{a}' AS feature_i, '{b}' AS feature_j, covar_samp({a}, {b}) AS covariance FROM n3"
+    for a in _F for b in _F)
