@@ -403,3 +403,174 @@ def q_reduce_contract(spark, sf_dir):
 
 
 _ = np
+
+
+# -- audits (A8, A9, A17-A31, J2-J4, W6, W9, W11, F15, F23) -------------------------
+
+from larder.operators import audits as AU  # noqa: E402
+
+FLAG_COLS = ["servings_from_yield", "cooktime_derived_from_total_prep", "preptime_derived_from_total_cook",
+             "totaltime_derived_from_prep_cook", "time_arithmetic_mismatch"]
+DESCRIBE_COLS = ["ResolvedServings_imputed", "CookTime_Minutes_imputed", "PrepTime_Minutes_imputed",
+                 "TotalTime_Minutes_imputed"]
+DESCRIBE_PERCENTILES = [0.25, 0.5, 0.75, 0.9, 0.95, 0.99]
+
+
+@query("missingness")
+def q_missingness(spark, sf_dir):
+    return AU.missingness(V.catalog(spark, sf_dir)).drop("dtype")
+
+
+@query("quality_audit")
+def q_quality_audit(spark, sf_dir):
+    return AU.quality_audit(V.catalog(spark, sf_dir), V.reviews(spark, sf_dir))
+
+
+@query("orphan_review_ids")
+def q_orphan_review_ids(spark, sf_dir):
+    return AU.orphan_review_ids(V.catalog(spark, sf_dir), V.reviews(spark, sf_dir))
+
+
+@query("unreviewed_recipes")
+def q_unreviewed_recipes(spark, sf_dir):
+    return AU.unreviewed_recipes(V.catalog(spark, sf_dir), V.reviews(spark, sf_dir))
+
+
+@query("time_order_checks")
+def q_time_order_checks(spark, sf_dir):
+    return AU.time_order_checks(V.catalog(spark, sf_dir))
+
+
+@query("numeric_profile")
+def q_numeric_profile(spark, sf_dir):
+    return AU.numeric_profile(V.catalog(spark, sf_dir))
+
+
+@query("correlation_matrix")
+def q_correlation_matrix(spark, sf_dir):
+    return AU.correlation_matrix(V.catalog(spark, sf_dir))
+
+
+@query("describe_resolved")
+def q_describe_resolved(spark, sf_dir):
+    return AU.describe(resolved(spark, sf_dir), DESCRIBE_COLS, DESCRIBE_PERCENTILES)
+
+
+@query("zero_cook_share")
+def q_zero_cook_share(spark, sf_dir):
+    return AU.zero_cook_share(resolved(spark, sf_dir))
+
+
+@query("flag_counts")
+def q_flag_counts(spark, sf_dir):
+    return AU.flag_counts(resolved(spark, sf_dir), FLAG_COLS)
+
+
+def ingredient_sets(spark, sf_dir):
+    return AU.audit_token_sets(V.ingredients(spark, sf_dir), "RecipeId", "ingredient")
+
+
+def keyword_sets(spark, sf_dir):
+    return AU.audit_token_sets(V.keywords(spark, sf_dir), "RecipeId", "keyword")
+
+
+@query("ingredient_parse_summary")
+def q_ingredient_parse_summary(spark, sf_dir):
+    return AU.list_parse_summary(V.catalog(spark, sf_dir).select("RecipeId"), ingredient_sets(spark, sf_dir))
+
+
+@query("keyword_parse_summary")
+def q_keyword_parse_summary(spark, sf_dir):
+    return AU.list_parse_summary(V.catalog(spark, sf_dir).select("RecipeId"), keyword_sets(spark, sf_dir))
+
+
+@query("top_ingredients")
+def q_top_ingredients(spark, sf_dir):
+    return AU.top_tokens(ingredient_sets(spark, sf_dir), 50, "ingredient")
+
+
+@query("top_keywords")
+def q_top_keywords(spark, sf_dir):
+    return AU.top_tokens(keyword_sets(spark, sf_dir), 50, "keyword")
+
+
+@query("ingredient_vocab_sweep")
+def q_ingredient_vocab_sweep(spark, sf_dir):
+    return AU.vocabulary_sweep(V.catalog(spark, sf_dir).select("RecipeId"), ingredient_sets(spark, sf_dir))
+
+
+@query("document_vocab_sweep")
+def q_document_vocab_sweep(spark, sf_dir):
+    """A25 / J4 over every word of every whole document."""
+    words = AU.audit_token_sets(V.doc_words(spark, sf_dir), "doc_id", "word")
+    return AU.vocabulary_sweep(V.documents(spark, sf_dir), words, id_col="doc_id")
+
+
+@query("category_coverage")
+def q_category_coverage(spark, sf_dir):
+    return AU.category_coverage(V.catalog(spark, sf_dir))
+
+
+@query("top_categories")
+def q_top_categories(spark, sf_dir):
+    return (AU.category_counts(V.catalog(spark, sf_dir)).where(F.col("rank") <= 30)
+            .select("category", "count"))
+
+
+@query("temporal_summary")
+def q_temporal_summary(spark, sf_dir):
+    return AU.temporal_summary(V.catalog(spark, sf_dir))
+
+
+@query("recipes_per_year")
+def q_recipes_per_year(spark, sf_dir):
+    return AU.recipes_per_year(V.catalog(spark, sf_dir))
+
+
+@query("interaction_summary")
+def q_interaction_summary(spark, sf_dir):
+    return AU.interaction_summary(V.catalog(spark, sf_dir), V.reviews(spark, sf_dir))
+
+
+@query("rating_distribution")
+def q_rating_distribution(spark, sf_dir):
+    return AU.rating_distribution(V.reviews(spark, sf_dir))
+
+
+@query("reviews_per_user")
+def q_reviews_per_user(spark, sf_dir):
+    return AU.activity_summary(V.reviews(spark, sf_dir), "AuthorId")
+
+
+@query("reviews_per_recipe")
+def q_reviews_per_recipe(spark, sf_dir):
+    return AU.activity_summary(V.reviews(spark, sf_dir), "RecipeId")
+
+
+@query("hist_ingredients_per_recipe")
+def q_hist_ingredients(spark, sf_dir):
+    per = ingredient_sets(spark, sf_dir).groupBy("id").agg(F.count(F.lit(1)).alias("k"))
+    counts = (V.catalog(spark, sf_dir).select(F.col("RecipeId").alias("id")).join(per, "id", "left")
+              .select(F.coalesce("k", F.lit(0)).alias("k")))
+    return AU.equal_width_histogram(counts, "k", 40)
+
+
+@query("hist_reviews_per_user")
+def q_hist_reviews_per_user(spark, sf_dir):
+    return AU.equal_width_histogram(AU.per_entity_counts(V.reviews(spark, sf_dir), "AuthorId"), "k", 50)
+
+
+@query("hist_reviews_per_recipe")
+def q_hist_reviews_per_recipe(spark, sf_dir):
+    return AU.equal_width_histogram(AU.per_entity_counts(V.reviews(spark, sf_dir), "RecipeId"), "k", 50)
+
+
+@query("top_total_time")
+def q_top_total_time(spark, sf_dir):
+    return AU.top_by(resolved(spark, sf_dir), "TotalTime_Minutes_imputed", 20, "RecipeId",
+                     ["Name", "TotalTime_Minutes_imputed", "PrepTime_Minutes_imputed", "CookTime_Minutes_imputed"])
+
+
+@query("seeded_sample")
+def q_seeded_sample(spark, sf_dir):
+    return AU.seeded_sample(V.catalog(spark, sf_dir), 20, "RecipeId").select("RecipeId", "Name", "RecipeCategory")

@@ -579,3 +579,234 @@ UNION ALL SELECT 'matrix_indices_named', CAST(0 AS BIGINT)"""
 SQL["pca_covariance"] = with_resolved() + NUMERIC_CTE + "\n" + "\nUNION ALL ".join(
     f"SELECT '{a}' AS feature_i, '{b}' AS feature_j, covar_samp({a}, {b}) AS covariance FROM n3"
     for a in _F for b in _F)
+
+
+# -- audits ---------------------------------------------------------------------------
+
+from larder.operators.audits import MIN_DF_SWEEP, NUMERIC_CANDIDATES, PROFILE_PERCENTILES  # noqa: E402
+
+_CAT_COLS = ["RecipeId", "AuthorId", "Name", "DatePublished", "RecipeCategory", "RecipeServings", "RecipeYield",
+             "PrepTime_Minutes", "CookTime_Minutes", "TotalTime_Minutes", "Calories", "FatContent",
+             "SaturatedFatContent", "CholesterolContent", "SodiumContent", "CarbohydrateContent", "FiberContent",
+             "SugarContent", "ProteinContent", "NumIngredients", "NumQuantities"]
+_WC = "WITH " + VIEW_SQL["catalog"].strip()
+_WCR = "WITH " + VIEW_SQL["catalog"].strip() + ",\n" + VIEW_SQL["reviews"].strip()
+
+SQL["missingness"] = _WC + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", COUNT({c}) AS non_null_count, COUNT(*) - COUNT({c}) AS null_count, "
+    f"{pctd(f'COUNT(*) - COUNT({c})', 'COUNT(*)')} AS null_pct, COUNT(DISTINCT {c}) AS distinct_count FROM catalog"
+    for c in _CAT_COLS)
+
+SQL["quality_audit"] = _WCR + """
+, orph AS (SELECT COUNT(*) AS n FROM (SELECT DISTINCT CAST(RecipeId AS VARCHAR) AS id FROM reviews
+    WHERE RecipeId IS NOT NULL) r WHERE id NOT IN (SELECT CAST(RecipeId AS VARCHAR) FROM catalog))
+SELECT 'recipes_rows' AS metric, (SELECT COUNT(*) FROM catalog) AS value
+UNION ALL SELECT 'recipes_cols', 21
+UNION ALL SELECT 'reviews_rows', (SELECT COUNT(*) FROM reviews)
+UNION ALL SELECT 'reviews_cols', 5
+UNION ALL SELECT 'unique_recipe_ids', (SELECT COUNT(DISTINCT RecipeId) FROM catalog)
+UNION ALL SELECT 'duplicate_recipe_ids', (SELECT COUNT(*) - COUNT(DISTINCT RecipeId) FROM catalog)
+UNION ALL SELECT 'unique_review_ids', (SELECT COUNT(DISTINCT ReviewId) FROM reviews)
+UNION ALL SELECT 'duplicate_review_ids', (SELECT COUNT(*) - COUNT(DISTINCT ReviewId) FROM reviews)
+UNION ALL SELECT 'unique_reviewers', (SELECT COUNT(DISTINCT AuthorId) FROM reviews)
+UNION ALL SELECT 'unique_reviewed_recipes', (SELECT COUNT(DISTINCT RecipeId) FROM reviews)
+UNION ALL SELECT 'orphan_review_recipe_ids', (SELECT n FROM orph)"""
+
+SQL["orphan_review_ids"] = _WCR + """
+SELECT DISTINCT CAST(RecipeId AS VARCHAR) AS id FROM reviews
+WHERE RecipeId IS NOT NULL AND CAST(RecipeId AS VARCHAR) NOT IN (SELECT CAST(RecipeId AS VARCHAR) FROM catalog)"""
+
+SQL["unreviewed_recipes"] = _WCR + """
+SELECT DISTINCT CAST(RecipeId AS VARCHAR) AS id FROM catalog
+WHERE RecipeId IS NOT NULL AND CAST(RecipeId AS VARCHAR) NOT IN
+  (SELECT CAST(RecipeId AS VARCHAR) FROM reviews WHERE RecipeId IS NOT NULL)"""
+
+SQL["time_order_checks"] = _WC + f"""
+SELECT 'total_lt_prep' AS "check", {cnt('TotalTime_Minutes < PrepTime_Minutes')} AS count FROM catalog
+UNION ALL SELECT 'total_lt_cook', {cnt('TotalTime_Minutes < CookTime_Minutes')} FROM catalog
+UNION ALL SELECT 'any_negative',
+  {cnt('TotalTime_Minutes < 0 OR PrepTime_Minutes < 0 OR CookTime_Minutes < 0')} FROM catalog"""
+
+_pnames = ["p1", "p5", "p25", "p50", "p75", "p95", "p99"]
+SQL["numeric_profile"] = _WC + "\nSELECT * FROM (" + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", COUNT({c}) AS count, "
+    f"round(CAST(COUNT(*) - COUNT({c}) AS DOUBLE) * 100.0 / COUNT(*), 2) AS missing_pct, "
+    f"avg({c}) AS mean, stddev_samp({c}) AS std, CAST(min({c}) AS DOUBLE) AS min, "
+    + ", ".join(f"quantile_cont({c}, {p}) AS {n}" for p, n in zip(PROFILE_PERCENTILES, _pnames))
+    + f", CAST(max({c}) AS DOUBLE) AS max, {_skew(c)} AS skewness FROM catalog"
+    for c in NUMERIC_CANDIDATES) + ") WHERE count > 0"
+
+SQL["correlation_matrix"] = (
+    _WC + ",\ncm AS (SELECT " + ", ".join(f"median({c}) AS {c}" for c in NUMERIC_CANDIDATES) + " FROM catalog),\n"
+    + "cf AS (SELECT " + ", ".join(f"coalesce(CAST(catalog.{c} AS DOUBLE), cm.{c}) AS {c}" for c in NUMERIC_CANDIDATES)
+    + " FROM catalog CROSS JOIN cm)\n" + "\nUNION ALL ".join(
+        f"SELECT '{a}' AS \"column\", '{b}' AS other, corr({a}, {b}) AS correlation FROM cf"
+        for a in NUMERIC_CANDIDATES for b in NUMERIC_CANDIDATES))
+
+_DESC = ["ResolvedServings_imputed", "CookTime_Minutes_imputed", "PrepTime_Minutes_imputed",
+         "TotalTime_Minutes_imputed"]
+_DP = [0.25, 0.5, 0.75, 0.9, 0.95, 0.99]
+SQL["describe_resolved"] = with_resolved() + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", '{s}' AS stat, {v} AS value FROM resolved"
+    for c in _DESC for s, v in (
+        [("count", f"CAST(COUNT({c}) AS DOUBLE)"), ("mean", f"avg({c})"), ("std", f"stddev_samp({c})"),
+         ("min", f"CAST(min({c}) AS DOUBLE)")]
+        + [(f"{round(p * 100, 6):g}%", f"quantile_cont({c}, {p})") for p in _DP]
+        + [("max", f"CAST(max({c}) AS DOUBLE)")]))
+
+SQL["zero_cook_share"] = with_resolved() + f"""
+SELECT d AS derived_cooktime_count, z AS zero_cooktime_count, {pctd('z', 'd')} AS zero_cooktime_percent
+FROM (SELECT {cnt('cooktime_derived_from_total_prep = 1')} AS d,
+  {cnt('cooktime_derived_from_total_prep = 1 AND CookTime_Minutes_resolved = 0')} AS z FROM resolved)"""
+
+_FLAGS = ["servings_from_yield", "cooktime_derived_from_total_prep", "preptime_derived_from_total_cook",
+          "totaltime_derived_from_prep_cook", "time_arithmetic_mismatch"]
+SQL["flag_counts"] = with_resolved() + "\n" + "\nUNION ALL ".join(
+    f"SELECT '{f}' AS flag, CAST({f} AS INTEGER) AS value, COUNT(*) AS count FROM resolved GROUP BY {f}"
+    for f in _FLAGS)
+
+
+def ascii_norm_sql(x: str) -> str:
+    s = f"regexp_replace(lower(trim({x})), '[^a-z0-9 ]+', ' ', 'g')"
+    return f"replace(trim(regexp_replace({s}, ' +', ' ', 'g')), ' ', '_')"
+
+
+def _sets(view: str, id_col: str, col: str) -> str:
+    return (f"SELECT DISTINCT {id_col} AS id, {ascii_norm_sql(col)} AS token FROM {view} "
+            f"WHERE {ascii_norm_sql(col)} <> ''")
+
+
+def _parse_summary(view: str, col: str) -> str:
+    return f"""WITH {VIEW_SQL['catalog'].strip()}, {VIEW_SQL[view].strip()},
+toks AS ({_sets(view, 'RecipeId', col)}),
+per AS (SELECT c.RecipeId, COUNT(t.token) AS k FROM catalog c LEFT JOIN toks t ON t.id = c.RecipeId
+        GROUP BY c.RecipeId),
+a AS (SELECT {cnt('k = 0')} AS zero, avg(k) AS av, quantile_cont(k, 0.5) AS med, quantile_cont(k, 0.95) AS p95
+      FROM per)
+SELECT 'documents_with_zero_tokens' AS metric, CAST(zero AS DOUBLE) AS value FROM a
+UNION ALL SELECT 'avg_tokens_per_document', round(av, 2) FROM a
+UNION ALL SELECT 'median_tokens_per_document', round(med, 2) FROM a
+UNION ALL SELECT 'p95_tokens_per_document', round(p95, 2) FROM a
+UNION ALL SELECT 'unique_tokens', CAST((SELECT COUNT(DISTINCT token) FROM toks) AS DOUBLE)"""
+
+
+SQL["ingredient_parse_summary"] = _parse_summary("ingredients", "ingredient")
+SQL["keyword_parse_summary"] = _parse_summary("keywords", "keyword")
+
+for _name, _view, _col in (("top_ingredients", "ingredients", "ingredient"), ("top_keywords", "keywords", "keyword")):
+    SQL[_name] = f"""WITH {VIEW_SQL[_view].strip()}, toks AS ({_sets(_view, 'RecipeId', _col)})
+SELECT token AS {_col}, COUNT(*) AS recipe_count FROM toks GROUP BY token
+ORDER BY recipe_count DESC, token LIMIT 50"""
+
+
+def _sweep(prefix: str, universe: str) -> str:
+    parts = []
+    for t in MIN_DF_SWEEP:
+        parts.append(f"""SELECT {t} AS min_df, vs AS vocab_size, CASE WHEN nd = 0 OR vs = 0 THEN 0 ELSE cov END
+  AS docs_with_tokens,
+  round(CASE WHEN nd = 0 OR vs = 0 THEN 0.0 ELSE cov * 100.0 / nd END, 2)::DOUBLE AS coverage_pct,
+  round(CASE WHEN nd = 0 OR vs = 0 THEN 0.0 ELSE hits / (nd * vs) END, 6)::DOUBLE AS approx_density,
+  CASE WHEN vs = 0 THEN 'no vocabulary' WHEN cov * 100.0 / nd < 80 THEN 'coverage too low'
+       WHEN vs > 100000 THEN 'vocab too large' ELSE 'reasonable tradeoff' END AS comment
+FROM (SELECT (SELECT COUNT(*) FROM dfreq WHERE df >= {t}) AS vs,
+             (SELECT coalesce(SUM(df), 0) FROM dfreq WHERE df >= {t}) AS hits,
+             (SELECT COUNT(*) FROM perdoc WHERE maxdf >= {t}) AS cov,
+             (SELECT COUNT(*) FROM {universe}) AS nd)""")
+    return prefix + """,
+dfreq AS (SELECT token, COUNT(*) AS df FROM toks GROUP BY token),
+perdoc AS (SELECT t.id, max(d.df) AS maxdf FROM toks t JOIN dfreq d ON t.token = d.token GROUP BY t.id)
+""" + "\nUNION ALL ".join(parts)
+
+
+SQL["ingredient_vocab_sweep"] = _sweep(
+    f"WITH {VIEW_SQL['catalog'].strip()}, {VIEW_SQL['ingredients'].strip()},\n"
+    f"toks AS ({_sets('ingredients', 'RecipeId', 'ingredient')})", "catalog")
+SQL["document_vocab_sweep"] = _sweep(
+    f"WITH {VIEW_SQL['doc_words'].strip()},\ntoks AS ({_sets('doc_words', 'doc_id', 'word')})", "documents")
+
+_CC = "WITH " + VIEW_SQL["catalog"].strip() + """,
+cc AS (SELECT coalesce(RecipeCategory, 'Unknown') AS category, COUNT(*) AS count FROM catalog GROUP BY 1),
+rk AS (SELECT category, count, row_number() OVER (ORDER BY count DESC, category) AS rank FROM cc)"""
+SQL["category_coverage"] = _CC + """,
+a AS (SELECT COUNT(*) AS u, SUM(count) AS t,
+  SUM(CASE WHEN rank <= 10 THEN count ELSE 0 END) AS top10, SUM(CASE WHEN rank <= 20 THEN count ELSE 0 END) AS top20,
+  SUM(CASE WHEN rank <= 30 THEN count ELSE 0 END) AS top30, SUM(CASE WHEN count < 50 THEN 1 ELSE 0 END) AS rare FROM rk)
+SELECT 'unique_categories' AS metric, CAST(u AS DOUBLE) AS value FROM a
+UNION ALL SELECT 'coverage_top10_pct', round(CAST(top10 AS DOUBLE) * 100.0 / t, 2) FROM a
+UNION ALL SELECT 'coverage_top20_pct', round(CAST(top20 AS DOUBLE) * 100.0 / t, 2) FROM a
+UNION ALL SELECT 'coverage_top30_pct', round(CAST(top30 AS DOUBLE) * 100.0 / t, 2) FROM a
+UNION ALL SELECT 'rare_categories_lt_50', CAST(rare AS DOUBLE) FROM a"""
+SQL["top_categories"] = _CC + "\nSELECT category, count FROM rk WHERE rank <= 30"
+
+SQL["temporal_summary"] = _WC + """,
+a AS (SELECT COUNT(*) AS n, COUNT(DatePublished) AS ok, min(DatePublished) AS lo, max(DatePublished) AS hi
+      FROM catalog)
+SELECT 'parse_success_rate_pct' AS metric, CAST(round(CAST(ok AS DOUBLE) * 100.0 / n, 2) AS VARCHAR) AS value FROM a
+UNION ALL SELECT 'min_date', CAST(lo AS VARCHAR) FROM a
+UNION ALL SELECT 'max_date', CAST(hi AS VARCHAR) FROM a
+UNION ALL SELECT 'missing_or_invalid_dates', CAST(n - ok AS VARCHAR) FROM a"""
+
+SQL["recipes_per_year"] = _WC + """
+SELECT CAST(year(DatePublished) AS INTEGER) AS year, COUNT(*) AS recipe_count FROM catalog
+WHERE DatePublished IS NOT NULL GROUP BY 1"""
+
+SQL["interaction_summary"] = _WCR + """,
+pu AS (SELECT AuthorId, COUNT(*) AS k FROM reviews GROUP BY AuthorId),
+pr AS (SELECT RecipeId, COUNT(*) AS k FROM reviews GROUP BY RecipeId),
+a AS (SELECT (SELECT COUNT(*) FROM pu) AS nu, (SELECT COUNT(*) FROM pr) AS nr,
+  (SELECT COUNT(DISTINCT RecipeId) FROM catalog) AS nc, (SELECT COUNT(*) FROM reviews) AS obs,
+  (SELECT COUNT(*) FROM pu WHERE k = 1) AS one, (SELECT COUNT(*) FROM pu WHERE k >= 5) AS u5,
+  (SELECT COUNT(*) FROM pr WHERE k >= 5) AS r5,
+  (SELECT COUNT(DISTINCT CAST(RecipeId AS VARCHAR)) FROM catalog WHERE CAST(RecipeId AS VARCHAR) NOT IN
+     (SELECT CAST(RecipeId AS VARCHAR) FROM reviews WHERE RecipeId IS NOT NULL)) AS zero)
+SELECT 'num_users' AS metric, CAST(nu AS DOUBLE) AS value FROM a
+UNION ALL SELECT 'num_reviewed_recipes', CAST(nr AS DOUBLE) FROM a
+UNION ALL SELECT 'num_recipes_catalog', CAST(nc AS DOUBLE) FROM a
+UNION ALL SELECT 'observed_interactions', CAST(obs AS DOUBLE) FROM a
+UNION ALL SELECT 'total_possible_pairs', CAST(nu * nc AS DOUBLE) FROM a
+UNION ALL SELECT 'user_item_density', CAST(obs AS DOUBLE) / (nu * nc) FROM a
+UNION ALL SELECT 'pct_users_with_one_review', round(CAST(one AS DOUBLE) / nu * 100, 2) FROM a
+UNION ALL SELECT 'pct_users_with_ge5_reviews', round(CAST(u5 AS DOUBLE) / nu * 100, 2) FROM a
+UNION ALL SELECT 'pct_recipes_with_ge5_reviews', round(CAST(r5 AS DOUBLE) / nr * 100, 2) FROM a
+UNION ALL SELECT 'recipes_with_zero_reviews', CAST(zero AS DOUBLE) FROM a"""
+
+SQL["rating_distribution"] = "WITH " + VIEW_SQL["reviews"].strip() + """
+SELECT Rating AS rating, COUNT(*) AS count FROM reviews GROUP BY Rating"""
+
+for _n, _k in (("reviews_per_user", "AuthorId"), ("reviews_per_recipe", "RecipeId")):
+    SQL[_n] = "WITH " + VIEW_SQL["reviews"].strip() + f""",
+p AS (SELECT {_k}, COUNT(*) AS k FROM reviews GROUP BY {_k})
+SELECT 'mean' AS metric, avg(k) AS value FROM p
+UNION ALL SELECT 'median', quantile_cont(k, 0.5) FROM p
+UNION ALL SELECT 'p95', quantile_cont(k, 0.95) FROM p"""
+
+
+def _hist(prefix: str, col: str, bins: int) -> str:
+    return prefix + f""",
+rg AS (SELECT CAST(min({col}) AS DOUBLE) AS lo, CAST(max({col}) AS DOUBLE) AS hi FROM vals),
+sp AS (SELECT lo, CASE WHEN hi - lo = 0 THEN 1.0 ELSE hi - lo END AS span FROM rg),
+b AS (SELECT least(CAST(floor((v.{col} - sp.lo) * {bins} / sp.span) AS INTEGER), {bins - 1}) AS bin
+      FROM vals v CROSS JOIN sp WHERE v.{col} IS NOT NULL)
+SELECT bin, sp.lo + bin * (sp.span / {bins}) AS bin_start, sp.lo + (bin + 1) * (sp.span / {bins}) AS bin_end,
+  COUNT(*) AS count FROM b CROSS JOIN sp GROUP BY bin, sp.lo, sp.span"""
+
+
+SQL["hist_ingredients_per_recipe"] = _hist(
+    f"WITH {VIEW_SQL['catalog'].strip()}, {VIEW_SQL['ingredients'].strip()},\n"
+    f"toks AS ({_sets('ingredients', 'RecipeId', 'ingredient')}),\n"
+    "vals AS (SELECT c.RecipeId, COUNT(t.token) AS k FROM catalog c LEFT JOIN toks t ON t.id = c.RecipeId "
+    "GROUP BY c.RecipeId)", "k", 40)
+SQL["hist_reviews_per_user"] = _hist(
+    "WITH " + VIEW_SQL["reviews"].strip() + ",\nvals AS (SELECT AuthorId, COUNT(*) AS k FROM reviews GROUP BY AuthorId)",
+    "k", 50)
+SQL["hist_reviews_per_recipe"] = _hist(
+    "WITH " + VIEW_SQL["reviews"].strip() + ",\nvals AS (SELECT RecipeId, COUNT(*) AS k FROM reviews GROUP BY RecipeId)",
+    "k", 50)
+
+SQL["top_total_time"] = with_resolved() + """
+SELECT RecipeId, Name, TotalTime_Minutes_imputed, PrepTime_Minutes_imputed, CookTime_Minutes_imputed
+FROM resolved ORDER BY TotalTime_Minutes_imputed DESC, RecipeId LIMIT 20"""
+
+SQL["seeded_sample"] = _WC + """
+SELECT RecipeId, Name, RecipeCategory FROM catalog
+ORDER BY ((RecipeId % 1000003) * 7919 + 42) % 1000003, RecipeId LIMIT 20"""
