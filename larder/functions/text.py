@@ -32,12 +32,13 @@ VECTORIZER_TOKEN_PATTERN = r"(?U)\b[\w/]+\b"
 LEGACY_TOKEN_PATTERN = r"(?U)\b\w\w+\b"
 # ---------------------------------------------------------------------------
 
-_STRIP_WS = r"(?U)^\s+|\s+$"
+# Every character Python's ``str.strip()`` removes (derived, not listed).
+PY_WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
 
 def strip_ws(c: Column) -> Column:
-    """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(c, _STRIP_WS, "")
+    """Python ``str.strip()``: remove leading/trailing Unicode whitespace (no regex)."""
+    return F.btrim(c, F.lit(PY_WHITESPACE))
 
 
 def blank_missing(c: Column) -> Column:

@@ -168,23 +168,49 @@ def pca_scores(scaled: DataFrame, model: PCAModel, k: int | None = None, id_col:
 
 # -- truncated SVD of the long sparse content matrix ----------------------------------
 
-def _block_to_df(spark: SparkSession, block: np.ndarray) -> DataFrame:
-    rows = [(i, block[i].tolist()) for i in range(block.shape[0])]
-    return spark.createDataFrame(rows, "feature_index int, q array<double>").select(
-        "feature_index", array_to_vector("q").alias("q"))
+def row_vectors(matrix: DataFrame) -> DataFrame:
+    """Group the long matrix into one sparse row per id: ``(id, idx, val)``.
 
+    A row holds at most one entry per feature, so its size is bounded by the
+    vocabulary, never by the data.
+    """
+    return (matrix.groupBy("id")
+            .agg(F.sort_array(F.collect_list(F.struct("feature_index", "value"))).alias("e"))
+            .select("id", F.col("e.feature_index").alias("idx"), F.col("e.value").alias("val")))
 
-def _xtx_times(matrix: DataFrame, block: np.ndarray) -> np.ndarray:
-    """``Xᵀ (X Q)`` for an f x l block ``Q``, with two joins and vector sums."""
-    spark = matrix.sparkSession
-    q = _block_to_df(spark, block)
-    y = (matrix.join(q, "feature_index")
-         .groupBy("id").agg(Summarizer.sum(F.col("q"), F.col("value")).alias("y")))
-    w = (matrix.join(y, "id")
-         .groupBy("feature_index").agg(vector_to_array(Summarizer.sum(F.col("y"), F.col("value"))).alias("w")))
+
+def _xtx_times(rows: DataFrame, block: np.ndarray) -> np.ndarray:
+    """``Xᵀ (X Q)`` for an f x l block ``Q``: one pass over the rows.
+
+    Each task keeps an f x l partial sum (``W[idx] += v ⊗ (v Q[idx])`` per
+    row) and emits only its touched rows; a vector-sum aggregate merges the
+    partials.  Nothing per pair of features is ever materialized.
+    """
+    spark = rows.sparkSession
+    f, width = block.shape
+    bq = spark.sparkContext.broadcast(block)
+
+    def partial(batches):
+        import pandas as pd
+        q = bq.value
+        acc = np.zeros((f, width))
+        touched = np.zeros(f, dtype=bool)
+        for pdf in batches:
+            for idx, val in zip(pdf["idx"], pdf["val"]):
+                idx = np.asarray(idx, dtype=np.int64)
+                val = np.asarray(val, dtype=np.float64)
+                acc[idx] += np.outer(val, val @ q[idx])
+                touched[idx] = True
+        hit = np.nonzero(touched)[0]
+        yield pd.DataFrame({"feature_index": hit.astype(np.int32), "w": list(acc[hit])})
+
+    parts = rows.mapInPandas(partial, "feature_index int, w array<double>")
+    w = (parts.groupBy("feature_index")
+         .agg(vector_to_array(Summarizer.sum(array_to_vector("w"))).alias("w")))
     out = np.zeros_like(block)
     for r in w.collect():
         out[r["feature_index"]] = r["w"]
+    bq.unpersist()
     return out
 
 
@@ -198,6 +224,7 @@ class SVDModel:
     total_variance: float            # Σ_f var(X_f), population
     frob_sq: float                   # ||X||²
     exact: bool
+    rows: DataFrame | None = None    # (id, idx, val) sparse rows, checkpointed
 
     def explained_variance(self, k: int) -> np.ndarray:
         """var(Z_j) = σ_j²/n − (mean(X)·v_j)², population (as the reference reports)."""
@@ -217,22 +244,24 @@ def valid_svd_candidates(n_features: int, candidates: list[int] = SVD_CANDIDATES
 
 
 def fit_svd(matrix: DataFrame, n_rows: int, n_features: int, k: int, n_iter: int = 5,
-            oversample: int = 10, exact_max_features: int = 256,
+            oversample: int = 10, exact_max_features: int = 1024,
             seed: int = RANDOM_STATE) -> SVDModel:
     """M9 fit: top-k right singular vectors of the long matrix ``(id, feature_index, value)``."""
-    stats = matrix.agg(F.sum(F.col("value") * F.col("value")).alias("frob")).first()
+    from larder.plans.materialize import materialize
+
     sums = {r["feature_index"]: (r["s"], r["s2"]) for r in
             matrix.groupBy("feature_index").agg(F.sum("value").alias("s"),
                                                 F.sum(F.col("value") * F.col("value")).alias("s2")).collect()}
     col_sum = np.zeros(n_features)
     col_sq = np.zeros(n_features)
-    for fi, (s, s2) in sums.items():
-        col_sum[fi], col_sq[fi] = s, s2
+    for fi, (s_, s2) in sums.items():
+        col_sum[fi], col_sq[fi] = s_, s2
     mean = col_sum / n_rows
     total_var = float(np.sum(col_sq / n_rows - mean ** 2))
+    rows = materialize(row_vectors(matrix))
     exact = n_features <= exact_max_features
     if exact:
-        gram = _xtx_times(matrix, np.eye(n_features))
+        gram = _xtx_times(rows, np.eye(n_features))
         gram = (gram + gram.T) / 2.0
         vals, vecs = np.linalg.eigh(gram)
         order = np.argsort(vals)[::-1][:k]
@@ -242,15 +271,15 @@ def fit_svd(matrix: DataFrame, n_rows: int, n_features: int, k: int, n_iter: int
         rng = np.random.default_rng(seed)
         block, _ = np.linalg.qr(rng.standard_normal((n_features, width)))
         for _ in range(n_iter):
-            block, _ = np.linalg.qr(_xtx_times(matrix, block))
-        w = _xtx_times(matrix, block)
+            block, _ = np.linalg.qr(_xtx_times(rows, block))
+        w = _xtx_times(rows, block)
         b = block.T @ w
         vals, vecs = np.linalg.eigh((b + b.T) / 2.0)
         order = np.argsort(vals)[::-1][:k]
         lam, v = vals[order], block @ vecs[:, order]
     comps = fix_signs(v.T)
     return SVDModel(n_rows, n_features, np.clip(lam, 0.0, None), comps, mean, total_var,
-                    float(stats["frob"] or 0.0), exact)
+                    float(col_sq.sum()), exact, rows)
 
 
 def svd_sweep(spark: SparkSession, model: SVDModel, candidates: list[int]) -> DataFrame:
@@ -298,11 +327,20 @@ def svd_top_terms(loadings: DataFrame, features: DataFrame, top: int = SVD_TOP_T
 
 
 def svd_scores(matrix: DataFrame, ids: DataFrame, model: SVDModel, k: int, id_col: str = "RecipeId") -> DataFrame:
-    """``Z = X V_k`` per row (rows without any nonzero get zeros)."""
+    """``Z = X V_k`` per row, a per-row projection (rows without any nonzero get zeros)."""
     spark = matrix.sparkSession
-    v = _block_to_df(spark, model.components[:k].T)
-    z = (matrix.join(v, "feature_index")
-         .groupBy("id").agg(vector_to_array(Summarizer.sum(F.col("q"), F.col("value"))).alias("z")))
+    rows = model.rows if model.rows is not None else row_vectors(matrix)
+    bv = spark.sparkContext.broadcast(np.ascontiguousarray(model.components[:k].T))
+
+    def project(batches):
+        import pandas as pd
+        v = bv.value
+        for pdf in batches:
+            z = [np.asarray(val, dtype=np.float64) @ v[np.asarray(idx, dtype=np.int64)]
+                 for idx, val in zip(pdf["idx"], pdf["val"])]
+            yield pd.DataFrame({"id": pdf["id"], "z": z})
+
+    z = rows.mapInPandas(project, "id long, z array<double>")
     zero = F.array_repeat(F.lit(0.0), k)
     return (ids.select(F.col(id_col).alias("id")).join(z, "id", "left")
             .select(F.col("id").alias(id_col), F.coalesce(F.col("z"), zero).alias("content_svd")))

@@ -25,9 +25,25 @@ def query(name: str):
     return deco
 
 
+_STAGES: dict[tuple, object] = {}
+
+
+def stage(spark: SparkSession, sf_dir: str, name: str, build):
+    """A materialized stage output, built once per session and input folder.
+
+    Later queries read the checkpointed table (as a pipeline step reads the
+    previous step's written output) instead of recomputing its lineage.
+    """
+    key = (id(spark.sparkContext), sf_dir, name)
+    if key not in _STAGES:
+        _STAGES[key] = build()
+    return _STAGES[key]
+
+
 def resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The resolved catalog, checkpointed: every later stage reads it."""
-    return materialize(R.resolve_catalog(V.catalog(spark, sf_dir)))
+    return stage(spark, sf_dir, "resolved",
+                 lambda: materialize(R.resolve_catalog(V.catalog(spark, sf_dir))))
 
 
 SERVINGS_COLS = [
@@ -130,7 +146,7 @@ from larder.operators import numeric as N  # noqa: E402
 
 def numeric_fit(spark, sf_dir):
     res = resolved(spark, sf_dir)
-    return res, N.fit_numeric(res)
+    return res, stage(spark, sf_dir, "numeric_model", lambda: N.fit_numeric(res))
 
 
 @query("numeric_log_matrix")
@@ -184,10 +200,12 @@ def content_docs(spark, sf_dir, res):
     return docs, removed
 
 
-def content_model(spark, sf_dir, params=None):
-    res = resolved(spark, sf_dir)
-    docs, _ = content_docs(spark, sf_dir, res)
-    return C.build_content(res.select("RecipeId"), docs, CONTENT_SOURCES, params)
+def content_model(spark, sf_dir):
+    def build():
+        res = resolved(spark, sf_dir)
+        docs, _ = content_docs(spark, sf_dir, res)
+        return C.build_content(res.select("RecipeId"), docs, CONTENT_SOURCES)
+    return stage(spark, sf_dir, "content_model", build)
 
 
 @query("ingredient_documents")
@@ -256,12 +274,12 @@ from larder.operators import reduce as RD  # noqa: E402
 
 def scaled_numeric(spark, sf_dir):
     res, model = numeric_fit(spark, sf_dir)
-    return materialize(N.scaled_matrix(res, model)), model
+    return stage(spark, sf_dir, "scaled", lambda: materialize(N.scaled_matrix(res, model))), model
 
 
 def pca_model(spark, sf_dir):
     scaled, nmodel = scaled_numeric(spark, sf_dir)
-    return scaled, RD.fit_pca(scaled, nmodel.features)
+    return scaled, stage(spark, sf_dir, "pca_model", lambda: RD.fit_pca(scaled, nmodel.features))
 
 
 @query("pca_covariance")
@@ -308,13 +326,15 @@ def q_pca_scores(spark, sf_dir):
 
 
 def svd_model(spark, sf_dir):
-    cm = content_model(spark, sf_dir)
-    matrix = materialize(cm.matrix)
-    n_feat = cm.features.count()
-    cands = RD.valid_svd_candidates(n_feat)
-    model = RD.fit_svd(matrix, cm.n_docs, n_feat, max(cands))
-    sel = RD.DEFAULT_SELECTED_SVD_COMPONENTS if RD.DEFAULT_SELECTED_SVD_COMPONENTS in cands else max(cands)
-    return cm, matrix, model, cands, sel
+    def build():
+        cm = content_model(spark, sf_dir)
+        matrix = materialize(cm.matrix)
+        n_feat = cm.features.count()
+        cands = RD.valid_svd_candidates(n_feat)
+        model = RD.fit_svd(matrix, cm.n_docs, n_feat, max(cands))
+        sel = RD.DEFAULT_SELECTED_SVD_COMPONENTS if RD.DEFAULT_SELECTED_SVD_COMPONENTS in cands else max(cands)
+        return cm, matrix, model, cands, sel
+    return stage(spark, sf_dir, "svd_model", build)
 
 
 @query("svd_sweep")

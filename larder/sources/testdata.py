@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larder.plans.partitioning import spread
 from larder.sources.tables import table
 
 
@@ -32,9 +33,9 @@ def _cents(c: Column) -> Column:
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recipe-shaped catalog: one row per order."""
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"), "o_orderkey")
     c = table(spark, sf_dir, "customer")
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     lines = li.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.sum(F.when(F.col("l_linestatus") == "F", 1).otherwise(0)).alias("n_filled"),
@@ -99,7 +100,7 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One review per line item; every 50th part's reviews point at no recipe."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     ok = F.col("l_orderkey")
     return li.select(
         (ok * 8 + F.col("l_linenumber")).alias("ReviewId"),
@@ -112,7 +113,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingredients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long form ``(RecipeId, ingredient)``: the part name of every line."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     p = table(spark, sf_dir, "part")
     return li.join(p, li.l_partkey == p.p_partkey, "inner").select(
         F.col("l_orderkey").alias("RecipeId"), F.col("p_name").alias("ingredient"))
@@ -120,9 +121,9 @@ def ingredients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long form ``(RecipeId, keyword)`` with time-like tags mixed in."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     p = table(spark, sf_dir, "part")
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"), "o_orderkey")
     k = F.col("o_orderkey")
     from_parts = li.join(p, li.l_partkey == p.p_partkey, "inner").select(
         F.col("l_orderkey").alias("RecipeId"),
@@ -140,7 +141,7 @@ def keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def doc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long form ``(doc_id, word)``: every word of every whole document."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"), "doc_id")
     return d.select(
         F.col("doc_id"),
         F.explode(F.regexp_extract_all(F.lower(F.col("text")), F.lit(r"[\p{L}\p{N}_]+"), 0)).alias("word"))
