@@ -594,3 +594,28 @@ def q_top_total_time(spark, sf_dir):
 @query("seeded_sample")
 def q_seeded_sample(spark, sf_dir):
     return AU.seeded_sample(V.catalog(spark, sf_dir), 20, "RecipeId").select("RecipeId", "Name", "RecipeCategory")
+
+
+# -- ingest (S1, F1-F5, P1) ----------------------------------------------------------
+
+from larder.sources import ingest as IG  # noqa: E402
+
+
+@query("ingest_catalog")
+def q_ingest_catalog(spark, sf_dir):
+    """List cells, ISO durations and list sizes from raw text."""
+    out = IG.ingest_catalog(IG.raw_catalog(spark, sf_dir))
+    return out.select("RecipeId", "CookTime_Minutes", "PrepTime_Minutes", "TotalTime_Minutes",
+                      "NumIngredients", "NumQuantities",
+                      F.array_join("RecipeIngredientParts", "|").alias("ingredients"),
+                      F.array_join("Keywords", "|").alias("keywords"))
+
+
+@query("document_list_cells")
+def q_document_list_cells(spark, sf_dir):
+    """F1 over whole documents: items per text when each is read as a list cell."""
+    from larder.functions.text import parse_list
+    d = V.spread(V.table(spark, sf_dir, "documents"), "doc_id")
+    items = parse_list(F.col("text"))
+    return d.select("doc_id", F.size(items).alias("n_items"),
+                    F.aggregate(items, F.lit(0).cast("long"), lambda acc, x: acc + F.length(x)).alias("item_chars"))

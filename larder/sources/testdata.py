@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.plans.partitioning import spread
+from larder.plans.partitioning import spread  # noqa: F401  (re-exported)
 from larder.sources.tables import table
 
 

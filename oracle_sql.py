@@ -810,3 +810,56 @@ FROM resolved ORDER BY TotalTime_Minutes_imputed DESC, RecipeId LIMIT 20"""
 SQL["seeded_sample"] = _WC + """
 SELECT RecipeId, Name, RecipeCategory FROM catalog
 ORDER BY ((RecipeId % 1000003) * 7919 + 42) % 1000003, RecipeId LIMIT 20"""
+
+
+# -- ingest ------------------------------------------------------------------------------
+
+from larder.functions.numbers import ISO_DURATION_RE  # noqa: E402
+from larder.functions.text import _QUOTED_ITEM, _QUOTED_LIST  # noqa: E402
+from larder.sources.ingest import NA_WORDS, RAW_CATALOG_SQL  # noqa: E402
+
+_NA = ", ".join(q(w) for w in NA_WORDS)
+
+
+def parse_list_sql(x: str) -> str:
+    s0 = f"(CASE WHEN {x} IN ({_NA}) THEN NULL ELSE {x} END)"
+    s1 = f"trim({s0})"
+    s = f"(CASE WHEN {s1} LIKE 'c(%' AND {s1} LIKE '%)' THEN substring({s1}, 3, length({s1}) - 3) ELSE {s1} END)"
+    quoted = (f"list_transform(regexp_extract_all({s}, {q(_QUOTED_ITEM)}), "
+              f"lambda x: regexp_replace(substring(x, 2, length(x) - 2), '\\\\(.)', '\\1', 'g'))")
+    split = (f"list_transform(list_filter(string_split({s}, ','), lambda v: v <> ''), "
+             f"lambda v: regexp_replace(trim(v), '^\"+|\"+$', '', 'g'))")
+    return (f"(CASE WHEN {s0} IS NULL OR {s} = '' THEN CAST([] AS VARCHAR[]) "
+            f"WHEN regexp_matches({s}, {q(_QUOTED_LIST)}) THEN {quoted} ELSE {split} END)")
+
+
+def duration_sql(x: str) -> str:
+    s0 = f"(CASE WHEN {x} IN ({_NA}) THEN NULL ELSE trim({x}) END)"
+    r = q(ISO_DURATION_RE)
+
+    def part(i):
+        return f"coalesce(CAST(nullif(replace(regexp_extract({s0}, {r}, {i}), ',', '.'), '') AS DOUBLE), 0.0)"
+
+    def present(i):
+        return f"regexp_extract({s0}, {r}, {i}) <> ''"
+
+    anyp = " OR ".join(present(i) for i in range(4, 9))
+    minutes = f"({part(4)} * 10080.0 + {part(5)} * 1440.0 + {part(6)} * 60.0 + {part(7)} + {part(8)} / 60.0)"
+    sign = f"(CASE WHEN regexp_extract({s0}, {r}, 1) = '-' THEN -1.0 ELSE 1.0 END)"
+    return (f"(CASE WHEN regexp_matches({s0}, {r}) AND ({anyp}) AND NOT ({present(2)}) AND NOT ({present(3)}) "
+            f"THEN {sign} * {minutes} END)")
+
+
+SQL["ingest_catalog"] = "WITH " + RAW_CATALOG_SQL.strip() + f"""
+SELECT RecipeId, {duration_sql('CookTime')} AS CookTime_Minutes, {duration_sql('PrepTime')} AS PrepTime_Minutes,
+  {duration_sql('TotalTime')} AS TotalTime_Minutes,
+  CAST(len({parse_list_sql('RecipeIngredientParts')}) AS INTEGER) AS NumIngredients,
+  CAST(len({parse_list_sql('RecipeIngredientQuantities')}) AS INTEGER) AS NumQuantities,
+  array_to_string({parse_list_sql('RecipeIngredientParts')}, '|') AS ingredients,
+  array_to_string({parse_list_sql('Keywords')}, '|') AS keywords
+FROM raw_catalog"""
+
+SQL["document_list_cells"] = f"""
+SELECT doc_id, CAST(len({parse_list_sql('text')}) AS INTEGER) AS n_items,
+  CAST(coalesce(list_sum(list_transform({parse_list_sql('text')}, lambda x: length(x))), 0) AS BIGINT) AS item_chars
+FROM documents"""
