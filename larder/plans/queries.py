@@ -619,3 +619,55 @@ def q_document_list_cells(spark, sf_dir):
     items = parse_list(F.col("text"))
     return d.select("doc_id", F.size(items).alias("n_items"),
                     F.aggregate(items, F.lit(0).cast("long"), lambda acc, x: acc + F.length(x)).alias("item_chars"))
+
+
+# -- legacy one-shot variant (M14, M15) ------------------------------------------------
+
+from larder.operators import legacy as LG  # noqa: E402
+
+
+def legacy_text(spark, sf_dir):
+    def build():
+        cat = V.catalog(spark, sf_dir)
+        n = cat.count()
+        terms = materialize(LG.legacy_terms(V.ingredients(spark, sf_dir), "RecipeId", "ingredient"))
+        vocab = materialize(LG.legacy_vocabulary(terms, n))
+        return n, terms, vocab
+    return stage(spark, sf_dir, "legacy_text", build)
+
+
+@query("legacy_pca_explained")
+def q_legacy_pca_explained(spark, sf_dir):
+    """PCA of the 11 raw, median-filled, scaled columns."""
+    scaled = LG.legacy_scaled(V.catalog(spark, sf_dir))
+    return RD.pca_explained(spark, RD.fit_pca(scaled, LG.LEGACY_NUMERIC_COLS))
+
+
+@query("legacy_pca_scores")
+def q_legacy_pca_scores(spark, sf_dir):
+    scaled = LG.legacy_scaled(V.catalog(spark, sf_dir))
+    model = RD.fit_pca(scaled, LG.LEGACY_NUMERIC_COLS)
+    return RD.pca_scores(scaled, model, k=LG.LEGACY_PCA_SCORES, prefix="pca_")
+
+
+@query("legacy_text_vocabulary")
+def q_legacy_text_vocabulary(spark, sf_dir):
+    """min_df 5, top 5,000 terms by corpus count, smooth idf."""
+    _, _, vocab = legacy_text(spark, sf_dir)
+    return vocab
+
+
+@query("legacy_text_tfidf")
+def q_legacy_text_tfidf(spark, sf_dir):
+    _, terms, vocab = legacy_text(spark, sf_dir)
+    return LG.legacy_matrix(terms, vocab).withColumnRenamed("id", "RecipeId")
+
+
+@query("legacy_text_svd")
+def q_legacy_text_svd(spark, sf_dir):
+    n, terms, vocab = legacy_text(spark, sf_dir)
+    matrix = materialize(LG.legacy_matrix(terms, vocab))
+    f = vocab.count()
+    model = LG.legacy_svd(matrix, n, f)
+    k = model.components.shape[0]
+    return RD.svd_explained(spark, model, k)

@@ -863,3 +863,20 @@ SQL["document_list_cells"] = f"""
 SELECT doc_id, CAST(len({parse_list_sql('text')}) AS INTEGER) AS n_items,
   CAST(coalesce(list_sum(list_transform({parse_list_sql('text')}, lambda x: length(x))), 0) AS BIGINT) AS item_chars
 FROM documents"""
+
+
+# -- legacy ---------------------------------------------------------------------------------
+
+_LEG = "WITH " + VIEW_SQL["catalog"].strip() + ",\n" + VIEW_SQL["ingredients"].strip() + """,
+lt AS (SELECT RecipeId AS id, term, COUNT(*) AS tf FROM (
+  SELECT RecipeId, unnest(regexp_extract_all(lower(replace(ingredient, ' ', '_')), '\\b\\w\\w+\\b')) AS term
+  FROM ingredients) GROUP BY RecipeId, term),
+ls AS (SELECT term, COUNT(*) AS df, SUM(tf) AS total_count FROM lt GROUP BY term),
+lk AS (SELECT term, df, total_count, row_number() OVER (ORDER BY total_count DESC, term) AS rk FROM ls WHERE df >= 5),
+lv AS (SELECT term, df, total_count, ln((1.0 + (SELECT COUNT(*) FROM catalog)) / (1.0 + df)) + 1 AS idf,
+  CAST(row_number() OVER (ORDER BY term) - 1 AS INTEGER) AS feature_index FROM lk WHERE rk <= 5000),
+lw AS (SELECT lt.id, lv.feature_index, lt.tf * lv.idf AS w FROM lt JOIN lv ON lt.term = lv.term),
+ln_ AS (SELECT id, sqrt(sum(w * w)) AS norm FROM lw GROUP BY id)"""
+SQL["legacy_text_vocabulary"] = _LEG + "\nSELECT term, df, CAST(total_count AS BIGINT) AS total_count, idf, feature_index FROM lv"
+SQL["legacy_text_tfidf"] = _LEG + """
+SELECT lw.id AS RecipeId, feature_index, w / norm AS value FROM lw JOIN ln_ ON lw.id = ln_.id"""
