@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.functions.numbers import percent, to_number
+from larder.functions.quantiles import exact_quantiles
 from larder.functions.text import normalize_token_ascii
 from larder.operators.numeric import adjusted_skew
 
@@ -123,13 +124,13 @@ def numeric_profile(df: DataFrame, columns: list[str] | None = None) -> DataFram
         x = to_number(df, c)
         aggs += [F.count(x).alias(f"n_{i}"), F.avg(x).alias(f"mean_{i}"), F.stddev_samp(x).alias(f"std_{i}"),
                  F.min(x).alias(f"min_{i}"), F.max(x).alias(f"max_{i}"),
-                 F.percentile(x, F.lit(PROFILE_PERCENTILES)).alias(f"q_{i}"),
                  adjusted_skew(x).alias(f"skew_{i}")]
     one = df.agg(*aggs)
+    quant = exact_quantiles(df, {c: to_number(df, c) for c in cols}, PROFILE_PERCENTILES)
     names = ["p1", "p5", "p25", "p50", "p75", "p95", "p99"]
     structs = []
     for i, c in enumerate(cols):
-        q = F.col(f"q_{i}")
+        q = [F.lit(v).cast("double") for v in quant[c]]
         structs.append(F.struct(
             F.lit(c).alias("column"), F.col(f"n_{i}").alias("count"),
             F.round((F.col("__n") - F.col(f"n_{i}")) * 100.0 / F.col("__n"), 2).alias("missing_pct"),
@@ -142,8 +143,8 @@ def numeric_profile(df: DataFrame, columns: list[str] | None = None) -> DataFram
 def correlation_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """A19 + A2: Pearson correlation of every pair after filling each column with its median."""
     cols = [c for c in (columns or NUMERIC_CANDIDATES) if c in df.columns]
-    meds = df.agg(*[F.median(to_number(df, c)).alias(c) for c in cols]).first()
-    filled = df.select(*[F.coalesce(to_number(df, c), F.lit(meds[c])).alias(c) for c in cols])
+    meds = exact_quantiles(df, {c: to_number(df, c) for c in cols}, [0.5])
+    filled = df.select(*[F.coalesce(to_number(df, c), F.lit(meds[c][0])).alias(c) for c in cols])
     aggs, pairs = [], []
     for i, a in enumerate(cols):
         for j in range(i, len(cols)):
@@ -163,14 +164,14 @@ def describe(df: DataFrame, columns: list[str], percentiles: list[float]) -> Dat
     aggs = []
     for i, c in enumerate(numeric):
         aggs += [F.count(c).alias(f"n_{i}"), F.avg(c).alias(f"m_{i}"), F.stddev_samp(c).alias(f"s_{i}"),
-                 F.min(c).cast("double").alias(f"lo_{i}"), F.max(c).cast("double").alias(f"hi_{i}"),
-                 F.percentile(F.col(c), F.lit(percentiles)).alias(f"q_{i}")]
+                 F.min(c).cast("double").alias(f"lo_{i}"), F.max(c).cast("double").alias(f"hi_{i}")]
     one = df.agg(*aggs)
+    quant = exact_quantiles(df, {c: F.col(c) for c in numeric}, percentiles)
     structs = []
     for i, c in enumerate(numeric):
         stats = [("count", F.col(f"n_{i}").cast("double")), ("mean", F.col(f"m_{i}")),
                  ("std", F.col(f"s_{i}")), ("min", F.col(f"lo_{i}"))]
-        stats += [(f"{round(p * 100, 6):g}%", F.col(f"q_{i}")[j]) for j, p in enumerate(percentiles)]
+        stats += [(f"{round(p * 100, 6):g}%", F.lit(quant[c][j]).cast("double")) for j, p in enumerate(percentiles)]
         stats.append(("max", F.col(f"hi_{i}")))
         structs += [F.struct(F.lit(c).alias("column"), F.lit(s).alias("stat"), v.alias("value"))
                     for s, v in stats]

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder.functions.quantiles import exact_quantiles
 from larder.functions.text import LEGACY_TOKEN_PATTERN, vectorizer_terms
 from larder.operators import reduce as RD
 
@@ -32,8 +33,9 @@ LEGACY_SVD_COMPONENTS = 100
 
 def legacy_scaled(df: DataFrame, cols: list[str] = LEGACY_NUMERIC_COLS, id_col: str = "RecipeId") -> DataFrame:
     """M14 input: median-filled, standard-scaled raw columns (population std)."""
-    med = df.agg(*[F.median(c).alias(c) for c in cols]).first()
-    filled = df.select(F.col(id_col), *[F.coalesce(F.col(c).cast("double"), F.lit(med[c])).alias(c) for c in cols])
+    med = exact_quantiles(df, {c: F.col(c) for c in cols}, [0.5])
+    filled = df.select(F.col(id_col), *[F.coalesce(F.col(c).cast("double"), F.lit(med[c][0])).alias(c)
+                                        for c in cols])
     st = filled.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
                     *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(cols)]).first()
     return filled.select(F.col(id_col), *[

@@ -19,6 +19,7 @@ from larder.functions.numbers import (
     isclose, non_negative, positive, to_number, with_servings_parse, yield_text,
     yield_unit_from_text,
 )
+from larder.functions.quantiles import exact_quantiles
 from larder.functions.text import blank_missing, category_clean, clean_text
 from larder.sources.tables import require_columns
 
@@ -128,14 +129,14 @@ def resolve_times(df: DataFrame) -> DataFrame:
 
 
 def global_medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
-    """Exact medians of whole columns: one aggregate row on the driver."""
-    row = df.agg(*[F.median(c).alias(c) for c in columns]).first()
+    """Exact medians of whole columns by distributed rank selection (no single-task merge)."""
+    meds = exact_quantiles(df, {c: F.col(c) for c in columns}, [0.5])
     out = {}
     for c in columns:
-        if row[c] is None:
+        if meds[c][0] is None:
             raise ValueError(f"Cannot impute {c}: no non-missing values are available "
                              "to compute a global median.")
-        out[c] = float(row[c])
+        out[c] = float(meds[c][0])
     return out
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.numbers import isclose, percent
+from larder.functions.quantiles import exact_quantiles
 
 
 def _count_if(cond: Column) -> Column:
@@ -54,9 +55,11 @@ def servings_summary(resolved: DataFrame, present: str = "cleaned") -> DataFrame
         F.sum("servings_missing_after_yield_parse").cast("long").alias("still_missing_after_yield_parse"),
         F.sum("servings_imputed_with_category_median").cast("long").alias("imputed_with_category_median"),
         F.sum("servings_imputed_with_global_median").cast("long").alias("imputed_with_global_median"),
-        F.median("ResolvedServings").alias("median_before"),
-        F.median("ResolvedServings_imputed").alias("median_after"),
     )
+    meds = exact_quantiles(resolved, {"b": F.col("ResolvedServings"), "a": F.col("ResolvedServings_imputed")},
+                           [0.5])
+    agg = agg.withColumns({"median_before": F.lit(meds["b"][0]).cast("double"),
+                           "median_after": F.lit(meds["a"][0]).cast("double")})
     t = F.col("total_recipes")
     null_long, null_dbl = F.lit(None).cast("long"), F.lit(None).cast("double")
     counts = ["total_recipes", "servings_only", "yield_only", "both_present", "both_missing",

@@ -34,7 +34,7 @@ def stage(spark: SparkSession, sf_dir: str, name: str, build):
     Later queries read the checkpointed table (as a pipeline step reads the
     previous step's written output) instead of recomputing its lineage.
     """
-    key = (id(spark.sparkContext), sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _STAGES:
         _STAGES[key] = build()
     return _STAGES[key]
