@@ -200,8 +200,8 @@ def flag_counts(resolved: DataFrame, flags: list[str]) -> DataFrame:
 
 def audit_token_sets(long_df: DataFrame, id_col: str, raw_col: str) -> DataFrame:
     """F15 + F16: ``(id, token)`` distinct non-empty ASCII-normalized tokens."""
-    tok = normalize_token_ascii(F.col(raw_col))
-    return (long_df.select(F.col(id_col).alias("id"), tok.alias("token"))
+    from larder.operators.content import via_dictionary
+    return (via_dictionary(long_df, id_col, raw_col, normalize_token_ascii)
             .where(F.col("token") != "").distinct())
 
 

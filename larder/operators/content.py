@@ -47,10 +47,23 @@ DEFAULT_PARAMS = {
 }
 
 
+def via_dictionary(long_df: DataFrame, id_col: str, raw_col: str, fn, out: str = "token") -> DataFrame:
+    """``(id, out)`` with ``out = fn(raw)`` computed once per distinct raw string.
+
+    Raw strings repeat far more than they vary, so the regex work runs on
+    the distinct dictionary (map-side de-duplicated), which joins back to
+    the occurrences; AQE makes that a broadcast join when the dictionary is
+    small and a skew-split shuffle join when it is not.
+    """
+    occ = (long_df.select(F.col(id_col).alias("id"), F.col(raw_col).cast("string").alias("__raw"))
+           .where(F.col("__raw").isNotNull()))
+    dic = occ.select("__raw").distinct().select("__raw", fn(F.col("__raw")).alias(out))
+    return occ.join(dic, "__raw", "inner").select("id", out)
+
+
 def ingredient_documents(long_df: DataFrame, id_col: str, raw_col: str) -> DataFrame:
     """F14 + F16 + F17: distinct non-empty normalized tokens per document."""
-    tok = normalize_token(F.col(raw_col))
-    return (long_df.select(F.col(id_col).alias("id"), tok.alias("token"))
+    return (via_dictionary(long_df, id_col, raw_col, normalize_token)
             .where(F.col("token") != "").distinct())
 
 
@@ -59,7 +72,7 @@ def keyword_documents(long_df: DataFrame, id_col: str, raw_col: str) -> tuple[Da
 
     Removed tags are counted per occurrence, before de-duplication.
     """
-    tok = long_df.select(F.col(id_col).alias("id"), normalize_token(F.col(raw_col)).alias("token"))
+    tok = via_dictionary(long_df, id_col, raw_col, normalize_token)
     tok = tok.where(F.col("token") != "")
     time_like = is_time_like(F.col("token"))
     kept = tok.where(~time_like).distinct()
@@ -92,8 +105,9 @@ def yield_documents(df: DataFrame, id_col: str = "RecipeId",
 
 
 def document_terms(docs: DataFrame, group: str) -> DataFrame:
-    """``(id, group, term, tf)`` as the vectorizer counts them."""
-    return (docs.select("id", F.explode(vectorizer_terms(F.col("token"))).alias("term"))
+    """``(id, group, term, tf)`` as the vectorizer counts them (terms per distinct token)."""
+    with_terms = via_dictionary(docs, "id", "token", vectorizer_terms, out="terms")
+    return (with_terms.select("id", F.explode("terms").alias("term"))
             .groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
             .withColumn("feature_group", F.lit(group)))
 

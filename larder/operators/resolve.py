@@ -170,11 +170,18 @@ def impute_category_then_global(df: DataFrame, specs: list[ImputeSpec],
     return out.withColumns(cols).drop(*med_names.values())
 
 
-def resolve_catalog(df: DataFrame) -> DataFrame:
-    """Job 2: the resolved table (input columns + 36 new ones)."""
+def resolve_catalog(df: DataFrame, cut=None) -> DataFrame:
+    """Job 2: the resolved table (input columns + 36 new ones).
+
+    ``cut`` (e.g. a reliable checkpoint) is applied to the pre-imputation
+    table: the medians pass and the final projection then read it instead of
+    re-running every parse, and later filters cannot inline the parse chain.
+    """
     require_columns(df, ["RecipeId", "RecipeServings", "RecipeYield",
                          "PrepTime_Minutes", "CookTime_Minutes", "TotalTime_Minutes"], "catalog")
     base = resolve_times(resolve_servings(clean_category(df)))
+    if cut is not None:
+        base = cut(base)
     out = impute_category_then_global(base, [SERVINGS_SPEC, *TIME_SPECS])
     new_cols = [
         "category_missing_original", CATEGORY_COL,

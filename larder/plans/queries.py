@@ -43,7 +43,7 @@ def stage(spark: SparkSession, sf_dir: str, name: str, build):
 def resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The resolved catalog, checkpointed: every later stage reads it."""
     return stage(spark, sf_dir, "resolved",
-                 lambda: materialize(R.resolve_catalog(V.catalog(spark, sf_dir))))
+                 lambda: materialize(R.resolve_catalog(V.catalog(spark, sf_dir), cut=materialize)))
 
 
 SERVINGS_COLS = [
@@ -135,8 +135,7 @@ def q_time_imputation(spark, sf_dir):
 
 @query("resolved_contract")
 def q_resolved_contract(spark, sf_dir):
-    src = V.catalog(spark, sf_dir)
-    return S.resolved_contract(src, R.resolve_catalog(src))
+    return S.resolved_contract(V.catalog(spark, sf_dir), resolved(spark, sf_dir))
 
 
 # -- numeric matrix (M1, M2, A6, A7, C2) -----------------------------------------
