@@ -32,6 +32,10 @@ YIELD_TOKEN_RE = r"^yield__[a-z0-9_/]+$"
 # ---------------------------------------------------------------------------
 
 
+# A token dictionary is broadcast only when its measured size is at most this.
+DICTIONARY_BROADCAST_MAX_ROWS = 1_000_000
+
+
 @dataclass(frozen=True)
 class GroupParams:
     min_df: int
@@ -51,13 +55,19 @@ def via_dictionary(long_df: DataFrame, id_col: str, raw_col: str, fn, out: str =
     """``(id, out)`` with ``out = fn(raw)`` computed once per distinct raw string.
 
     Raw strings repeat far more than they vary, so the regex work runs on
-    the distinct dictionary (map-side de-duplicated), which joins back to
-    the occurrences; AQE makes that a broadcast join when the dictionary is
-    small and a skew-split shuffle join when it is not.
+    the distinct dictionary (map-side de-duplicated, checkpointed).  It is
+    counted, and broadcast only when that count is at most
+    ``larder.dictionary.broadcastMaxRows``; beyond it the join shuffles
+    (AQE splits hot strings).
     """
+    from larder.plans.materialize import materialize
+
     occ = (long_df.select(F.col(id_col).alias("id"), F.col(raw_col).cast("string").alias("__raw"))
            .where(F.col("__raw").isNotNull()))
-    dic = occ.select("__raw").distinct().select("__raw", fn(F.col("__raw")).alias(out))
+    dic = materialize(occ.select("__raw").distinct().select("__raw", fn(F.col("__raw")).alias(out)), "dictionary")
+    limit = int(long_df.sparkSession.conf.get("larder.dictionary.broadcastMaxRows", str(DICTIONARY_BROADCAST_MAX_ROWS)))
+    if dic.count() <= limit:  # proven small: broadcast, the occurrences are never shuffled
+        dic = F.broadcast(dic)
     return occ.join(dic, "__raw", "inner").select("id", out)
 
 
@@ -105,8 +115,8 @@ def yield_documents(df: DataFrame, id_col: str = "RecipeId",
 
 
 def document_terms(docs: DataFrame, group: str) -> DataFrame:
-    """``(id, group, term, tf)`` as the vectorizer counts them (terms per distinct token)."""
-    with_terms = via_dictionary(docs, "id", "token", vectorizer_terms, out="terms")
+    """``(id, group, term, tf)`` as the vectorizer counts them."""
+    with_terms = docs.join(token_terms(docs), "token", "inner")
     return (with_terms.select("id", F.explode("terms").alias("term"))
             .groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
             .withColumn("feature_group", F.lit(group)))
@@ -150,11 +160,12 @@ def weighted_matrix(terms: DataFrame, features: DataFrame, params: dict[str, Gro
     raw = F.when(F.col("feature_group").isin(*tfidf_groups),
                  (1.0 + F.log(F.col("tf").cast("double"))) * F.col("idf")).otherwise(F.lit(1.0))
     joined = joined.withColumn("w", raw)
-    norms = (joined.where(F.col("feature_group").isin(*tfidf_groups))
-             .groupBy("id", "feature_group").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")))
-    out = joined.join(norms, ["id", "feature_group"], "left")
-    value = F.when(F.col("norm").isNull(), F.col("w")).otherwise(F.col("w") / F.col("norm"))
-    return out.select("id", "feature_index", (value * F.col("group_weight")).alias("value"))
+    # L2 norm per (document, group): one exchange on (id, group); a partition
+    # holds at most one group's vocabulary worth of rows, whatever the skew.
+    per_doc = Window.partitionBy("id", "feature_group")
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(per_doc))
+    value = F.when(F.col("feature_group").isin(*tfidf_groups), F.col("w") / norm).otherwise(F.col("w"))
+    return joined.select("id", "feature_index", (value * F.col("group_weight")).alias("value"))
 
 
 @dataclass
@@ -176,23 +187,28 @@ def build_content(ids: DataFrame, docs: dict[str, DataFrame], sources: dict[str,
     ``ids`` is the document universe (one row per catalog item; empty
     documents count in ``n``).  Groups with no term left after pruning are
     skipped (a group with no non-empty document has no term either); all
-    groups empty is an error.  The term table, read by the df count, the
-    matrix and the norms, is checkpointed once; so is the (small) vocabulary.
+    groups empty is an error.  Passes: all documents are written once; terms
+    come from a distinct-token dictionary over that table; the term table
+    (read by the df count, the matrix and the norms) and the small
+    vocabulary are written once each.
     """
     from larder.plans.materialize import materialize
 
     params = dict(params or DEFAULT_PARAMS)
     universe = ids.select(F.col(id_col).alias("id"))
     n_docs = universe.count()
-    docs = {g: d.join(universe, "id", "left_semi") for g, d in docs.items()}
-    terms = None
+    all_docs = None
     for g in GROUP_ORDER:
         if g in docs:
-            t = document_terms(docs[g], g)
-            terms = t if terms is None else terms.unionByName(t)
-    terms = materialize(terms)
+            d = docs[g].select("id", "token", F.lit(g).alias("feature_group"))
+            all_docs = d if all_docs is None else all_docs.unionByName(d)
+    all_docs = materialize(all_docs.join(universe, "id", "left_semi"), "docs")
+    with_terms = all_docs.join(token_terms(all_docs), "token", "inner")
+    terms = materialize(
+        with_terms.select("id", "feature_group", F.explode("terms").alias("term"))
+        .groupBy("id", "feature_group", "term").agg(F.count(F.lit(1)).alias("tf")), "terms")
     vocab = fit_vocabulary(terms, n_docs, {g: params[g] for g in docs})
-    features = materialize(number_features(vocab))
+    features = materialize(number_features(vocab), "features")
     vsize = {r["feature_group"]: r["n"] for r in
              features.groupBy("feature_group").agg(F.count(F.lit(1)).alias("n")).collect()}
     included = [g for g in GROUP_ORDER if g in docs and vsize.get(g, 0) > 0]
@@ -200,7 +216,18 @@ def build_content(ids: DataFrame, docs: dict[str, DataFrame], sources: dict[str,
         raise ValueError("No content feature groups produced a non-empty matrix.")
     matrix = weighted_matrix(terms.where(F.col("feature_group").isin(*included)), features,
                              {g: params[g] for g in included})
-    return ContentModel(n_docs, features, matrix, terms, docs, dict(sources), params, included)
+    split = {g: all_docs.where(F.col("feature_group") == g).select("id", "token") for g in docs}
+    return ContentModel(n_docs, features, matrix, terms, split, dict(sources), params, included)
+
+
+def token_terms(docs: DataFrame) -> DataFrame:
+    """F22 dictionary: ``(token, terms)`` for every distinct token, size-checked for broadcast."""
+    from larder.plans.materialize import materialize
+
+    dic = materialize(docs.select("token").distinct()
+                      .select("token", vectorizer_terms(F.col("token")).alias("terms")), "token_terms")
+    limit = int(docs.sparkSession.conf.get("larder.dictionary.broadcastMaxRows", str(DICTIONARY_BROADCAST_MAX_ROWS)))
+    return F.broadcast(dic) if dic.count() <= limit else dic
 
 
 def token_summary(model: ContentModel, group: str) -> DataFrame:
