@@ -49,34 +49,81 @@ TIME_SPECS = [
 ]
 
 
-def clean_category(df: DataFrame, source_col: str = "RecipeCategory") -> DataFrame:
+# A value dictionary is broadcast only when its measured size is at most this.
+VALUE_DICTIONARY_BROADCAST_MAX_ROWS = 1_000_000
+
+
+def value_dictionary(df: DataFrame, col: str, build, cut=None) -> DataFrame:
+    """Per-value results for a repetitive text column, computed once per distinct value.
+
+    ``build`` maps the distinct non-NULL values (one column ``col``) to their
+    derived columns.  With ``cut`` (a lineage cut) the dictionary is written,
+    counted, and broadcast only when it is at most
+    ``larder.dictionary.broadcastMaxRows`` rows; otherwise the join shuffles.
+    """
+    values = df.select(col).where(F.col(col).isNotNull()).distinct()
+    dic = build(values)
+    if cut is None:
+        return dic
+    dic = cut(dic)
+    limit = int(df.sparkSession.conf.get("larder.dictionary.broadcastMaxRows",
+                                         str(VALUE_DICTIONARY_BROADCAST_MAX_ROWS)))
+    return F.broadcast(dic) if dic.count() <= limit else dic
+
+
+def clean_category(df: DataFrame, source_col: str = "RecipeCategory", cut=None) -> DataFrame:
     """F6 + P6 + P8: ``category_missing_original`` and ``RecipeCategory_clean``.
 
     P11: without the source column every row is missing (flag 1, NULL).
+    With ``cut``, the regex chain runs once per distinct category.
     """
     if source_col not in df.columns:
         return df.withColumns({"category_missing_original": F.lit(1),
                                CATEGORY_COL: F.lit(None).cast("string")})
     src = F.col(source_col)
-    return df.withColumns({
-        "category_missing_original": blank_missing(src).cast("int"),
-        CATEGORY_COL: category_clean(src),
-    })
+    if cut is None:
+        return df.withColumns({
+            "category_missing_original": blank_missing(src).cast("int"),
+            CATEGORY_COL: category_clean(src),
+        })
+    dic = value_dictionary(df, source_col, lambda v: v.select(
+        source_col, blank_missing(F.col(source_col)).cast("int").alias("__cat_missing"),
+        category_clean(F.col(source_col)).alias("__cat_clean")), cut)
+    out = df.join(dic, source_col, "left")
+    return out.withColumns({
+        "category_missing_original": F.when(src.isNull(), F.lit(1)).otherwise(F.col("__cat_missing")),
+        CATEGORY_COL: F.col("__cat_clean"),
+    }).drop("__cat_missing", "__cat_clean")
+
+
+def _parse_yield(df: DataFrame, yield_col: str) -> DataFrame:
+    """Yield text -> cleaned text, servings parsed from it, and its unit token."""
+    out = df.withColumn("RecipeYield_clean", clean_text(F.col(yield_col)))
+    # Staged columns keep each generated expression small (the parse nests
+    # regex groups inside number parsing).
+    out = out.withColumn("__yield_text", yield_text(F.col("RecipeYield_clean")))
+    out = with_servings_parse(out, "__yield_text", "servings_parsed_from_yield")
+    return out.withColumn("yield_unit_token", yield_unit_from_text(
+        F.col("__yield_text"), F.col("servings_parsed_from_yield"))).drop("__yield_text")
 
 
 def resolve_servings(df: DataFrame, servings_col: str = "RecipeServings",
-                     yield_col: str = "RecipeYield") -> DataFrame:
-    """F9 + F11 + P4/P5/P8: explicit servings first, then servings parsed from yield."""
+                     yield_col: str = "RecipeYield", cut=None) -> DataFrame:
+    """F9 + F11 + P4/P5/P8: explicit servings first, then servings parsed from yield.
+
+    With ``cut``, the yield parse runs once per distinct yield text.
+    """
     require_columns(df, [servings_col, yield_col], "catalog")
     out = df.withColumns({
         "servings_missing_original": blank_missing(F.col(servings_col)).cast("int"),
         "RecipeServings_clean": positive(to_number(df, servings_col)),
-        "RecipeYield_clean": clean_text(F.col(yield_col)),
     })
-    # Staged columns keep each generated expression small (the parse nests
-    # regex groups inside number parsing).
-    out = out.withColumn("__yield_text", yield_text(F.col("RecipeYield_clean")))
-    out = with_servings_parse(out, "__yield_text", "servings_parsed_from_yield")
+    if cut is None:
+        out = _parse_yield(out, yield_col)
+    else:
+        dic = value_dictionary(df, yield_col, lambda v: _parse_yield(v, yield_col), cut)
+        out = out.join(dic, yield_col, "left").withColumn(
+            "yield_unit_token", F.coalesce(F.col("yield_unit_token"), F.lit("")))
     use_yield = F.col("RecipeServings_clean").isNull() & F.col("servings_parsed_from_yield").isNotNull()
     return out.withColumns({
         "ResolvedServings": F.coalesce("RecipeServings_clean", "servings_parsed_from_yield"),
@@ -84,9 +131,7 @@ def resolve_servings(df: DataFrame, servings_col: str = "RecipeServings",
         "servings_missing_after_yield_parse": (
             F.col("RecipeServings_clean").isNull() & F.col("servings_parsed_from_yield").isNull()
         ).cast("int"),
-        "yield_unit_token": yield_unit_from_text(F.col("__yield_text"),
-                                                 F.col("servings_parsed_from_yield")),
-    }).drop("__yield_text")
+    })
 
 
 def resolve_times(df: DataFrame) -> DataFrame:
@@ -179,7 +224,7 @@ def resolve_catalog(df: DataFrame, cut=None) -> DataFrame:
     """
     require_columns(df, ["RecipeId", "RecipeServings", "RecipeYield",
                          "PrepTime_Minutes", "CookTime_Minutes", "TotalTime_Minutes"], "catalog")
-    base = resolve_times(resolve_servings(clean_category(df)))
+    base = resolve_times(resolve_servings(clean_category(df, cut=cut), cut=cut))
     if cut is not None:
         base = cut(base)
     out = impute_category_then_global(base, [SERVINGS_SPEC, *TIME_SPECS])
