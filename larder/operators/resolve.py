@@ -185,6 +185,42 @@ def global_medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
     return out
 
 
+HOT_GROUP_BATCH = 64
+
+
+def grouped_medians(df: DataFrame, group_col: str, value_cols: list[str],
+                    names: dict[str, str]) -> DataFrame:
+    """Exact median of each value column per non-NULL group, safe for hot groups.
+
+    A group with at most ``larder.quantile.singleTaskMaxRows`` values uses
+    the grouped exact ``percentile`` (its merge holds at most that many
+    values).  A hot group (more rows than that; there are at most
+    rows / limit of them) gets its medians by distributed rank selection, in
+    batches, so no task ever holds a hot group's values.
+    """
+    from larder.functions.quantiles import SINGLE_TASK_MAX_ROWS
+
+    spark = df.sparkSession
+    limit = int(spark.conf.get("larder.quantile.singleTaskMaxRows", str(SINGLE_TASK_MAX_ROWS)))
+    keyed = df.where(F.col(group_col).isNotNull())
+    sizes = keyed.groupBy(group_col).agg(F.count(F.lit(1)).alias("__n"))
+    hot = [r[0] for r in sizes.where(F.col("__n") > limit).select(group_col).collect()]
+    small = (keyed.where(~F.col(group_col).isin(*hot)) if hot else keyed).groupBy(group_col).agg(
+        *[F.median(v).alias(names[v]) for v in value_cols])
+    if not hot:
+        return small
+    rows = []
+    for start in range(0, len(hot), HOT_GROUP_BATCH):
+        batch = hot[start:start + HOT_GROUP_BATCH]
+        exprs = {f"{i}|{v}": F.when(F.col(group_col) == F.lit(g), F.col(v))
+                 for i, g in enumerate(batch) for v in value_cols}
+        q = exact_quantiles(keyed, exprs, [0.5])
+        rows += [(g, *[q[f"{i}|{v}"][0] for v in value_cols]) for i, g in enumerate(batch)]
+    gtype = df.schema[group_col].dataType.simpleString()
+    schema = f"`{group_col}` {gtype}, " + ", ".join(f"`{names[v]}` double" for v in value_cols)
+    return small.unionByName(spark.createDataFrame(rows, schema))
+
+
 def impute_category_then_global(df: DataFrame, specs: list[ImputeSpec],
                                 category_col: str = CATEGORY_COL) -> DataFrame:
     """A1 + J1: fill each value with its category median, else the global median.
@@ -199,9 +235,7 @@ def impute_category_then_global(df: DataFrame, specs: list[ImputeSpec],
     if category_col not in df.columns:
         df = df.withColumn(category_col, F.lit(None).cast("string"))
     med_names = {s.value_col: f"__cat_median_{i}" for i, s in enumerate(specs)}
-    medians = (df.where(F.col(category_col).isNotNull())
-               .groupBy(category_col)
-               .agg(*[F.median(v).alias(med_names[v]) for v in value_cols]))
+    medians = grouped_medians(df, category_col, value_cols, med_names)
     out = df.join(medians, on=category_col, how="left")
     cols = {}
     for s in specs:

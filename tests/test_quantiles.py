@@ -32,3 +32,21 @@ def test_exact_quantiles_match_numpy(spark, monkeypatch, buckets, final_rows, si
 def test_empty_column(spark):
     df = spark.createDataFrame([(None,), (None,)], "a double")
     assert Q.exact_quantiles(df, {"a": F.col("a")}, [0.5]) == {"a": [None]}
+
+
+def test_grouped_medians_hot_groups(spark):
+    """Hot groups (above the single-task limit) take the rank-selection path; same medians."""
+    from larder.operators.resolve import grouped_medians
+    rng = np.random.default_rng(5)
+    cats = np.where(rng.random(3000) < 0.6, "hot", rng.choice(["a", "b", "c"], 3000))
+    vals = rng.normal(50, 20, 3000)
+    rows = [(str(c), float(v) if i % 7 else None) for i, (c, v) in enumerate(zip(cats, vals))]
+    df = spark.createDataFrame(rows + [(None, 1.0)], "g string, v double")
+    names = {"v": "m"}
+    spark.conf.set("larder.quantile.singleTaskMaxRows", "500")
+    got = {r["g"]: r["m"] for r in grouped_medians(df, "g", ["v"], names).collect()}
+    spark.conf.unset("larder.quantile.singleTaskMaxRows")
+    for g in ("hot", "a", "b", "c"):
+        expected = np.median([v for c, v in rows if c == g and v is not None])
+        assert abs(got[g] - expected) < 1e-9, g
+    assert None not in got
