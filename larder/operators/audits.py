@@ -9,7 +9,7 @@ tie-break; the limit is the feature.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -264,20 +264,24 @@ def vocabulary_sweep(universe: DataFrame, tokens: DataFrame, thresholds: list[in
 # -- categories, dates, interactions ---------------------------------------------------
 
 def category_counts(df: DataFrame, col: str = "RecipeCategory") -> DataFrame:
-    """A26 input: recipes per raw category, NULL counted as ``Unknown``, ranked."""
-    counts = (df.groupBy(F.coalesce(F.col(col), F.lit("Unknown")).alias("category"))
-              .agg(F.count(F.lit(1)).alias("count")))
-    w = Window.orderBy(F.desc("count"), "category")
-    return counts.withColumn("rank", F.row_number().over(w))
+    """A26 input: recipes per raw category, NULL counted as ``Unknown``."""
+    return (df.groupBy(F.coalesce(F.col(col), F.lit("Unknown")).alias("category"))
+            .agg(F.count(F.lit(1)).alias("count")))
+
+
+def top_categories(df: DataFrame, n: int = 30, col: str = "RecipeCategory") -> DataFrame:
+    """The ``n`` largest categories (ties: name), a distributed top-k."""
+    return category_counts(df, col).orderBy(F.desc("count"), "category").limit(n)
 
 
 def category_coverage(df: DataFrame, col: str = "RecipeCategory") -> DataFrame:
     """Distinct categories, top-10/20/30 coverage percent, categories under 50 rows."""
-    total = F.sum("count")
-    one = category_counts(df, col).agg(
-        F.count(F.lit(1)).alias("u"), total.alias("t"),
-        *[F.sum(F.when(F.col("rank") <= k, F.col("count")).otherwise(0)).alias(f"top{k}") for k in (10, 20, 30)],
-        _count_if(F.col("count") < 50).alias("rare"))
+    counts = category_counts(df, col)
+    one = counts.agg(F.count(F.lit(1)).alias("u"), F.sum("count").alias("t"),
+                     _count_if(F.col("count") < 50).alias("rare"))
+    top = [r["count"] for r in top_categories(df, 30, col).collect()]  # at most 30 numbers
+    top = sorted(top, reverse=True)
+    one = one.withColumns({f"top{k}": F.lit(sum(top[:k])).cast("long") for k in (10, 20, 30)})
     return _metric_table(one, [
         ("unique_categories", F.col("u")),
         ("coverage_top10_pct", F.round(F.col("top10") * 100.0 / F.col("t"), 2)),

@@ -138,15 +138,17 @@ def fit_vocabulary(terms: DataFrame, n_docs: int, params: dict[str, GroupParams]
 def number_features(vocab: DataFrame) -> DataFrame:
     """W3 + P14: dense ``feature_index`` (groups in fixed order, terms sorted) and names.
 
-    The vocabulary is model-sized (it is what gets broadcast), so one ordered
-    window over it is cheap.
+    Numbered by a distributed sort (no single-task window), so the
+    vocabulary may be as large as the data makes it.
     """
+    from larder.plans.partitioning import dense_index
+
     rank = F.create_map(*[x for i, g in enumerate(GROUP_ORDER) for x in (F.lit(g), F.lit(i))])
     prefix = F.create_map(*[x for g in GROUP_ORDER for x in (F.lit(g), F.lit(FEATURE_PREFIX[g]))])
     weight = F.create_map(*[x for g in GROUP_ORDER for x in (F.lit(g), F.lit(GROUP_WEIGHTS[g]))])
-    w = Window.orderBy(rank[F.col("feature_group")], "term")
-    return vocab.select(
-        (F.row_number().over(w) - 1).cast("int").alias("feature_index"),
+    ranked = dense_index(vocab.withColumn("__g", rank[F.col("feature_group")]), ["__g", "term"], "__i")
+    return ranked.select(
+        F.col("__i").cast("int").alias("feature_index"),
         F.concat(prefix[F.col("feature_group")], F.col("term")).alias("feature_name"),
         "feature_group", "term", "df", "idf",
         weight[F.col("feature_group")].alias("group_weight"))

@@ -9,7 +9,7 @@ largest corpus count, smooth idf, L2 rows; then a truncated SVD.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.functions.quantiles import exact_quantiles
@@ -53,14 +53,15 @@ def legacy_terms(long_df: DataFrame, id_col: str, raw_col: str) -> DataFrame:
 def legacy_vocabulary(terms: DataFrame, n_docs: int, min_df: int = LEGACY_MIN_DF,
                       max_features: int = LEGACY_MAX_FEATURES) -> DataFrame:
     """M15 vocabulary: ``df >= min_df``, then the top terms by corpus count (ties: term)."""
+    from larder.plans.partitioning import dense_index
+
     stats = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total_count"))
     kept = stats.where(F.col("df") >= min_df)
-    w = Window.orderBy(F.desc("total_count"), "term")
-    top = kept.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= max_features)
-    ordered = Window.orderBy("term")
-    return top.select("term", "df", "total_count",
-                      (F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0).alias("idf")).withColumn(
-        "feature_index", (F.row_number().over(ordered) - 1).cast("int"))
+    top = kept.orderBy(F.desc("total_count"), "term").limit(max_features)  # distributed top-k
+    top = top.select("term", "df", "total_count",
+                     (F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
+    return dense_index(top, ["term"], "feature_index").withColumn(
+        "feature_index", F.col("feature_index").cast("int"))
 
 
 def legacy_matrix(terms: DataFrame, vocab: DataFrame) -> DataFrame:

@@ -23,3 +23,32 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     if df.rdd.getNumPartitions() >= n:
         return df
     return df.repartition(n, *keys) if keys else df.repartition(n)
+
+
+def dense_index(df: DataFrame, order_cols: list, out: str = "index") -> DataFrame:
+    """0-based dense row index in ``order_cols`` order, without a single-task sort.
+
+    Range-partition and sort; within a partition the position comes from
+    ``monotonically_increasing_id`` (partition id in the high bits, position
+    in the low 33); the numbered rows are written once, per-partition counts
+    (one number per partition) give the offsets.
+    """
+    from pyspark.sql import functions as F
+
+    from larder.plans.materialize import materialize
+
+    n = target_partitions(df)
+    numbered = materialize(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+                           .withColumn("__mid", F.monotonically_increasing_id()), "indexed")
+    part = F.shiftright(F.col("__mid"), 33)
+    local = F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = sorted((r["p"], r["c"]) for r in numbered.groupBy(part.alias("p"))
+                    .agg(F.count(F.lit(1)).alias("c")).collect())
+    offsets, run = {}, 0
+    for p, c in counts:
+        offsets[p] = run
+        run += c
+    if not offsets:
+        return numbered.drop("__mid").withColumn(out, F.lit(0).cast("long")).where(F.lit(False))
+    offset = F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p), F.lit(o))])
+    return numbered.withColumn(out, offset[part] + local).drop("__mid")

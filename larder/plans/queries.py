@@ -532,8 +532,7 @@ def q_category_coverage(spark, sf_dir):
 
 @query("top_categories")
 def q_top_categories(spark, sf_dir):
-    return (AU.category_counts(V.catalog(spark, sf_dir)).where(F.col("rank") <= 30)
-            .select("category", "count"))
+    return AU.top_categories(V.catalog(spark, sf_dir), 30)
 
 
 @query("temporal_summary")
