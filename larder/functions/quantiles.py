@@ -114,14 +114,16 @@ def _finish(base: DataFrame, small: list[tuple]) -> dict[tuple[str, int], float]
     return out
 
 
-def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: dict[str, list[float]] | list[float]
+def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: dict[str, list[float]] | list[float],
+                    stats: dict[str, tuple[int, float | None, float | None]] | None = None
                     ) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles of each expression over all non-NULL rows.
 
     ``columns`` maps a name to a numeric expression over ``df``; ``probs`` is
     one list for all columns or a list per name.  NaN and infinities count as
-    missing.  Returns ``{name: [q(p) for p in probs]}`` (None for an empty
-    column).
+    missing.  ``stats`` may give each column's (non-NULL count, min, max)
+    when an earlier aggregate already has them (saves the first pass).
+    Returns ``{name: [q(p) for p in probs]}`` (None for an empty column).
     """
     def clean(c: Column) -> Column:
         d = c.cast("double")
@@ -131,16 +133,20 @@ def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: dict[str,
     per_probs = probs if isinstance(probs, dict) else {n: list(probs) for n in names}
     base = df.select(*[clean(c).alias(f"q{i}") for i, c in enumerate(columns.values())])
     alias = {n: f"q{i}" for i, n in enumerate(names)}
-    row = base.agg(*[x for n in names for x in (F.count(alias[n]).alias(f"n_{alias[n]}"),
-                                                F.min(alias[n]).alias(f"lo_{alias[n]}"),
-                                                F.max(alias[n]).alias(f"hi_{alias[n]}"))]).first()
+    if stats is None:
+        row = base.agg(*[x for n in names for x in (F.count(alias[n]).alias(f"n_{alias[n]}"),
+                                                    F.min(alias[n]).alias(f"lo_{alias[n]}"),
+                                                    F.max(alias[n]).alias(f"hi_{alias[n]}"))]).first()
+        given = {n: (row[f"n_{alias[n]}"], row[f"lo_{alias[n]}"], row[f"hi_{alias[n]}"]) for n in names}
+    else:
+        given = stats
     stats, wanted, plan = {}, {}, {}
     for n in names:
         a = alias[n]
-        cnt = int(row[f"n_{a}"])
+        cnt = int(given[n][0] or 0)
         if cnt == 0:
             continue
-        stats[a] = (cnt, float(row[f"lo_{a}"]), float(row[f"hi_{a}"]))
+        stats[a] = (cnt, float(given[n][1]), float(given[n][2]))
         need = set()
         for p in per_probs[n]:
             h = (cnt - 1) * p

@@ -125,8 +125,11 @@ def numeric_profile(df: DataFrame, columns: list[str] | None = None) -> DataFram
         aggs += [F.count(x).alias(f"n_{i}"), F.avg(x).alias(f"mean_{i}"), F.stddev_samp(x).alias(f"std_{i}"),
                  F.min(x).alias(f"min_{i}"), F.max(x).alias(f"max_{i}"),
                  adjusted_skew(x).alias(f"skew_{i}")]
-    one = df.agg(*aggs)
-    quant = exact_quantiles(df, {c: to_number(df, c) for c in cols}, PROFILE_PERCENTILES)
+    one = df.agg(*aggs).cache()
+    first = one.first()
+    quant = exact_quantiles(df, {c: to_number(df, c) for c in cols}, PROFILE_PERCENTILES,
+                            stats={c: (first[f"n_{i}"], first[f"min_{i}"], first[f"max_{i}"])
+                                   for i, c in enumerate(cols)})
     names = ["p1", "p5", "p25", "p50", "p75", "p95", "p99"]
     structs = []
     for i, c in enumerate(cols):
