@@ -119,15 +119,16 @@ def time_order_checks(df: DataFrame) -> DataFrame:
 def numeric_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """A18 + A5: count, missing %, mean, sample std, min, percentiles, max, adjusted skew."""
     cols = [c for c in (columns or NUMERIC_CANDIDATES) if c in df.columns]
+    prep = df.select(*[to_number(df, c).alias(f"x{i}") for i, c in enumerate(cols)])
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, c in enumerate(cols):
-        x = to_number(df, c)
+        x = F.col(f"x{i}")
         aggs += [F.count(x).alias(f"n_{i}"), F.avg(x).alias(f"mean_{i}"), F.stddev_samp(x).alias(f"std_{i}"),
                  F.min(x).alias(f"min_{i}"), F.max(x).alias(f"max_{i}"),
                  adjusted_skew(x).alias(f"skew_{i}")]
-    one = df.agg(*aggs).cache()
+    one = prep.agg(*aggs).cache()
     first = one.first()
-    quant = exact_quantiles(df, {c: to_number(df, c) for c in cols}, PROFILE_PERCENTILES,
+    quant = exact_quantiles(prep, {c: F.col(f"x{i}") for i, c in enumerate(cols)}, PROFILE_PERCENTILES,
                             stats={c: (first[f"n_{i}"], first[f"min_{i}"], first[f"max_{i}"])
                                    for i, c in enumerate(cols)})
     names = ["p1", "p5", "p25", "p50", "p75", "p95", "p99"]

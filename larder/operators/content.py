@@ -32,10 +32,6 @@ YIELD_TOKEN_RE = r"^yield__[a-z0-9_/]+$"
 # ---------------------------------------------------------------------------
 
 
-# A token dictionary is broadcast only when its measured size is at most this.
-DICTIONARY_BROADCAST_MAX_ROWS = 1_000_000
-
-
 @dataclass(frozen=True)
 class GroupParams:
     min_df: int
@@ -55,19 +51,18 @@ def via_dictionary(long_df: DataFrame, id_col: str, raw_col: str, fn, out: str =
     """``(id, out)`` with ``out = fn(raw)`` computed once per distinct raw string.
 
     Raw strings repeat far more than they vary, so the regex work runs on
-    the distinct dictionary (map-side de-duplicated, checkpointed).  It is
-    counted, and broadcast only when that count is at most
-    ``larder.dictionary.broadcastMaxRows``; beyond it the join shuffles
-    (AQE splits hot strings).
+    the distinct dictionary (map-side de-duplicated, written once).  The
+    written table's measured size decides the join: broadcast under
+    ``spark.sql.autoBroadcastJoinThreshold``, a shuffle join (AQE splits hot
+    strings) above it.
     """
     from larder.plans.materialize import materialize
 
     occ = (long_df.select(F.col(id_col).alias("id"), F.col(raw_col).cast("string").alias("__raw"))
            .where(F.col("__raw").isNotNull()))
+    # written once: the planner sees its file size and broadcasts it only
+    # under spark.sql.autoBroadcastJoinThreshold (else a shuffle join)
     dic = materialize(occ.select("__raw").distinct().select("__raw", fn(F.col("__raw")).alias(out)), "dictionary")
-    limit = int(long_df.sparkSession.conf.get("larder.dictionary.broadcastMaxRows", str(DICTIONARY_BROADCAST_MAX_ROWS)))
-    if dic.count() <= limit:  # proven small: broadcast, the occurrences are never shuffled
-        dic = F.broadcast(dic)
     return occ.join(dic, "__raw", "inner").select("id", out)
 
 
@@ -210,7 +205,7 @@ def build_content(ids: DataFrame, docs: dict[str, DataFrame], sources: dict[str,
         with_terms.select("id", "feature_group", F.explode("terms").alias("term"))
         .groupBy("id", "feature_group", "term").agg(F.count(F.lit(1)).alias("tf")), "terms")
     vocab = fit_vocabulary(terms, n_docs, {g: params[g] for g in docs})
-    features = materialize(number_features(vocab), "features")
+    features = number_features(vocab)  # already a written table (dense_index)
     vsize = {r["feature_group"]: r["n"] for r in
              features.groupBy("feature_group").agg(F.count(F.lit(1)).alias("n")).collect()}
     included = [g for g in GROUP_ORDER if g in docs and vsize.get(g, 0) > 0]
@@ -223,13 +218,11 @@ def build_content(ids: DataFrame, docs: dict[str, DataFrame], sources: dict[str,
 
 
 def token_terms(docs: DataFrame) -> DataFrame:
-    """F22 dictionary: ``(token, terms)`` for every distinct token, size-checked for broadcast."""
+    """F22 dictionary: ``(token, terms)`` for every distinct token, written (sized for the planner)."""
     from larder.plans.materialize import materialize
 
-    dic = materialize(docs.select("token").distinct()
-                      .select("token", vectorizer_terms(F.col("token")).alias("terms")), "token_terms")
-    limit = int(docs.sparkSession.conf.get("larder.dictionary.broadcastMaxRows", str(DICTIONARY_BROADCAST_MAX_ROWS)))
-    return F.broadcast(dic) if dic.count() <= limit else dic
+    return materialize(docs.select("token").distinct()
+                       .select("token", vectorizer_terms(F.col("token")).alias("terms")), "token_terms")
 
 
 def token_summary(model: ContentModel, group: str) -> DataFrame:

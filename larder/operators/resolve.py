@@ -49,26 +49,17 @@ TIME_SPECS = [
 ]
 
 
-# A value dictionary is broadcast only when its measured size is at most this.
-VALUE_DICTIONARY_BROADCAST_MAX_ROWS = 1_000_000
-
-
 def value_dictionary(df: DataFrame, col: str, build, cut=None) -> DataFrame:
     """Per-value results for a repetitive text column, computed once per distinct value.
 
     ``build`` maps the distinct non-NULL values (one column ``col``) to their
-    derived columns.  With ``cut`` (a lineage cut) the dictionary is written,
-    counted, and broadcast only when it is at most
-    ``larder.dictionary.broadcastMaxRows`` rows; otherwise the join shuffles.
+    derived columns.  With ``cut`` (a lineage cut) the dictionary is written;
+    the planner then sees its file size and broadcasts it only under
+    ``spark.sql.autoBroadcastJoinThreshold`` (a shuffle join above it).
     """
     values = df.select(col).where(F.col(col).isNotNull()).distinct()
     dic = build(values)
-    if cut is None:
-        return dic
-    dic = cut(dic)
-    limit = int(df.sparkSession.conf.get("larder.dictionary.broadcastMaxRows",
-                                         str(VALUE_DICTIONARY_BROADCAST_MAX_ROWS)))
-    return F.broadcast(dic) if dic.count() <= limit else dic
+    return dic if cut is None else cut(dic)
 
 
 def clean_category(df: DataFrame, source_col: str = "RecipeCategory", cut=None) -> DataFrame:
