@@ -669,3 +669,9 @@ def q_legacy_text_svd(spark, sf_dir):
     model = LG.legacy_svd(matrix, n, f)
     k = model.components.shape[0]
     return RD.svd_explained(spark, model, k)
+
+
+@query("servings_summary_raw")
+def q_servings_summary_raw(spark, sf_dir):
+    """A11, EDA form (ruling R5): servings count as present when the raw value is non-missing."""
+    return S.servings_summary(resolved(spark, sf_dir), present="raw")

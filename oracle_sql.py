@@ -880,3 +880,19 @@ ln_ AS (SELECT id, sqrt(sum(w * w)) AS norm FROM lw GROUP BY id)"""
 SQL["legacy_text_vocabulary"] = _LEG + "\nSELECT term, df, CAST(total_count AS BIGINT) AS total_count, idf, feature_index FROM lv"
 SQL["legacy_text_tfidf"] = _LEG + """
 SELECT lw.id AS RecipeId, feature_index, w / norm AS value FROM lw JOIN ln_ ON lw.id = ln_.id"""
+
+_serv_counts_raw = dict(_serv_counts)
+for _k, _cond in {"servings_only": "servings_missing_original = 0 AND RecipeYield_clean IS NULL",
+                  "yield_only": "servings_missing_original = 1 AND RecipeYield_clean IS NOT NULL",
+                  "both_present": "servings_missing_original = 0 AND RecipeYield_clean IS NOT NULL",
+                  "both_missing": "servings_missing_original = 1 AND RecipeYield_clean IS NULL"}.items():
+    _serv_counts_raw[_k] = cnt(_cond)
+SQL["servings_summary_raw"] = with_resolved() + unpivot(
+    "SELECT " + ", ".join(f"{v} AS {k}" for k, v in _serv_counts_raw.items())
+    + ", median(ResolvedServings) AS mb, median(ResolvedServings_imputed) AS ma FROM resolved",
+    [(k, {"count": k, "percent_total_dataset": pctd(k, "total_recipes"), "value": "CAST(NULL AS DOUBLE)"})
+     for k in _serv_counts_raw]
+    + [("median_resolved_servings_before_imputation",
+        {"count": "CAST(NULL AS BIGINT)", "percent_total_dataset": "CAST(NULL AS DOUBLE)", "value": "mb"}),
+       ("median_resolved_servings_after_imputation",
+        {"count": "CAST(NULL AS BIGINT)", "percent_total_dataset": "CAST(NULL AS DOUBLE)", "value": "ma"})])
