@@ -13,7 +13,6 @@ import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from larder.operators import audits as AU
 from larder.operators import content as C
@@ -21,6 +20,7 @@ from larder.operators import numeric as N
 from larder.operators import reduce as RD
 from larder.operators import resolve as R
 from larder.operators import summaries as S
+from larder.plans.materialize import materialize
 
 
 def _write(df: DataFrame, out_dir: str, name: str) -> str:
@@ -35,7 +35,7 @@ def _read(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
 
 def run_resolve(spark: SparkSession, catalog: DataFrame, out_dir: str) -> DataFrame:
     """Job 2: resolved table + the seven resolution summaries + contract C1."""
-    _write(R.resolve_catalog(catalog), out_dir, "resolved")
+    _write(R.resolve_catalog(catalog, cut=materialize), out_dir, "resolved")
     res = _read(spark, out_dir, "resolved")
     for name, df in [("category_missing_summary", S.category_summary(res)),
                      ("servings_yield_resolution_summary", S.servings_summary(res)),
@@ -135,5 +135,3 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str) -> dict:
     cm = run_content(spark, res, docs, CONTENT_SOURCES, out_dir)
     return run_reduce(spark, scaled, model, cm, out_dir)
 
-
-_ = F

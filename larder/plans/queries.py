@@ -266,8 +266,6 @@ def q_content_contract(spark, sf_dir):
 
 # -- reduction and embedding (M6-M13, J7, J8, W1, W4, W5, W7, A35, C5, C6) ---------
 
-import numpy as np  # noqa: E402
-
 from larder.operators import reduce as RD  # noqa: E402
 
 
@@ -421,8 +419,6 @@ def q_reduce_contract(spark, sf_dir):
     return spark.createDataFrame([(c, int(v)) for c, v in checks], "check string, violations long")
 
 
-_ = np
-
 
 # -- audits (A8, A9, A17-A31, J2-J4, W6, W9, W11, F15, F23) -------------------------
 
