@@ -179,14 +179,50 @@ def row_vectors(matrix: DataFrame) -> DataFrame:
             .select("id", F.col("e.feature_index").alias("idx"), F.col("e.value").alias("val")))
 
 
-def _xtx_times(rows: DataFrame, block: np.ndarray) -> np.ndarray:
+# The f x l block is broadcast only up to this many bytes; beyond it the block
+# is joined as a table.  Session setting: ``larder.svd.blockBroadcastMaxBytes``.
+BLOCK_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+
+
+def _block_fits(spark, block: np.ndarray) -> bool:
+    limit = int(spark.conf.get("larder.svd.blockBroadcastMaxBytes", str(BLOCK_BROADCAST_MAX_BYTES)))
+    return block.nbytes <= limit
+
+
+def _block_table(spark, block: np.ndarray) -> DataFrame:
+    rows = [(i, block[i].tolist()) for i in range(block.shape[0])]
+    return spark.createDataFrame(rows, "feature_index int, q array<double>")
+
+
+def _scaled_sum(vec: str, weight: str, out: str):
+    """Σ weight · vec as a JVM vector-sum aggregate (no sign assumption on the weights)."""
+    scaled = F.transform(F.col(vec), lambda e: e * F.col(weight))
+    return vector_to_array(Summarizer.sum(array_to_vector(scaled))).alias(out)
+
+
+def _xtx_times_joined(matrix: DataFrame, block: np.ndarray) -> np.ndarray:
+    """``Xᵀ (X Q)`` with the block as a joined table (for blocks too large to broadcast)."""
+    q = _block_table(matrix.sparkSession, block)
+    y = matrix.join(q, "feature_index").groupBy("id").agg(_scaled_sum("q", "value", "y"))
+    w = matrix.join(y, "id").groupBy("feature_index").agg(_scaled_sum("y", "value", "w"))
+    out = np.zeros_like(block)
+    for r in w.collect():
+        out[r["feature_index"]] = r["w"]
+    return out
+
+
+def _xtx_times(rows: DataFrame, block: np.ndarray, matrix: DataFrame | None = None) -> np.ndarray:
     """``Xᵀ (X Q)`` for an f x l block ``Q``: one pass over the rows.
 
     Each task keeps an f x l partial sum (``W[idx] += v ⊗ (v Q[idx])`` per
     row) and emits only its touched rows; a vector-sum aggregate merges the
-    partials.  Nothing per pair of features is ever materialized.
+    partials.  Nothing per pair of features is ever materialized.  The block
+    is broadcast only when its size is at most
+    ``larder.svd.blockBroadcastMaxBytes``; beyond it the joined form runs.
     """
     spark = rows.sparkSession
+    if matrix is not None and not _block_fits(spark, block):
+        return _xtx_times_joined(matrix, block)
     f, width = block.shape
     bq = spark.sparkContext.broadcast(block)
 
@@ -261,7 +297,7 @@ def fit_svd(matrix: DataFrame, n_rows: int, n_features: int, k: int, n_iter: int
     rows = materialize(row_vectors(matrix))
     exact = n_features <= exact_max_features
     if exact:
-        gram = _xtx_times(rows, np.eye(n_features))
+        gram = _xtx_times(rows, np.eye(n_features), matrix)
         gram = (gram + gram.T) / 2.0
         vals, vecs = np.linalg.eigh(gram)
         order = np.argsort(vals)[::-1][:k]
@@ -271,8 +307,8 @@ def fit_svd(matrix: DataFrame, n_rows: int, n_features: int, k: int, n_iter: int
         rng = np.random.default_rng(seed)
         block, _ = np.linalg.qr(rng.standard_normal((n_features, width)))
         for _ in range(n_iter):
-            block, _ = np.linalg.qr(_xtx_times(rows, block))
-        w = _xtx_times(rows, block)
+            block, _ = np.linalg.qr(_xtx_times(rows, block, matrix))
+        w = _xtx_times(rows, block, matrix)
         b = block.T @ w
         vals, vecs = np.linalg.eigh((b + b.T) / 2.0)
         order = np.argsort(vals)[::-1][:k]
@@ -329,8 +365,15 @@ def svd_top_terms(loadings: DataFrame, features: DataFrame, top: int = SVD_TOP_T
 def svd_scores(matrix: DataFrame, ids: DataFrame, model: SVDModel, k: int, id_col: str = "RecipeId") -> DataFrame:
     """``Z = X V_k`` per row, a per-row projection (rows without any nonzero get zeros)."""
     spark = matrix.sparkSession
+    zero = F.array_repeat(F.lit(0.0), k)
+    vk = np.ascontiguousarray(model.components[:k].T)
+    if not _block_fits(spark, vk):  # too large to broadcast: join V as a table
+        z = (matrix.join(_block_table(spark, vk), "feature_index")
+             .groupBy("id").agg(_scaled_sum("q", "value", "z")))
+        return (ids.select(F.col(id_col).alias("id")).join(z, "id", "left")
+                .select(F.col("id").alias(id_col), F.coalesce(F.col("z"), zero).alias("content_svd")))
     rows = model.rows if model.rows is not None else row_vectors(matrix)
-    bv = spark.sparkContext.broadcast(np.ascontiguousarray(model.components[:k].T))
+    bv = spark.sparkContext.broadcast(vk)
 
     def project(batches):
         import pandas as pd
@@ -341,7 +384,6 @@ def svd_scores(matrix: DataFrame, ids: DataFrame, model: SVDModel, k: int, id_co
             yield pd.DataFrame({"id": pdf["id"], "z": z})
 
     z = rows.mapInPandas(project, "id long, z array<double>")
-    zero = F.array_repeat(F.lit(0.0), k)
     return (ids.select(F.col(id_col).alias("id")).join(z, "id", "left")
             .select(F.col("id").alias(id_col), F.coalesce(F.col("z"), zero).alias("content_svd")))
 

@@ -42,6 +42,24 @@ def test_exact_svd_matches_numpy(sparse_case):
     assert np.all(got[5] == 0.0)
 
 
+def test_joined_block_path_matches_numpy(sparse_case):
+    """Blocks over the broadcast limit go through the joined form; same results."""
+    dense, matrix, ids = sparse_case
+    spark = matrix.sparkSession
+    n, f = dense.shape
+    spark.conf.set("larder.svd.blockBroadcastMaxBytes", "0")
+    try:
+        model = RD.fit_svd(matrix, n, f, 5)
+        scores = {r["RecipeId"]: r["content_svd"] for r in RD.svd_scores(matrix, ids, model, 5).collect()}
+    finally:
+        spark.conf.unset("larder.svd.blockBroadcastMaxBytes")
+    s = np.linalg.svd(dense, compute_uv=False)
+    np.testing.assert_allclose(model.singular_values_sq, s[:5] ** 2, rtol=1e-9)
+    _, _, vt = np.linalg.svd(dense, full_matrices=False)
+    got = np.array([scores[i] for i in range(n)])
+    np.testing.assert_allclose(np.abs(got), np.abs(dense @ vt[:5].T), atol=1e-9)
+
+
 def test_randomized_svd_close_to_numpy(sparse_case):
     dense, matrix, _ = sparse_case
     n, f = dense.shape
