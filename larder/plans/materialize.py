@@ -22,6 +22,35 @@ from larder.session import checkpoint_dir
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the session's checkpoint folder and return the written table."""
     spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), f"larder-{name}-{uuid.uuid4().hex}")
+    path = _track(os.path.join(checkpoint_dir(spark), f"larder-{name}-{uuid.uuid4().hex}"))
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_WRITTEN: list[str] = []
+
+
+def _track(path: str) -> str:
+    _WRITTEN.append(path)
+    return path
+
+
+def clear_stages(spark) -> int:
+    """Delete the stage tables this process wrote (through Hadoop's FileSystem, so
+    it works on the cluster's shared storage), forget memoized stages, and return
+    how many were removed.  Call once the outputs that read them are written."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            fs.delete(path, True)
+            removed += 1
+    try:
+        from larder.plans.queries import _STAGES
+        _STAGES.clear()
+    except ImportError:
+        pass
+    return removed

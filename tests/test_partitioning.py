@@ -13,3 +13,14 @@ def test_dense_index_matches_sorted_order(spark):
     got = {(r["g"], r["term"]): r["idx"] for r in dense_index(df, ["g", "term"], "idx").collect()}
     expected = {k: i for i, k in enumerate(sorted(rows))}
     assert got == expected
+
+
+def test_clear_stages_removes_written_tables(spark):
+    import os
+
+    from larder.plans.materialize import clear_stages, materialize
+    df = materialize(spark.range(10), "probe")
+    path = df.inputFiles()[0].replace("file://", "").rsplit("/", 1)[0]
+    assert os.path.isdir(path)
+    assert clear_stages(spark) >= 1
+    assert not os.path.exists(path)
