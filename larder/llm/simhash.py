@@ -113,7 +113,7 @@ def _stars(fps: DataFrame, max_bits: int) -> DataFrame:
     short, far = max_bits // 2, max_bits - max_bits // 2
     near = len(_near(short))
     masks = F.array(*(F.lit(m) for m in _near(far)))
-    listed = fps.select("fp", F.posexplode(masks).alias("i", "m")).select("fp", (F.col("i") < near).alias("short"), F.col("fp").bitwiseXOR("m").alias("at"))
+    listed = fps.select("fp", F.posexplode(masks).alias("i", "m")).select("fp", (F.col("i") < near).alias("short"), F.col("fp").bitwiseXOR(F.col("m")).alias("at"))
     centre = listed.where("short").groupBy("at").agg(F.min("fp").alias("a"))
     return listed.join(centre, "at").select("a", F.col("fp").alias("b")).where("a <> b")
 
