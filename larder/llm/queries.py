@@ -3,15 +3,38 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from larder.llm.common import table
+from larder.llm.decontaminate import contamination
+from larder.llm.mixing import mix
+from larder.llm.pii import personal_data
 from larder.llm.simhash import simhash_groups
+from larder.llm.sql import SQL
+
+__all__ = ["QUERIES", "SQL"]
+
+
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
+def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).drop("rid")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
-QUERIES = {"op10_simhash": op10_simhash}
-
-SQL: dict[str, str] = {}
+QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
+    "op3_personal_data": op3_personal_data,
+    "op5_mix": op5_mix,
+    "op10_simhash": op10_simhash,
+}

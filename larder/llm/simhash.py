@@ -67,17 +67,43 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     return src.mapInArrow(run, f"rid long, doc_id {kind}, fp long")
 
 
-def variants(fps: DataFrame, max_bits: int) -> DataFrame:
-    """(key, fp) for each segment and each masked bit of it."""
-    cuts = max_bits // 2 + 1
+def _segments(max_bits: int) -> list[tuple[int, int]]:
+    """(first bit, width) of each segment: enough that one of them differs in at most one bit."""
+    cuts = max(2, max_bits // 2 + 1)
     edges = [BITS * i // cuts for i in range(cuts + 1)]
-    keys = []
-    for s, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False)):
-        for bit in range(lo, hi):
-            mask = ((1 << hi) - 1) ^ ((1 << lo) - 1) ^ (1 << bit)
-            mask = mask - (1 << 64) if mask >= 1 << 63 else mask
-            keys.append(F.struct(F.lit(s * BITS + bit).alias("slot"), F.col("fp").bitwiseAND(F.lit(mask)).alias("part")))
-    return fps.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.slot", "k.part")
+    return [(lo, hi - lo) for lo, hi in zip(edges, edges[1:], strict=False)]
+
+
+def _part(lo: int, width: int, without: int | None = None):
+    """The bits of a segment as a number, one of them masked out."""
+    mask = (1 << width) - 1
+    if without is not None:
+        mask ^= 1 << without
+    return F.shiftrightunsigned(F.col("fp"), lo).bitwiseAND(F.lit(mask))
+
+
+def variants(fps: DataFrame, max_bits: int) -> DataFrame:
+    """(key, fp) for each segment and each masked bit of it; key holds the masked bit's number and the rest."""
+    keys = [_part(lo, width, bit).bitwiseOR(F.lit((lo + bit) << 32)) for lo, width in _segments(max_bits) for bit in range(width)]
+    return fps.select("fp", F.explode(F.array(*keys)).alias("key"))
+
+
+def _members(fps: DataFrame, buckets: DataFrame, max_bits: int) -> DataFrame:
+    """(key, fp) of the given buckets.
+
+    A bucket's members have one of two segment values (its masked bit off or on), so the
+    fingerprints are joined by their few segments and not by their many variants.
+    """
+    cuts = _segments(max_bits)
+    parts = F.array(*(F.struct(F.lit(s).alias("segment"), _part(lo, width).alias("value")) for s, (lo, width) in enumerate(cuts)))
+    whole = fps.select("fp", F.explode(parts).alias("p")).select("fp", "p.segment", "p.value")
+    slot, rest = F.shiftright(F.col("key"), 32).cast("int"), F.col("key").bitwiseAND(F.lit((1 << 32) - 1))
+    segment, bit = F.lit(0), slot
+    for s, (lo, _) in enumerate(cuts):
+        segment, bit = F.when(slot >= lo, s).otherwise(segment), F.when(slot >= lo, slot - lo).otherwise(bit)
+    on = rest.bitwiseOR(F.expr("shiftleft(1L, bit)"))
+    values = buckets.withColumn("segment", segment).withColumn("bit", bit).select("key", "segment", F.explode(F.array(rest, on)).alias("value"))
+    return whole.join(values, ["segment", "value"]).select("key", "fp")
 
 
 def _near(bits: int) -> list[int]:
@@ -92,15 +118,16 @@ def links(fps: DataFrame, max_bits: int = 2, pair_limit: int = 16) -> DataFrame:
     The links span the components of that relation.  Every returned link holds; in crowded
     buckets a component is spanned by stars instead of all its pairs.
     """
-    index = variants(fps, max_bits)
-    sizes = materialize(index.groupBy("slot", "part").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
+    spark = fps.sparkSession
+    # an explicit number of tasks: the fingerprints are small, their variants are not
+    dealt = fps.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "fp")
+    sizes = materialize(variants(dealt, max_bits).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
                         .where("n > 1"), "buckets")
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
     two = sizes.where("n = 2").where(close).select("a", "b")
-    some = index.join(sizes.where(f"n between 3 and {pair_limit}").select("slot", "part"), ["slot", "part"])
-    some = some.select("slot", "part", F.col("fp").alias("a")).join(some.select("slot", "part", F.col("fp").alias("b")), ["slot", "part"])
-    some = some.where("a < b").where(close).select("a", "b")
-    hot = index.join(sizes.where(f"n > {pair_limit}").select("slot", "part"), ["slot", "part"], "left_semi").select("fp").distinct()
+    some = _members(fps, sizes.where(f"n between 3 and {pair_limit}").select("key"), max_bits)
+    some = some.withColumnRenamed("fp", "a").join(some.withColumnRenamed("fp", "b"), "key").where("a < b").where(close).select("a", "b")
+    hot = _members(fps, sizes.where(f"n > {pair_limit}").select("key"), max_bits).select("fp").distinct()
     return two.union(some).union(_stars(hot, max_bits)).distinct()
 
 
