@@ -9,8 +9,10 @@ from larder.llm.common import table
 from larder.llm.decontaminate import contamination
 from larder.llm.mixing import mix
 from larder.llm.pii import personal_data
+from larder.llm.quality import quality
 from larder.llm.simhash import simhash_groups
 from larder.llm.sql import SQL
+from larder.llm.toxicity import toxicity
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -24,6 +26,14 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("rid")
 
@@ -35,6 +45,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op3_personal_data": op3_personal_data,
+    "op4_quality": op4_quality,
     "op5_mix": op5_mix,
+    "op6_toxicity": op6_toxicity,
     "op10_simhash": op10_simhash,
 }
