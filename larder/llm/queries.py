@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm.common import table
 from larder.llm.decontaminate import contamination
+from larder.llm.embeddings import near_vectors
 from larder.llm.mixing import mix
 from larder.llm.pii import personal_data
 from larder.llm.quality import quality
@@ -38,6 +40,10 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("rid")
 
 
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
@@ -48,5 +54,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_mix": op5_mix,
     "op6_toxicity": op6_toxicity,
+    "op8_embeddings": op8_embeddings,
     "op10_simhash": op10_simhash,
+    "pipeline": corpus_pipeline.run,
 }

@@ -75,4 +75,18 @@ SELECT doc_id, o.source, size, source_size, target,
 FROM o JOIN g ON o.source IS NOT DISTINCT FROM g.source
 """
 
-SQL = {"op1_decontaminate": OP1, "op3_personal_data": OP3, "op5_mix": OP5}
+OP8 = r"""
+WITH RECURSIVE e AS (SELECT row_number() OVER () AS rid, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+u AS (SELECT *, sqrt(list_dot_product(v, v)) AS norm FROM e
+      WHERE label IS NOT NULL AND v IS NOT NULL AND list_count(v) = len(v) AND len(list_filter(v, lambda x: NOT isfinite(x))) = 0
+        AND len(list_filter(v, lambda x: x <> 0)) > 0),
+l AS (SELECT a.rid AS a, b.rid AS b FROM u a JOIN u b ON a.label = b.label AND a.rid <> b.rid AND len(a.v) = len(b.v)
+      WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.93),
+r(rid, seen) AS (SELECT rid, rid FROM e UNION SELECT r.rid, l.b FROM r JOIN l ON l.a = r.seen),
+c AS (SELECT r.rid, min(e.vec_id) AS component_id FROM r JOIN e ON e.rid = r.seen GROUP BY r.rid),
+n AS (SELECT a AS rid, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM e JOIN c USING (rid) LEFT JOIN n USING (rid)
+"""
+
+SQL = {"op8_embeddings": OP8, "op1_decontaminate": OP1, "op3_personal_data": OP3, "op5_mix": OP5}
