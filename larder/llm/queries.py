@@ -14,6 +14,7 @@ from larder.llm.pii import personal_data
 from larder.llm.quality import quality
 from larder.llm.simhash import simhash_groups
 from larder.llm.sql import SQL
+from larder.llm.suffixes import remove_repeats
 from larder.llm.toxicity import toxicity
 
 __all__ = ["QUERIES", "SQL"]
@@ -40,6 +41,10 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).drop("rid")
 
 
+def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("rid")
+
+
 def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -54,6 +59,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_mix": op5_mix,
     "op6_toxicity": op6_toxicity,
+    "op7_suffixes": op7_suffixes,
     "op8_embeddings": op8_embeddings,
     "op10_simhash": op10_simhash,
     "pipeline": corpus_pipeline.run,
