@@ -32,7 +32,8 @@ def anchors(raw: bytes, window: int, gram: int, length: int):
     """(places, first, last): the anchors of a text and the windows (their starts) that each stands for.
 
     A window of ``length`` bytes belongs to the leftmost smallest gram among its first
-    ``window`` grams.  The starts of one anchor are neighbours.  Texts shorter than
+    ``window`` grams.  The starts of one anchor are neighbours.  Anchors of the text's end,
+    where no whole window starts, count too: phrases end at them.  Texts shorter than
     ``length`` have none.
     """
     import numpy as np
@@ -42,7 +43,7 @@ def anchors(raw: bytes, window: int, gram: int, length: int):
         empty = np.zeros(0, dtype=np.int64)
         return empty, empty, empty
     places, firsts, lasts = [], [], []
-    starts, step = n - length + 1, 1 << 18
+    starts, step = n - window - gram + 2, 1 << 18
     # long texts go block by block; a block's windows look ``window`` grams ahead
     for s in range(0, starts, step):
         stop = min(starts, s + step)
@@ -210,7 +211,8 @@ def repeated_intervals(src: DataFrame, length: int) -> tuple[DataFrame, DataFram
                 for rid, raw, wanted in text_rows(part, "rid", "text", "places"):
                     alive = set(wanted)
                     for at, first, last in zip(*(x.tolist() for x in anchors(raw, window, gram, length)), strict=True):
-                        if at in alive:
+                        last = min(last, len(raw) - length)
+                        if at in alive and first <= last:
                             rows += [(rid, at, s, e, core, union, False) for s, e, core, union in _blocks(raw, 0, at, first, last, window, length)]
                 yield _nodes(rows, pa)
 
