@@ -10,6 +10,8 @@ from larder.llm.common import table
 from larder.llm.decontaminate import contamination
 from larder.llm.embeddings import near_vectors
 from larder.llm.mixing import mix
+from larder.llm.pages import page_text
+from larder.llm.passages import passage_groups
 from larder.llm.pii import personal_data
 from larder.llm.quality import quality
 from larder.llm.simhash import simhash_groups
@@ -25,6 +27,14 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
 
 
+def op2_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text(table(spark, sf_dir, "pages"))
+
+
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_groups(table(spark, sf_dir, "documents"))
+
+
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
@@ -55,12 +65,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
+    "op2_page_text": op2_page_text,
     "op3_personal_data": op3_personal_data,
     "op4_quality": op4_quality,
     "op5_mix": op5_mix,
     "op6_toxicity": op6_toxicity,
     "op7_suffixes": op7_suffixes,
     "op8_embeddings": op8_embeddings,
+    "op9_passages": op9_passages,
     "op10_simhash": op10_simhash,
     "pipeline": corpus_pipeline.run,
 }
