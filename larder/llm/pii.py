@@ -9,7 +9,6 @@ Luhn, digit counts).  A digit run is one anchor, its digits are skipped together
 from __future__ import annotations
 
 import hashlib
-from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,8 +30,13 @@ SCHEMES = ("http://", "https://", "ftp://")
 CUES = ("passport", "ssn", "iban", "account", "acct", "password", "konto", "cuenta", "compte")
 
 
-@cache
+_MADE: list = []
+
+
 def _automaton():
+    """The anchors' automaton, built once in each process."""
+    if _MADE:
+        return _MADE[0]
     import ahocorasick
 
     auto = ahocorasick.Automaton()
@@ -47,6 +51,7 @@ def _automaton():
         for form in (c, c.capitalize(), c.upper()):
             auto.add_word(form, ("cue", len(form)))
     auto.make_automaton()
+    _MADE.append(auto)
     return auto
 
 
