@@ -15,9 +15,9 @@ column:
 
 Linear interpolation between the two neighbouring order statistics gives
 the same quantile definition as pandas, numpy, DuckDB ``quantile_cont`` and
-Spark ``percentile``.  Typical columns converge in two or three passes.
-Columns with at most ``larder.quantile.singleTaskMaxRows`` values (a size
-known from the first pass) use one exact ``percentile`` aggregate instead.
+Spark ``percentile``.  Typical columns converge in two or three passes.  There
+is one path at every size, so a quantile does not depend on the row count's side
+of a limit.
 """
 
 from __future__ import annotations
@@ -30,10 +30,6 @@ from pyspark.sql import functions as F
 BUCKETS = 4096
 FINAL_ROWS = 50_000
 MAX_PASSES = 24
-# Up to this many values per column one exact ``percentile`` aggregate is
-# cheap (its final merge holds at most this many distinct values); beyond
-# it, rank selection.  Session setting: ``larder.quantile.singleTaskMaxRows``.
-SINGLE_TASK_MAX_ROWS = 5_000_000
 
 
 def _order_statistics(base: DataFrame, names: list[str], wanted: dict[str, set[int]],
@@ -155,13 +151,6 @@ def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: dict[str,
             need.update({lo_r, hi_r})
             plan[(n, p)] = (lo_r, hi_r, h - lo_r)
         wanted[a] = need
-    limit = int(df.sparkSession.conf.get("larder.quantile.singleTaskMaxRows", str(SINGLE_TASK_MAX_ROWS)))
-    if stats and max(v[0] for v in stats.values()) <= limit:
-        # small columns: one exact percentile aggregate (its merge is bounded by the count)
-        row = base.agg(*[F.percentile(alias[n], F.lit(per_probs[n])).alias(alias[n])
-                         for n in names if alias[n] in stats]).first()
-        return {n: ([float(v) for v in row[alias[n]]] if alias[n] in stats else [None] * len(per_probs[n]))
-                for n in names}
     found = _order_statistics(base, list(stats), wanted, stats) if stats else {}
     out: dict[str, list[float | None]] = {}
     for n in names:

@@ -377,12 +377,11 @@ def top_by(df: DataFrame, order_col: str, n: int, id_col: str, cols: list[str])
 
 
 def seeded_sample(df: DataFrame, n: int, id_col: str, seed: int = 42) -> DataFrame:
-    """``n`` rows in a seeded pseudo-random order (a bijective hash of the id).
+    """``n`` rows in a seeded pseudo-random order: the MD5 of id and seed.
 
-    ``((id mod P) * 7919 + seed) mod P`` with P = 1000003 permutes ids below P;
-    the id breaks ties.  Reproducible in any SQL engine.
+    The id breaks ties.  Reproducible in any SQL engine, at any range of ids.
     """
-    h = ((F.col(id_col) % 1000003) * 7919 + seed) % 1000003
+    h = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
     return df.orderBy(h, id_col).limit(n)
 
 

@@ -210,7 +210,7 @@ def build_content(ids: DataFrame, docs: dict[str, DataFrame], sources: dict[str,
              features.groupBy("feature_group").agg(F.count(F.lit(1)).alias("n")).collect()}
     included = [g for g in GROUP_ORDER if g in docs and vsize.get(g, 0) > 0]
     if not included:
-        raise ValueError("No content feature groups produced a non-empty matrix.")
+        raise ValueError("every content group is empty: no term passes its document-frequency limits")
     matrix = weighted_matrix(terms.where(F.col("feature_group").isin(*included)), features,
                              {g: params[g] for g in included})
     split = {g: all_docs.where(F.col("feature_group") == g).select("id", "token") for g in docs}

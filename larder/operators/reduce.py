@@ -9,11 +9,10 @@ vectors come from block subspace iteration on ``XᵀX`` without ever forming
 pairs of features per row: each pass is ``Y = X Q`` (join with the f x l block
 ``Q``, weighted vector sums per row) and ``W = Xᵀ Y`` (join on the row id,
 weighted vector sums per feature), so the shuffled volume is linear in the
-nonzeros.  Only f x l numbers (vocabulary x block width) reach the driver,
-where a QR / Rayleigh-Ritz step of that size runs.  When the vocabulary is
-no wider than ``exact_max_features`` the block is the identity and the result
-is exact (``W`` is then the Gramian itself); otherwise it is the randomized
-range finder with power iterations.
+nonzeros.  Only f x l numbers (vocabulary x block width) reach the driver a pass,
+where the Rayleigh-Ritz step runs.  There is one algorithm at every size: the
+basis grows by the residuals of its Ritz vectors (a restarted block Krylov
+space) and stops when ``||XᵀXv - λv||`` is small for all wanted components.
 """
 
 from __future__ import annotations
@@ -99,7 +98,7 @@ def fit_pca(scaled: DataFrame, features: list[str], target: float = PCA_TARGET_V
     vals = np.clip(vals[order], 0.0, None)
     comps = fix_signs(vecs[:, order].T)
     cum = np.cumsum(vals / vals.sum())
-    k = int(np.searchsorted(cum, target) + 1)
+    k = int(np.searchsorted(cum, target - 1e-12) + 1)
     mean = np.array([row[f"m_{i}"] for i in range(d)])
     return PCAModel(list(features), int(row["n"]), mean, vals, comps, min(k, d))
 
@@ -211,6 +210,19 @@ def _xtx_times_joined(matrix: DataFrame, block: np.ndarray) -> np.ndarray:
     return out
 
 
+def _sparse_chunks(pdf, entries: int = 16384):
+    """(idx, val, row starts, row sizes) of whole rows, about ``entries`` nonzeros at a time."""
+    sizes = pdf["idx"].str.len().to_numpy()
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < len(sizes):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + entries, side="right")))
+        part = slice(at, stop)
+        yield (np.concatenate(pdf["idx"].iloc[part].to_list()).astype(np.int64), np.concatenate(pdf["val"].iloc[part].to_list()).astype(np.float64),
+               np.cumsum(sizes[part]) - sizes[part], sizes[part])
+        at = stop
+
+
 def _xtx_times(rows: DataFrame, block: np.ndarray, matrix: DataFrame | None = None) -> np.ndarray:
     """``Xᵀ (X Q)`` for an f x l block ``Q``: one pass over the rows.
 
@@ -232,11 +244,12 @@ def _xtx_times(rows: DataFrame, block: np.ndarray, matrix: DataFrame | None = No
         acc = np.zeros((f, width))
         touched = np.zeros(f, dtype=bool)
         for pdf in batches:
-            for idx, val in zip(pdf["idx"], pdf["val"]):
-                idx = np.asarray(idx, dtype=np.int64)
-                val = np.asarray(val, dtype=np.float64)
-                acc[idx] += np.outer(val, val @ q[idx])
-                touched[idx] = True
+            for idx, val, starts, sizes in _sparse_chunks(pdf):
+                y = np.add.reduceat(val[:, None] * q[idx], starts, axis=0)
+                order = np.argsort(idx, kind="stable")
+                feature, first = np.unique(idx[order], return_index=True)
+                acc[feature] += np.add.reduceat((val[:, None] * np.repeat(y, sizes, axis=0))[order], first, axis=0)
+                touched[feature] = True
         hit = np.nonzero(touched)[0]
         yield pd.DataFrame({"feature_index": hit.astype(np.int32), "w": list(acc[hit])})
 
@@ -259,7 +272,7 @@ class SVDModel:
     col_mean: np.ndarray             # per-feature mean over all rows
     total_variance: float            # Σ_f var(X_f), population
     frob_sq: float                   # ||X||²
-    exact: bool
+    converged: bool
     rows: DataFrame | None = None    # (id, idx, val) sparse rows, checkpointed
 
     def explained_variance(self, k: int) -> np.ndarray:
@@ -272,17 +285,21 @@ class SVDModel:
 
 
 def valid_svd_candidates(n_features: int, candidates: list[int] = SVD_CANDIDATES) -> list[int]:
-    """M9: candidates below the feature count; fallback ``max(1, min(10, f-1))``."""
+    """M9: the candidates that a matrix of this width allows, or one small rank where none is."""
     if n_features < 2:
-        raise ValueError("TruncatedSVD requires at least 2 content features.")
-    valid = [k for k in candidates if k < n_features]
-    return valid or [max(1, min(10, n_features - 1))]
+        raise ValueError(f"{n_features} feature(s) leave nothing to reduce")
+    below = [k for k in candidates if k < n_features]
+    return below if below else [min(10, n_features - 1)]
 
 
-def fit_svd(matrix: DataFrame, n_rows: int, n_features: int, k: int, n_iter: int = 5,
-            oversample: int = 10, exact_max_features: int = 1024,
-            seed: int = RANDOM_STATE) -> SVDModel:
-    """M9 fit: top-k right singular vectors of the long matrix ``(id, feature_index, value)``."""
+def fit_svd(matrix: DataFrame, n_rows: int, n_features: int, k: int, oversample: int = 10,
+            tolerance: float = 1e-8, max_passes: int = 60, seed: int = RANDOM_STATE) -> SVDModel:
+    """M9 fit: top-k right singular vectors of the long matrix ``(id, feature_index, value)``.
+
+    Every pass multiplies one block by ``XᵀX``.  The basis restarts from its best Ritz
+    vectors when it has grown to eight blocks.  ``converged`` says that the largest
+    residual of the k components is at most ``tolerance`` times the largest eigenvalue.
+    """
     from larder.plans.materialize import materialize
 
     sums = {r["feature_index"]: (r["s"], r["s2"]) for r in
@@ -295,27 +312,35 @@ def fit_svd(matrix: DataFrame, n_rows: int, n_features: int, k: int, n_iter: int
     mean = col_sum / n_rows
     total_var = float(np.sum(col_sq / n_rows - mean ** 2))
     rows = materialize(row_vectors(matrix))
-    exact = n_features <= exact_max_features
-    if exact:
-        gram = _xtx_times(rows, np.eye(n_features), matrix)
-        gram = (gram + gram.T) / 2.0
-        vals, vecs = np.linalg.eigh(gram)
-        order = np.argsort(vals)[::-1][:k]
-        lam, v = vals[order], vecs[:, order]
-    else:
-        width = min(n_features, k + oversample)
-        rng = np.random.default_rng(seed)
-        block, _ = np.linalg.qr(rng.standard_normal((n_features, width)))
-        for _ in range(n_iter):
-            block, _ = np.linalg.qr(_xtx_times(rows, block, matrix))
-        w = _xtx_times(rows, block, matrix)
-        b = block.T @ w
-        vals, vecs = np.linalg.eigh((b + b.T) / 2.0)
-        order = np.argsort(vals)[::-1][:k]
-        lam, v = vals[order], block @ vecs[:, order]
-    comps = fix_signs(v.T)
-    return SVDModel(n_rows, n_features, np.clip(lam, 0.0, None), comps, mean, total_var,
-                    float(col_sq.sum()), exact, rows)
+    width = min(n_features, k + oversample)
+    block, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((n_features, width)))
+    basis, image = block, np.zeros((n_features, 0))
+    converged = False
+    for _ in range(max_passes):
+        image = np.hstack([image, _xtx_times(rows, block, matrix)])
+        small = basis.T @ image
+        vals, vecs = np.linalg.eigh((small + small.T) / 2.0)
+        best = np.argsort(vals)[::-1][:width]
+        lam, v, xv = vals[best], basis @ vecs[:, best], image @ vecs[:, best]
+        residual = xv - v * lam
+        converged = bool(np.linalg.norm(residual[:, :k], axis=0).max() <= tolerance * max(lam[0], 0.0))
+        if converged or basis.shape[1] >= n_features:
+            converged = True
+            break
+        if basis.shape[1] + width > 8 * width:
+            basis, image = v, xv
+        for _ in range(2):
+            residual = residual - basis @ (basis.T @ residual)
+        u, size, _ = np.linalg.svd(residual, full_matrices=False)
+        block = u[:, size > 1e-13 * max(lam[0], 1e-300)][:, :n_features - basis.shape[1]]
+        if not block.shape[1]:
+            converged = True
+            break
+        block, _ = np.linalg.qr(block - basis @ (basis.T @ block))
+        basis = np.hstack([basis, block])
+    comps = fix_signs(v[:, :k].T)
+    return SVDModel(n_rows, n_features, np.clip(lam[:k], 0.0, None), comps, mean, total_var,
+                    float(col_sq.sum()), converged, rows)
 
 
 def svd_sweep(spark: SparkSession, model: SVDModel, candidates: list[int]) -> DataFrame:
@@ -379,8 +404,8 @@ def svd_scores(matrix: DataFrame, ids: DataFrame, model: SVDModel, k: int, id_co
         import pandas as pd
         v = bv.value
         for pdf in batches:
-            z = [np.asarray(val, dtype=np.float64) @ v[np.asarray(idx, dtype=np.int64)]
-                 for idx, val in zip(pdf["idx"], pdf["val"])]
+            z = [y for idx, val, starts, _ in _sparse_chunks(pdf)
+                 for y in np.add.reduceat(val[:, None] * v[idx], starts, axis=0)]
             yield pd.DataFrame({"id": pdf["id"], "z": z})
 
     z = rows.mapInPandas(project, "id long, z array<double>")

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.functions.numbers import (
@@ -170,46 +170,56 @@ def global_medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
     out = {}
     for c in columns:
         if meds[c][0] is None:
-            raise ValueError(f"Cannot impute {c}: no non-missing values are available "
-                             "to compute a global median.")
+            raise ValueError(f"{c} has no value, so it has no median to fill gaps with")
         out[c] = float(meds[c][0])
     return out
 
 
-HOT_GROUP_BATCH = 64
+MEDIAN_BUCKETS = 1024
+MEDIAN_WINDOW_VALUES = 50_000
 
 
 def grouped_medians(df: DataFrame, group_col: str, value_cols: list[str],
                     names: dict[str, str]) -> DataFrame:
-    """Exact median of each value column per non-NULL group, safe for hot groups.
+    """Exact median of each value column per non-NULL group, whatever the size of a group.
 
-    A group with at most ``larder.quantile.singleTaskMaxRows`` values uses
-    the grouped exact ``percentile`` (its merge holds at most that many
-    values).  A hot group (more rows than that; there are at most
-    rows / limit of them) gets its medians by distributed rank selection, in
-    batches, so no task ever holds a hot group's values.
+    Values are first counted per (group, value).  The two middle ranks of each group are
+    then searched in those counts: equal-width buckets of the open bracket are counted and
+    the bucket that holds the rank becomes the bracket, until a bracket holds few enough
+    distinct values for a running count.  Each step is an aggregate with at most
+    ``MEDIAN_BUCKETS`` rows per group and rank; no task sees all values of a group.
     """
-    from larder.functions.quantiles import SINGLE_TASK_MAX_ROWS
-
-    spark = df.sparkSession
-    limit = int(spark.conf.get("larder.quantile.singleTaskMaxRows", str(SINGLE_TASK_MAX_ROWS)))
-    keyed = df.where(F.col(group_col).isNotNull())
-    sizes = keyed.groupBy(group_col).agg(F.count(F.lit(1)).alias("__n"))
-    hot = [r[0] for r in sizes.where(F.col("__n") > limit).select(group_col).collect()]
-    small = (keyed.where(~F.col(group_col).isin(*hot)) if hot else keyed).groupBy(group_col).agg(
-        *[F.median(v).alias(names[v]) for v in value_cols])
-    if not hot:
-        return small
-    rows = []
-    for start in range(0, len(hot), HOT_GROUP_BATCH):
-        batch = hot[start:start + HOT_GROUP_BATCH]
-        exprs = {f"{i}|{v}": F.when(F.col(group_col) == F.lit(g), F.col(v))
-                 for i, g in enumerate(batch) for v in value_cols}
-        q = exact_quantiles(keyed, exprs, [0.5])
-        rows += [(g, *[q[f"{i}|{v}"][0] for v in value_cols]) for i, g in enumerate(batch)]
-    gtype = df.schema[group_col].dataType.simpleString()
-    schema = f"`{group_col}` {gtype}, " + ", ".join(f"`{names[v]}` double" for v in value_cols)
-    return small.unionByName(spark.createDataFrame(rows, schema))
+    from larder.plans.materialize import materialize
+
+    entries = [F.struct(F.lit(i).alias("c"), F.col(v).cast("double").alias("v")) for i, v in enumerate(value_cols)]
+    values = (df.where(F.col(group_col).isNotNull()).select(F.col(group_col).alias("g"), F.inline(F.array(*entries)))
+              .where(F.col("v").isNotNull() & ~F.isnan("v")))
+    counts = materialize(values.groupBy("g", "c", "v").agg(F.count(F.lit(1)).alias("n")), "value-counts")
+    total = counts.groupBy("g", "c").agg(F.sum("n").alias("t"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    middle = F.array(F.floor((F.col("t") - 1) / 2), F.floor(F.col("t") / 2))
+    keys = ["g", "c", "side"]
+    open_ = materialize(total.select("g", "c", F.posexplode(middle).alias("side", "rank"), "lo", "hi",
+                                     F.lit(0).cast("long").alias("below")), "brackets")
+
+    def inside(brackets: DataFrame) -> DataFrame:
+        return counts.join(brackets, ["g", "c"]).where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+
+    while True:
+        most = inside(open_).groupBy(*keys).agg(F.count(F.lit(1)).alias("k")).agg(F.max("k")).first()[0] or 0
+        if most <= MEDIAN_WINDOW_VALUES:
+            break
+        width = F.col("hi") - F.col("lo")
+        bucket = F.least(F.floor((F.col("v") - F.col("lo")) / width * MEDIAN_BUCKETS), F.lit(MEDIAN_BUCKETS - 1))
+        cells = (inside(open_).withColumn("b", F.when(width > 0, bucket).otherwise(F.lit(0).cast("long")))
+                 .groupBy(*keys, "rank", "below", "b").agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")))
+        upto = F.col("below") + F.sum("n").over(Window.partitionBy(*keys).orderBy("b"))
+        open_ = materialize(cells.withColumn("upto", upto).where((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("n") <= F.col("rank")))
+                            .select(*keys, "rank", "lo", "hi", (F.col("upto") - F.col("n")).alias("below")), "brackets")
+    upto = F.col("below") + F.sum("n").over(Window.partitionBy(*keys).orderBy("v"))
+    found = inside(open_).withColumn("upto", upto).where((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("n") <= F.col("rank")))
+    medians = found.groupBy("g", "c").agg((F.sum("v") / 2).alias("m"))
+    return medians.groupBy(F.col("g").alias(group_col)).agg(
+        *[F.max(F.when(F.col("c") == i, F.col("m"))).alias(names[v]) for i, v in enumerate(value_cols)])
 
 
 def impute_category_then_global(df: DataFrame, specs: list[ImputeSpec],

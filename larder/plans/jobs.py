@@ -115,7 +115,7 @@ def run_reduce(spark: SparkSession, scaled: DataFrame, numeric: N.NumericModel,
     meta = {"selected_pca_components": pca.selected_k,
             "achieved_cumulative_variance": float(pca.cumulative[pca.selected_k - 1]),
             "selected_svd_components": sel, "svd_candidates": cands,
-            "svd_exact": svd.exact, "content_features": f, "n_items": cm.n_docs}
+            "svd_converged": svd.converged, "content_features": f, "n_items": cm.n_docs}
     spark.createDataFrame([(json.dumps(meta),)], "config string").write.mode("overwrite").json(
         os.path.join(out_dir, "reduced/pipeline_config"))
     return meta

@@ -1,11 +1,8 @@
 """Partitioning helpers.
 
-``spread`` hash-partitions a scan on its key only when the scan yields fewer
-partitions than twice the cluster's cores (``defaultParallelism``) (a small file with one
-row group reads as one task, so every regex in the plan would run on one
-core).  On a cluster reading many splits it is a no-op, and the key it uses
-is the key the next aggregate or join needs, so the exchange it adds is the
-one that stage would have made anyway.
+``spread`` hash-partitions a scan on its key only when the scan is a single
+split (a small file with one row group), where every regex of the plan would
+run on one core.  A scan of several splits is left alone.
 """
 
 from __future__ import annotations
@@ -19,10 +16,9 @@ def target_partitions(df: DataFrame) -> int:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    # two tasks per core (load balance); a scan that already has them is left alone
-    n = max(2, 2 * df.sparkSession.sparkContext.defaultParallelism)
-    if df.rdd.getNumPartitions() >= n:
+    if df.rdd.getNumPartitions() > 1:
         return df
+    n = max(2, 2 * df.sparkSession.sparkContext.defaultParallelism)
     return df.repartition(n, *keys) if keys else df.repartition(n)
 
 

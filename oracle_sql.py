@@ -809,7 +809,7 @@ FROM resolved ORDER BY TotalTime_Minutes_imputed DESC, RecipeId LIMIT 20"""
 
 SQL["seeded_sample"] = _WC + """
 SELECT RecipeId, Name, RecipeCategory FROM catalog
-ORDER BY ((RecipeId % 1000003) * 7919 + 42) % 1000003, RecipeId LIMIT 20"""
+ORDER BY md5(CAST(RecipeId AS VARCHAR) || ':42'), RecipeId LIMIT 20"""
 
 
 # -- ingest ------------------------------------------------------------------------------

@@ -8,9 +8,7 @@ from larder.functions import quantiles as Q
 
 
 @pytest.mark.parametrize("buckets,final_rows", [(4096, 50_000), (8, 16)])
-@pytest.mark.parametrize("single_task_max", [0, 10_000_000])
-def test_exact_quantiles_match_numpy(spark, monkeypatch, buckets, final_rows, single_task_max):
-    spark.conf.set("larder.quantile.singleTaskMaxRows", str(single_task_max))
+def test_exact_quantiles_match_numpy(spark, monkeypatch, buckets, final_rows):
     monkeypatch.setattr(Q, "BUCKETS", buckets)
     monkeypatch.setattr(Q, "FINAL_ROWS", final_rows)
     rng = np.random.default_rng(11)
@@ -26,7 +24,6 @@ def test_exact_quantiles_match_numpy(spark, monkeypatch, buckets, final_rows, si
     d = np.array([r[3] for r in rows if r[3] is not None])
     for name, arr in (("a", heavy), ("b", ints), ("c", const), ("d", d)):
         np.testing.assert_allclose(got[name], np.quantile(arr, probs), rtol=1e-12, atol=1e-12)
-    spark.conf.unset("larder.quantile.singleTaskMaxRows")
 
 
 def test_empty_column(spark):
@@ -34,18 +31,20 @@ def test_empty_column(spark):
     assert Q.exact_quantiles(df, {"a": F.col("a")}, [0.5]) == {"a": [None]}
 
 
-def test_grouped_medians_hot_groups(spark):
-    """Hot groups (above the single-task limit) take the rank-selection path; same medians."""
+@pytest.mark.parametrize("few", [4, 50_000])
+def test_grouped_medians_hot_groups(spark, monkeypatch, few):
+    """Medians of a hot group, with and without narrowing brackets first."""
+    from larder.operators import resolve
     from larder.operators.resolve import grouped_medians
+    monkeypatch.setattr(resolve, "MEDIAN_WINDOW_VALUES", few)
+    monkeypatch.setattr(resolve, "MEDIAN_BUCKETS", 16)
     rng = np.random.default_rng(5)
     cats = np.where(rng.random(3000) < 0.6, "hot", rng.choice(["a", "b", "c"], 3000))
     vals = rng.normal(50, 20, 3000)
     rows = [(str(c), float(v) if i % 7 else None) for i, (c, v) in enumerate(zip(cats, vals))]
     df = spark.createDataFrame(rows + [(None, 1.0)], "g string, v double")
     names = {"v": "m"}
-    spark.conf.set("larder.quantile.singleTaskMaxRows", "500")
     got = {r["g"]: r["m"] for r in grouped_medians(df, "g", ["v"], names).collect()}
-    spark.conf.unset("larder.quantile.singleTaskMaxRows")
     for g in ("hot", "a", "b", "c"):
         expected = np.median([v for c, v in rows if c == g and v is not None])
         assert abs(got[g] - expected) < 1e-9, g

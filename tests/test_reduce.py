@@ -23,7 +23,7 @@ def test_exact_svd_matches_numpy(sparse_case):
     n, f = dense.shape
     k = 6
     model = RD.fit_svd(matrix, n, f, k)
-    assert model.exact
+    assert model.converged
     s = np.linalg.svd(dense, compute_uv=False)
     np.testing.assert_allclose(model.singular_values_sq, s[:k] ** 2, rtol=1e-9)
     # retained energy as var(Z)/sum var(X), population
@@ -60,13 +60,16 @@ def test_joined_block_path_matches_numpy(sparse_case):
     np.testing.assert_allclose(np.abs(got), np.abs(dense @ vt[:5].T), atol=1e-9)
 
 
-def test_randomized_svd_close_to_numpy(sparse_case):
-    dense, matrix, _ = sparse_case
-    n, f = dense.shape
-    model = RD.fit_svd(matrix, n, f, 4, n_iter=8, exact_max_features=0)
-    assert not model.exact
+def test_wide_svd_matches_numpy(spark):
+    """More than 1,024 features take the same path; it stops on the residual."""
+    rng = np.random.default_rng(4)
+    n, f, k = 400, 1500, 12
+    dense = np.where(rng.random((n, f)) < 0.03, rng.random((n, f)), 0.0) * (1.0 / np.arange(1, f + 1) ** 0.3)
+    rows = [(int(i), int(j), float(dense[i, j])) for i, j in zip(*np.nonzero(dense))]
+    model = RD.fit_svd(spark.createDataFrame(rows, "id long, feature_index int, value double"), n, f, k)
+    assert model.converged
     s = np.linalg.svd(dense, compute_uv=False)
-    np.testing.assert_allclose(model.singular_values_sq, s[:4] ** 2, rtol=1e-3)
+    np.testing.assert_allclose(np.sqrt(model.singular_values_sq), s[:k], rtol=1e-6)
 
 
 def test_pca_matches_numpy(spark):
