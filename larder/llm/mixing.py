@@ -61,7 +61,7 @@ def _same(a: str, b: str):
     return F.col(a).eqNullSafe(F.col(b))
 
 
-def offsets(sized: DataFrame, bucket_rows: int = 20_000) -> DataFrame:
+def offsets(sized: DataFrame, bucket_rows: int = 2_000) -> DataFrame:
     """``sized`` with ``first``: the words before the row in its source's shuffled stream.
 
     Rows fall into buckets by the leading digits of their place; sums of whole buckets give
