@@ -119,8 +119,9 @@ def links(fps: DataFrame, max_bits: int = 2, pair_limit: int = 16) -> DataFrame:
     buckets a component is spanned by stars instead of all its pairs.
     """
     spark = fps.sparkSession
-    # an explicit number of tasks: the fingerprints are small, their variants are not
-    dealt = fps.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "fp")
+    # an explicit number of tasks: the fingerprints are small, their variants are not (dealt by
+    # another hash than the grouping above it, or Spark would drop the step as already done)
+    dealt = fps.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("fp"))
     sizes = materialize(variants(dealt, max_bits).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
                         .where("n > 1"), "buckets")
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
