@@ -671,3 +671,37 @@ def q_legacy_text_svd(spark, sf_dir):
 def q_servings_summary_raw(spark, sf_dir):
     """A11, EDA form (ruling R5): servings count as present when the raw value is non-missing."""
     return S.servings_summary(resolved(spark, sf_dir), present="raw")
+
+
+# -- cross-output checks (C3, J5, C7) ------------------------------------------------
+
+from larder.operators import contracts as K  # noqa: E402
+
+
+@query("id_alignment")
+def q_id_alignment(spark, sf_dir):
+    """The ids of the content input against those of the numeric matrix."""
+    res, model = numeric_fit(spark, sf_dir)
+    return K.id_alignment(V.catalog(spark, sf_dir), N.scaled_matrix(res, model))
+
+
+@query("review_id_alignment")
+def q_review_id_alignment(spark, sf_dir):
+    """J5 on tables that do differ: every review's recipe id against the catalog's."""
+    return K.id_alignment(V.reviews(spark, sf_dir), V.catalog(spark, sf_dir))
+
+
+@query("matrix_warnings")
+def q_matrix_warnings(spark, sf_dir):
+    """Warnings of the numeric and the content matrix."""
+    content = content_model(spark, sf_dir)
+    return K.matrix_warnings(q_numeric_preprocessing_summary(spark, sf_dir),
+                             C.matrix_summary(spark, content), content.n_docs)
+
+
+@query("reduction_warnings")
+def q_reduction_warnings(spark, sf_dir):
+    """Warnings of the reduced outputs."""
+    cm, _, model, _, selected = svd_model(spark, sf_dir)
+    _, pca = pca_model(spark, sf_dir)
+    return K.reduction_warnings(RD.svd_sweep(spark, model, [selected]), cm.n_docs, selected + pca.selected_k)

@@ -896,3 +896,30 @@ SQL["servings_summary_raw"] = with_resolved() + unpivot(
         {"count": "CAST(NULL AS BIGINT)", "percent_total_dataset": "CAST(NULL AS DOUBLE)", "value": "mb"}),
        ("median_resolved_servings_after_imputation",
         {"count": "CAST(NULL AS BIGINT)", "percent_total_dataset": "CAST(NULL AS DOUBLE)", "value": "ma"})])
+
+
+# -- cross-output checks -------------------------------------------------------------
+
+def _alignment(left: str, right: str) -> str:
+    def side(name, t, other):
+        return f"""
+SELECT '{name}_id_null' AS "check", COUNT(*) - COUNT(RecipeId) AS violations FROM {t}
+UNION ALL SELECT '{name}_id_repeated', COUNT(RecipeId) - COUNT(DISTINCT RecipeId) FROM {t}
+UNION ALL SELECT '{name}_only_ids', COUNT(DISTINCT RecipeId) FROM {t} t
+  WHERE RecipeId IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {other} o WHERE o.RecipeId = t.RecipeId)"""
+    return (side("left", left, right) + "\nUNION ALL" + side("right", right, left)
+            + f"\nUNION ALL SELECT 'row_count_difference', abs((SELECT COUNT(*) FROM {left}) - (SELECT COUNT(*) FROM {right}))")
+
+
+SQL["id_alignment"] = with_resolved() + NUMERIC_CTE + _alignment("catalog", "n3")
+SQL["review_id_alignment"] = _WCR + _alignment("reviews", "catalog")
+SQL["matrix_warnings"] = f"""WITH ns AS ({SQL["numeric_preprocessing_summary"]}),
+cs AS ({SQL["content_matrix_summary"]}),
+rows_in AS (SELECT MAX(n_documents) AS n FROM cs)
+SELECT 'high_skew_after_log' AS "check", feature AS subject, skew_after_log1p AS value FROM ns WHERE abs(skew_after_log1p) > 5
+UNION ALL SELECT 'clipped_rows_percent', feature, clipped_value_count * 100.0 / n FROM ns, rows_in
+  WHERE clipping_applied AND clipped_value_count > n * 0.01
+UNION ALL SELECT 'few_non_empty_documents', feature_group, non_empty_document_percent FROM cs
+  WHERE included AND feature_group <> 'combined_content_matrix' AND non_empty_document_percent < 1
+UNION ALL SELECT 'dense_content_matrix', feature_group, matrix_density FROM cs
+  WHERE feature_group = 'combined_content_matrix' AND matrix_density > 0.05"""
