@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm.common import materialize, table
+from larder.llm.common import materialize, row_key, table
 from larder.llm.decontaminate import drop_contaminated
 from larder.llm.mixing import mix
 from larder.llm.pii import redacted
@@ -45,7 +45,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """The documents with the words that the mix takes of each (up to twice its size)."""
     docs = docs.select(COLUMNS)
     taken = mix(docs).select(F.col("rid").alias("__rid"), "size", "source_size", "target", "taken")
-    return docs.withColumn("__rid", F.monotonically_increasing_id()).join(taken, "__rid").drop("__rid")
+    return docs.withColumn("__rid", row_key(docs)).join(taken, "__rid").drop("__rid")
 
 
 STAGES = [

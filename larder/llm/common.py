@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from larder.plans.materialize import materialize
 
-__all__ = ["materialize", "table", "numbered", "upper_to_lower", "text_rows"]
+__all__ = ["materialize", "table", "row_key", "numbered", "upper_to_lower", "text_rows"]
 
 #: Bytes A-Z mapped to a-z; every other byte kept (so UTF-8 stays intact).
 upper_to_lower = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -19,14 +19,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def row_key(df: DataFrame):
+    """A key of each row by scan order, the same in every scan of one written table.
+
+    The splits of a scan follow the cores at hand unless ``spark.sql.files.minPartitionNum``
+    is set.  It is set here to the present number where it is unset, so that an executor
+    lost (or won) between two scans does not move the splits and with them the keys.
+    """
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    return F.monotonically_increasing_id()
+
+
 def numbered(df: DataFrame, *cols) -> DataFrame:
     """The given columns and a row key ``rid``.
 
     Extra input columns (whatever their names) are dropped here.  ``rid`` tells repeated
-    rows and null ids apart.  It follows the scan order, which is stable for a written
-    table; operators write their first result and derive the rest from that.
+    rows and null ids apart; it is that of ``row_key``.
     """
-    return df.select(*cols).withColumn("rid", F.monotonically_increasing_id())
+    return df.select(*cols).withColumn("rid", row_key(df))
 
 
 def text_rows(batch, *names: str) -> Iterator[tuple]:

@@ -19,7 +19,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.common import materialize, numbered, text_rows
+from larder.llm.common import materialize, numbered, row_key, text_rows
 
 #: Word bytes (digits, letters lower-cased, everything beyond ASCII); other bytes become a space.
 _WORD_BYTES = bytes(
@@ -185,4 +185,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, shing
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` (a written table: its scan order numbers the rows) without contaminated rows; all its columns."""
     bad = contamination(docs, benchmark, **options).where("contaminated").select(F.col("rid").alias("__rid"))
-    return docs.withColumn("__rid", F.monotonically_increasing_id()).join(bad, "__rid", "left_anti").drop("__rid")
+    return docs.withColumn("__rid", row_key(docs)).join(bad, "__rid", "left_anti").drop("__rid")

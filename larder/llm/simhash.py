@@ -20,7 +20,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import materialize, numbered, text_rows, upper_to_lower
+from larder.llm.common import materialize, numbered, row_key, text_rows, upper_to_lower
 from larder.llm.components import components
 
 BITS = 64
@@ -172,4 +172,4 @@ def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFram
     groups = simhash_groups(docs, shingle, max_bits)
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "rid")
     kept = groups.groupBy("root").agg(F.min(first).alias("f")).select(F.col("f.rid").alias("__rid"))
-    return docs.withColumn("__rid", F.monotonically_increasing_id()).join(kept, "__rid", "left_semi").drop("__rid")
+    return docs.withColumn("__rid", row_key(docs)).join(kept, "__rid", "left_semi").drop("__rid")

@@ -30,7 +30,8 @@ SECOND_PERSON = frozenset(
 _PLAIN = str.maketrans("013457@$!", "oieastasi")
 _WORD = re.compile(r"\w+")
 _CAPS = re.compile(r"\b[A-Z]{2,}\b")
-_MASKED = re.compile(r"[A-Za-z]+[013457@$!*]+[A-Za-z]+")
+# begins where a run of letters begins and never goes back into one, so a long run costs its length once
+_MASKED = re.compile(r"(?<![A-Za-z])[A-Za-z]++[013457@$!*]++[A-Za-z]+")
 _NEAR = 4
 N_FEATURES = 20
 

@@ -66,3 +66,10 @@ def test_stages_keep_columns(spark, edge_docs):
     labels = spark.read.parquet(f"{SF}/labels.parquet").limit(0)
     kept = toxicity.drop_toxic(edge_docs, labels)
     assert kept.columns == edge_docs.columns and kept.count() == edge_docs.count()
+
+
+def test_features_of_a_long_unbroken_text_take_linear_time():
+    weights = toxicity._Weights({})
+    for text in ("a" * 1_000_000, "A" * 1_000_000 + "b", "a1" * 300_000, "1" * 1_000_000 + "a"):
+        assert len(toxicity.features(text, weights)) == toxicity.N_FEATURES
+        assert len(quality.features(text)) == quality.N_FEATURES
