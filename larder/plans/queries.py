@@ -316,6 +316,35 @@ def q_pca_reconstruction(spark, sf_dir):
     return RD.pca_reconstruction(spark, m)
 
 
+@query("pca_power_sums")
+def q_pca_power_sums(spark, sf_dir):
+    """M6 check: the sums of the eigenvalues' powers are the traces of the covariance's powers."""
+    _, m = pca_model(spark, sf_dir)
+    eigen = RD.pca_explained(spark, m).select(F.col("explained_variance").alias("v"))
+    powers = F.explode(F.array(*(F.struct(F.lit(p).alias("power"), F.pow("v", F.lit(float(p))).alias("x")) for p in (1, 2, 3)))).alias("e")
+    return eigen.select(powers).groupBy(F.col("e.power").alias("power")).agg(F.sum("e.x").alias("power_sum"))
+
+
+@query("pca_covariance_rebuilt")
+def q_pca_covariance_rebuilt(spark, sf_dir):
+    """M6 / M7 check: the covariance put together again from the eigenvalues and loadings."""
+    _, m = pca_model(spark, sf_dir)
+    loads = RD.pca_loadings(spark, m).select("component", "feature", "loading")
+    eigen = RD.pca_explained(spark, m).select("component", "explained_variance")
+    a, b = loads.toDF("component", "feature_i", "x"), loads.toDF("component", "feature_j", "y")
+    return (a.join(eigen, "component").join(b, "component").groupBy("feature_i", "feature_j")
+            .agg(F.sum(F.col("explained_variance") * F.col("x") * F.col("y")).alias("covariance")))
+
+
+@query("pca_score_norms")
+def q_pca_score_norms(spark, sf_dir):
+    """M6 check: the scores on all components keep every recipe's distance to the mean."""
+    scaled, m = pca_model(spark, sf_dir)
+    scores = RD.pca_scores(scaled, m, k=len(m.features))
+    squares = [F.col(c) * F.col(c) for c in scores.columns if c != "RecipeId"]
+    return scores.select("RecipeId", sum(squares[1:], squares[0]).alias("squared_distance"))
+
+
 @query("pca_scores")
 def q_pca_scores(spark, sf_dir):
     scaled, m = pca_model(spark, sf_dir)

@@ -581,6 +581,18 @@ SQL["pca_covariance"] = with_resolved() + NUMERIC_CTE + "\n" + "\nUNION ALL ".jo
     for a in _F for b in _F)
 
 
+SQL["pca_covariance_rebuilt"] = SQL["pca_covariance"]
+SQL["pca_power_sums"] = with_resolved() + NUMERIC_CTE + ", c AS (" + "\nUNION ALL ".join(
+    f"SELECT {i} AS i, {j} AS j, covar_samp({a}, {b}) AS v FROM n3"
+    for i, a in enumerate(_F) for j, b in enumerate(_F)) + """)
+SELECT 1 AS power, SUM(v) AS power_sum FROM c WHERE i = j
+UNION ALL SELECT 2, SUM(v * v) FROM c
+UNION ALL SELECT 3, SUM(x.v * y.v * z.v) FROM c x JOIN c y ON x.j = y.i JOIN c z ON y.j = z.i AND z.j = x.i"""
+SQL["pca_score_norms"] = (
+    with_resolved() + NUMERIC_CTE + ", m AS (SELECT " + ", ".join(f"AVG({f}) AS m{i}" for i, f in enumerate(_F)) + " FROM n3)\n"
+    "SELECT RecipeId, " + " + ".join(f"({f} - m{i}) * ({f} - m{i})" for i, f in enumerate(_F)) + " AS squared_distance FROM n3, m")
+
+
 # -- audits ---------------------------------------------------------------------------
 
 from larder.operators.audits import MIN_DF_SWEEP, NUMERIC_CANDIDATES, PROFILE_PERCENTILES  # noqa: E402
