@@ -31,8 +31,12 @@ CLOSES = {
 }
 SCOPES = frozenset("table ul ol dl menu dir body html select".split())
 _P_SCOPES = frozenset("table td th body html button caption".split())
-_MARKUP = re.compile(r"<!--(?:>|->|.*?(?:-->|--!>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+#: A quote delimits a value only directly after "="; anywhere else it belongs to the name or the unquoted value.
+_VALUE = r"[ \t\n\r\f]*+=[ \t\n\r\f]*+(?:\"([^\"]*+)(?:\"|\Z)|'([^']*+)(?:'|\Z)|([^ \t\n\r\f\"'>][^ \t\n\r\f>]*+))?+"
+_NAME = r"[^ \t\n\r\f/>][^ \t\n\r\f/>=]*+"
+_MARKUP = re.compile(r"<!--(?:>|->|.*?(?:-->|--!>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^ \t\n\r\f/>]*)"
+                     rf"((?:[ \t\n\r\f/]++|{_NAME}(?:{_VALUE.replace('([^', '(?:[^')})?+)*+)(?:>|\Z)", re.S)
+_ATTR = re.compile(rf"({_NAME})(?:{_VALUE})?+")
 _NONE = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
 _RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
 _SPACE = re.compile(r"[ \t\n\r\f\v]+")

@@ -35,6 +35,19 @@ def test_deep_and_broken_pages():
     assert render("<p title='unclosed>text") == ""
 
 
+@pytest.mark.parametrize(("html", "text"), [
+    ('<img alt="5" tall">visible <b>text</b>', "5visible text"),
+    ("<a href=it's>one</a> two <i title='x'>three</i>", "one two three"),
+    ('<table><tr><td width=5">a<td class="c">b</table>', "a  b"),
+    ('<p class="a"id="b">x<p title = "1 > 0">y', "x\n\ny"),
+    ("<p hidden=>no</p><p a='b'c'>yes", "yes"),
+    ('<p "hidden">yes', "yes"),
+    ("<br/><p title=/x/>y", "y"),
+])
+def test_stray_quotes_keep_the_text(html, text):
+    assert render(html) == text
+
+
 def test_table(spark):
     rows = [(1, "u", "<p>x", "k"), (None, None, None, None), (1, "u", "<p>x", "k"), (2, "v", "", "")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
