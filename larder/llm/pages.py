@@ -37,8 +37,9 @@ _NAME = r"[^ \t\n\r\f/>][^ \t\n\r\f/>=]*+"
 _MARKUP = re.compile(r"<!--(?:>|->|.*?(?:-->|--!>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^ \t\n\r\f/>]*)"
                      rf"((?:[ \t\n\r\f/]++|{_NAME}(?:{_VALUE.replace('([^', '(?:[^')})?+)*+)(?:>|\Z)", re.S)
 _ATTR = re.compile(rf"({_NAME})(?:{_VALUE})?+")
+_CSS = re.compile(r"/\*.*?(?:\*/|\Z)|\"(?:\\.|[^\"\\\n])*+\"?|'(?:\\.|[^'\\\n])*+'?|[{};]|[^{};\"'/]++|/", re.S)
+_MEDIA = re.compile(r"(?:(?:only\s+)?(?:all|screen))?", re.I)
 _NONE = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
 _SPACE = re.compile(r"[ \t\n\r\f\v]+")
 
 
@@ -58,10 +59,60 @@ def _attributes(text: str) -> dict[str, str]:
     return out
 
 
+def _on_screen(media: str) -> bool:
+    """Whether a media list holds on every screen; none at all does."""
+    return any(_MEDIA.fullmatch(m.strip()) for m in media.split(","))
+
+
+def _style(css: str, state: dict[str, dict[str, tuple[bool, bool]]]) -> None:
+    """Adds the rules of a style sheet to ``state``: selector -> property -> (hides, important).
+
+    A later declaration of the same selector replaces an earlier one, unless only the earlier
+    is important.  Blocks under a condition (print, a width, ``@supports``) say nothing.
+    """
+    def declared(selectors: str, text: str) -> None:
+        name, _, value = text.partition(":")
+        name, value = name.strip().lower(), value.strip().lower()
+        if name not in ("display", "visibility") or not value:
+            return
+        important, value = "!" in value, value.partition("!")[0].strip()
+        hides = value == "none" if name == "display" else value in ("hidden", "collapse")
+        for s in selectors.split(","):
+            known = state.setdefault(s.strip().lower(), {})
+            if important or not known.get(name, (False, False))[1]:
+                known[name] = hides, important
+
+    # of each open block: the selectors of a rule, "" where inner rules count, None where nothing does
+    blocks, now = [], ""
+    for m in _CSS.finditer(css):
+        t = m[0]
+        if t == "{":
+            head, now = now.strip(), ""
+            if blocks and blocks[-1] != "":
+                blocks.append(None)
+            elif head.startswith("@"):
+                name, _, rest = head[1:].replace("(", " (").partition(" ")
+                blocks.append("" if name.lower() == "layer" or name.lower() == "media" and _on_screen(rest) else None)
+            else:
+                blocks.append(head or None)
+        elif t in ("}", ";"):
+            if blocks and blocks[-1]:
+                declared(blocks[-1], now)
+            if blocks and t == "}":
+                blocks.pop()
+            now = ""
+        elif t.startswith("/*"):
+            now += " "
+        else:
+            now += t
+    if blocks and blocks[-1]:
+        declared(blocks[-1], now)
+
+
 def parse(html: str) -> tuple[Node, set[str]]:
     """The tree, and the simple selectors (tag, .class, #id) that a style sheet hides."""
     root = Node("html")
-    stack, hidden, at, end = [root], set(), 0, len(html)
+    stack, styles, at, end = [root], {}, 0, len(html)
 
     def text(value: str):
         if value:
@@ -110,10 +161,8 @@ def parse(html: str) -> tuple[Node, set[str]]:
         if tag in RAW:
             stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)", re.I).search(html, at)
             body, at = html[at:stop.start() if stop else end], stop.start() if stop else end
-            if tag == "style":
-                for rule in _RULE.finditer(body):
-                    if _NONE.search(rule[2]):
-                        hidden.update(s.strip().lower() for s in rule[1].split(","))
+            if tag == "style" and _on_screen(node.attrs.get("media", "")):
+                _style(body, styles)
             if stop:
                 after = html.find(">", at)
                 at = after + 1 if after >= 0 else end
@@ -121,7 +170,7 @@ def parse(html: str) -> tuple[Node, set[str]]:
             stack.append(node)
         elif m[3].rstrip().endswith("/") and tag not in VOID:
             stack.append(node)
-    return root, hidden
+    return root, {s for s, known in styles.items() if any(hides for hides, _ in known.values())}
 
 
 def _visible(node: Node, hidden: set[str]) -> bool:

@@ -48,6 +48,30 @@ def test_stray_quotes_keep_the_text(html, text):
     assert render(html) == text
 
 
+@pytest.mark.parametrize(("css", "text"), [
+    ("@media print { .c { display:none } }", "x"),
+    ("@media (max-width:600px) { .b {color:red} .c { display:none } } .d{display:none}", "x"),
+    ("@media screen { .c { display:none } }", ""),
+    ("@media print, all { .c { display:none } }", ""),
+    ("@media only screen and (min-width:9px) { .c { display:none } }", "x"),
+    ("@supports (display:grid) { .c { display:none } }", "x"),
+    ("@import 'a.css'; @charset \"u\"; .c{display:none}", ""),
+    ("@font-face{src:url(a)} @keyframes k { from {top:0} .c {display:none} } p{color:red}", "x"),
+    (".c{display:none} .c{color:red;display:block}", "x"),
+    (".c{display:none!important} .c{display:block}", ""),
+    (".c{display:block} .c { visibility: hidden; }", ""),
+    (".c:before{content:'}'} /* } */ .d, .c{display : NONE", ""),
+    ("@layer a{.c{display:none}}", ""),
+])
+def test_style_rules_keep_their_conditions(css, text):
+    assert render(f"<style>{css}</style><p class=c>x") == text
+
+
+def test_style_sheets_for_other_media():
+    assert render("<style media=print>.c{display:none}</style><p class=c>x") == "x"
+    assert render("<style media=screen>.c{display:none}</style><style>.d{display:none}</style><p class=c>x<p class=d>y") == ""
+
+
 def test_table(spark):
     rows = [(1, "u", "<p>x", "k"), (None, None, None, None), (1, "u", "<p>x", "k"), (2, "v", "", "")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
