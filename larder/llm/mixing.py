@@ -120,14 +120,40 @@ def schedule(goals: DataFrame, block_words: int = 4096, chunk: int = 1 << 16) ->
 
 
 def pieces(placed: DataFrame, block_words: int = 4096) -> DataFrame:
-    """(rid, source, block, from, to): the part of each row in each block of its stream, from and to within the block."""
+    """(rid, doc_id, source, block, from, to, word_from): the part of each row in each block of its stream.
+
+    from and to are places within the block, word_from is the first word within the row.
+    """
     last = F.col("first") + F.col("size") - 1
     cut = placed.where("size > 0").select(
-        "rid", "source", "first", "size",
+        "rid", "doc_id", "source", "first", "size",
         F.explode(F.sequence(F.floor(F.col("first") / block_words), F.floor(last / block_words))).alias("block"))
     base = F.col("block") * block_words
-    return cut.select("rid", "source", "block", (F.greatest("first", base) - base).alias("from"),
-                      (F.least(F.col("first") + F.col("size"), base + block_words) - base).alias("to"))
+    return cut.select("rid", "doc_id", "source", "block", (F.greatest("first", base) - base).alias("from"),
+                      (F.least(F.col("first") + F.col("size"), base + block_words) - base).alias("to"),
+                      (F.greatest("first", base) - F.col("first")).alias("word_from"))
+
+
+def planned(docs: DataFrame, block_words: int = 4096, seed: int = 17) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sizes, targets, mixture): what ``mix`` and ``mixture`` are made of; the first two are written."""
+    sized = materialize(sizes(docs, seed), "sizes")
+    goals = materialize(targets(sized), "targets")
+    parts = pieces(offsets(sized), block_words)
+    slots = schedule(goals, block_words).select("slot", F.col("source").alias("s"), F.col("block").alias("k"), "words")
+    cut = (parts.join(slots, _same("source", "s") & (F.col("block") == F.col("k"))).where(F.col("from") < F.col("words"))
+           .select("slot", F.col("from").alias("position"), "rid", "doc_id", "source", "word_from",
+                   (F.col("word_from") + F.least("to", "words") - F.col("from")).alias("word_to")))
+    return sized, goals, cut
+
+
+def mixture(docs: DataFrame, block_words: int = 4096, seed: int = 17) -> DataFrame:
+    """(slot, position, rid, doc_id, source, word_from, word_to): the mixed words in the order (slot, position).
+
+    A row is the words [word_from, word_to) of a document in one slot; position is its place
+    in the slot's block.  Documents of repeated blocks have several rows, those that the mix
+    does not take none, and the last block of a source is cut at its target.
+    """
+    return planned(docs, block_words, seed)[2]
 
 
 def mix(docs: DataFrame, block_words: int = 4096, seed: int = 17) -> DataFrame:
@@ -138,14 +164,8 @@ def mix(docs: DataFrame, block_words: int = 4096, seed: int = 17) -> DataFrame:
     sources are one source; empty texts take nothing; an empty table gives no rows; the
     same table gives the same mix.
     """
-    sized = materialize(sizes(docs, seed), "sizes")
-    goals = materialize(targets(sized), "targets")
-    slots = schedule(goals, block_words).groupBy("source", "block", "words").agg(F.count(F.lit(1)).alias("times"))
-    parts = pieces(offsets(sized), block_words)
-    chosen = slots.select(F.col("source").alias("s"), F.col("block").alias("k"), "words", "times")
-    part = F.greatest(F.lit(0), F.least("to", "words") - F.col("from")) * F.col("times")
-    taken = (parts.join(chosen, _same("source", "s") & (F.col("block") == F.col("k")))
-             .groupBy("rid").agg(F.sum(part).cast("long").alias("taken")))
+    sized, goals, mixed = planned(docs, block_words, seed)
+    taken = mixed.groupBy("rid").agg(F.sum(F.col("word_to") - F.col("word_from")).cast("long").alias("taken"))
     named = goals.withColumnRenamed("source", "s")
     return (sized.join(taken, "rid", "left").join(named, _same("source", "s"))
             .select("rid", "doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken")))

@@ -62,6 +62,28 @@ def test_schedule_keeps_weights_on_every_stretch(spark):
     assert blocks == [*range(400), *range(100)]
 
 
+@pytest.mark.parametrize("block_words", [16, 4096])
+def test_mixture_is_the_schedule_with_its_words(make_docs, block_words):
+    rows = [(k, "w " * (k % 50), "hot") for k in range(200)] + [(1000 + k, "v " * k, f"s{k}") for k in range(12)] + [(1, "x", None)]
+    docs = make_docs(rows)
+    sized, goals, mixed = mixing.planned(docs, block_words)
+    got = sorted(mixed.collect(), key=lambda r: (r.slot, r.position))
+    slots = {r.slot: r for r in mixing.schedule(goals, block_words).collect()}
+    placed = {r.rid: r for r in mixing.offsets(sized).collect()}
+    filled = Counter()
+    for r in got:
+        # the pieces of a slot are its block's words, one after another
+        slot, row = slots[r.slot], placed[r.rid]
+        assert r.position == filled[r.slot] and r.source == slot.source == row.source and r.doc_id == row.doc_id
+        assert row["first"] + r.word_from == slot.block * block_words + r.position and 0 <= r.word_from < r.word_to <= row["size"]
+        filled[r.slot] += r.word_to - r.word_from
+    assert filled == {k: s.words for k, s in slots.items()}
+    taken = Counter()
+    for r in got:
+        taken[r.rid] += r.word_to - r.word_from
+    assert {r.rid: r.taken for r in mixing.mix(docs, block_words).collect() if r.taken} == taken
+
+
 def test_native(edge_docs):
     plan = mixing.mix(edge_docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
