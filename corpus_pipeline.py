@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from larder.llm.common import materialize, row_key, table
 from larder.llm.decontaminate import drop_contaminated
-from larder.llm.mixing import mix
+from larder.llm.mixing import planned
 from larder.llm.pii import redacted
 from larder.llm.simhash import keep_first
 from larder.llm.toxicity import drop_toxic
@@ -42,10 +42,23 @@ def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with the words that the mix takes of each (up to twice its size)."""
+    """The mixed corpus in the order (slot, position): a row for each piece of a document that a slot takes.
+
+    ``text`` holds the words [word_from, word_to) with the spaces after them, taken is their
+    number and size that of the whole document.  Documents that the mix does not take are absent.
+    """
     docs = docs.select(COLUMNS)
-    taken = mix(docs).select(F.col("rid").alias("__rid"), "size", "source_size", "target", "taken")
-    return docs.withColumn("__rid", row_key(docs)).join(taken, "__rid").drop("__rid")
+    sized, goals, mixed = planned(docs)
+    size = sized.select(F.col("rid").alias("__rid"), "size")
+    mixed = mixed.select("slot", "position", F.col("rid").alias("__rid"), "word_from", "word_to")
+    goals = goals.withColumnRenamed("source", "__source")
+    rows = docs.withColumn("__rid", row_key(docs)).join(size, "__rid").join(mixed, "__rid").join(goals, F.col("source").eqNullSafe(F.col("__source")))
+    words = F.regexp_extract_all("text", F.lit(r"(?:^[\x20\x09-\x0D]+)?[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
+    taken = F.col("word_to") - F.col("word_from")
+    cut = F.array_join(F.slice(words, (F.col("word_from") + 1).cast("int"), taken.cast("int")), "")
+    rows = rows.withColumn("text", F.when(taken == F.col("size"), F.col("text")).otherwise(cut))
+    return rows.select("slot", "position", "doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"),
+                       "word_from", "word_to", "size", "source_size", "target", taken.alias("taken"))
 
 
 STAGES = [

@@ -38,3 +38,23 @@ def test_odd_rows(spark, edge_docs, no_docs, tmp_path):
             stage(spark, kept, "/root/testdata/sf0.001").write.parquet(str(tmp_path / f"{k}-{name}"))
             kept = spark.read.parquet(str(tmp_path / f"{k}-{name}"))
         assert kept.count() <= docs.count()
+
+
+def test_mixing_takes_effect(spark, make_docs):
+    """The output has the target words of each source in slot order, and no others."""
+    rows = [(k, "\n" + "  ".join(f"h{k}_{i}" for i in range(40)) + " ", "hot") for k in range(600)]
+    rows += [(1000 + k, " ".join(f"c{k}_{i}" for i in range(70)), "cold") for k in range(40)] + [(5000, None, "cold"), (5001, " ", "hot")]
+    docs = make_docs(rows)
+    got = sorted(corpus_pipeline.mixing_stage(spark, docs, "").collect(), key=lambda r: (r.slot, r.position))
+    assert {r.doc_id for r in got} < {r[0] for r in rows}
+    texts = {r[0]: r[1] or "" for r in rows}
+    words = {"hot": [], "cold": []}
+    for r in got:
+        assert r.text.split() == texts[r.doc_id].split()[r.word_from:r.word_to] and r.n_chars == len(r.text) and r.text in texts[r.doc_id]
+        words[r.source] += r.text.split()
+    target = {r.source: r.target for r in got}
+    assert all(abs(len(words[s]) - target[s]) < 1 for s in target)
+    # a source below its size repeats no word, one above it starts over
+    rare = {s: len(set(w)) for s, w in words.items()}
+    for s, n in (("hot", 24_000), ("cold", 2800)):
+        assert rare[s] == min(n, len(words[s]))
