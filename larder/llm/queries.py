@@ -18,6 +18,7 @@ from larder.llm.simhash import simhash_groups
 from larder.llm.sql import SQL
 from larder.llm.suffixes import remove_repeats
 from larder.llm.toxicity import toxicity
+from larder.llm.warc import archived_pages
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -63,6 +64,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_page_text": op2_page_text,
@@ -74,5 +79,6 @@ QUERIES = {
     "op8_embeddings": op8_embeddings,
     "op9_passages": op9_passages,
     "op10_simhash": op10_simhash,
+    "op13_warc": op13_warc,
     "pipeline": corpus_pipeline.run,
 }

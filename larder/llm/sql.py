@@ -89,4 +89,13 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id IS NOT DIST
 FROM e JOIN c USING (rid) LEFT JOIN n USING (rid)
 """
 
-SQL = {"op8_embeddings": OP8, "op1_decontaminate": OP1, "op3_personal_data": OP3, "op5_mix": OP5}
+OP13 = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS x, row_number() OVER () AS rid FROM pages),
+g AS (SELECT *, strlen(x) AS size, row_number() OVER (PARTITION BY x ORDER BY page_id DESC NULLS LAST, rid) AS k, max(page_id) OVER (PARTITION BY x) AS last FROM p)
+SELECT page_id, size AS payload_bytes, sha1(x) AS payload_digest,
+  CASE WHEN k > 1 AND size >= 1000 THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN k > 1 AND size >= 1000 THEN last END AS refers_to
+FROM g
+"""
+
+SQL = {"op13_warc": OP13, "op8_embeddings": OP8, "op1_decontaminate": OP1, "op3_personal_data": OP3, "op5_mix": OP5}
