@@ -15,9 +15,11 @@ from larder.llm.passages import passage_groups
 from larder.llm.pii import personal_data
 from larder.llm.quality import quality
 from larder.llm.simhash import simhash_groups
+from larder.llm.spelling import spelling_forms, word_counts
 from larder.llm.sql import SQL
 from larder.llm.suffixes import remove_repeats
 from larder.llm.toxicity import toxicity
+from larder.llm.turns import prefix_trie
 from larder.llm.warc import archived_pages
 
 __all__ = ["QUERIES", "SQL"]
@@ -64,6 +66,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_forms(word_counts(table(spark, sf_dir, "documents")))
+
+
+def op12_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(table(spark, sf_dir, "pages"))
 
@@ -79,6 +89,8 @@ QUERIES = {
     "op8_embeddings": op8_embeddings,
     "op9_passages": op9_passages,
     "op10_simhash": op10_simhash,
+    "op11_spelling": op11_spelling,
+    "op12_turns": op12_turns,
     "op13_warc": op13_warc,
     "pipeline": corpus_pipeline.run,
 }

@@ -89,6 +89,53 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id IS NOT DIST
 FROM e JOIN c USING (rid) LEFT JOIN n USING (rid)
 """
 
+# crc32 of the bytes b with the 256 step values of table t
+_STEPS = """SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_concat([i], [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c FROM (SELECT unnest(range(256)) AS i))"""
+_CRC = "xor(list_reduce(list_concat([4294967295], b), lambda c, x: xor(c // 256, t[xor(c % 256, x) + 1])), 4294967295)"
+_BYTES = "list_transform(range(strlen({0})), lambda i: CAST('0x' || substr(hex({0}), CAST(2 * i + 1 AS INT), 2) AS BIGINT))"
+
+OP11 = rf"""
+WITH RECURSIVE steps AS ({_STEPS}),
+r AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+        unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]{{7,}}')) AS run FROM documents),
+u AS (SELECT id, run, count(*) AS n, {_BYTES.format("(id || ':' || run)")} AS b FROM r GROUP BY id, run),
+h AS (SELECT id, run, n, {_CRC} AS h FROM u, steps),
+w AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word, n FROM h),
+d AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM w WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+v AS (SELECT word, k, substr(word, 1, CAST(k AS INT)) || substr(word, CAST(k AS INT) + 2) AS x FROM (SELECT word, unnest(range(length(word))) AS k FROM d)),
+p AS (SELECT a.word, b.word AS near FROM v a JOIN v b ON a.k = b.k AND a.x = b.x AND a.word <> b.word
+      UNION SELECT v.word, v.x FROM v JOIN d ON d.word = v.x UNION SELECT v.x, v.word FROM v JOIN d ON d.word = v.x),
+g AS (SELECT p.word, count(*) AS n_near, arg_min(near, (-d.n, near)) AS best, max(d.n) AS best_n FROM p JOIN d ON d.word = p.near GROUP BY p.word),
+f AS (SELECT d.word, d.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * d.n THEN best END AS form, CASE WHEN best_n >= 10 * d.n THEN best_n END AS form_n FROM d LEFT JOIN g USING (word)),
+c(word, last) AS (SELECT word, word FROM f UNION SELECT c.word, f.form FROM c JOIN f ON f.word = c.last WHERE f.form IS NOT NULL),
+e AS (SELECT c.word, c.last AS root FROM c JOIN f ON f.word = c.last WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN e USING (word)
+"""
+
+OP12 = rf"""
+WITH steps AS ({_STEPS}),
+o AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS i FROM conversations WHERE conv_id IS NOT NULL),
+s AS (SELECT c, count(*) AS own, {_BYTES.format("CAST(c AS VARCHAR)")} AS b FROM o GROUP BY c),
+p AS (SELECT c, own, {_CRC} % 4 AS h, c - c % 20 AS base FROM s, steps),
+l AS (SELECT p.*, least(h, coalesce(s.own, 0)) AS lead FROM p LEFT JOIN s ON s.c = p.base),
+r AS (SELECT l.c, o.i AS i, role, text FROM l JOIN o ON o.c = l.base WHERE o.i < lead
+      UNION ALL SELECT l.c, o.i - h + lead, role, text FROM l JOIN o ON o.c = l.c WHERE o.i >= h),
+a AS (SELECT c, i + 1 AS depth, list({{'r': role, 't': text}}) OVER (PARTITION BY c ORDER BY i) AS path, len(regexp_extract_all(text, '[^ 	-
+]+')) AS words FROM r
+      UNION ALL SELECT c, 0, [], 0 FROM s),
+m AS (SELECT c, depth, words, min(c) OVER q AS conv, count(*) OVER q AS n, max(depth) OVER (PARTITION BY c) AS size FROM a WINDOW q AS (PARTITION BY depth, path)),
+u AS (SELECT m.*, b.conv AS parent FROM m LEFT JOIN m b ON b.c = m.c AND b.depth = m.depth - 1),
+t AS (SELECT conv, depth, any_value(n) AS n, (any_value(n) - 1) * any_value(words) AS saved, any_value(parent) AS parent,
+        sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (depth = size), '')) AS ends_sha256 FROM u GROUP BY conv, depth),
+k AS (SELECT parent AS conv, depth - 1 AS depth, count(*) AS kids FROM t WHERE depth > 0 GROUP BY parent, depth),
+x AS (SELECT m.conv, m.depth, sum(t.saved) AS saved, count(*) FILTER (k.kids IS NULL) AS leaves
+      FROM t LEFT JOIN k USING (conv, depth) JOIN m ON m.c = t.conv AND m.depth <= t.depth GROUP BY m.conv, m.depth)
+SELECT conv AS conv_id, depth, parent AS parent_conv_id, n AS n_convs, coalesce(kids, 0) AS n_children, leaves AS n_leaves, CAST(x.saved AS BIGINT) AS saved_tokens, ends_sha256
+FROM t JOIN x USING (conv, depth) LEFT JOIN k USING (conv, depth)
+"""
+
 OP13 = r"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS x, row_number() OVER () AS rid FROM pages),
 g AS (SELECT *, strlen(x) AS size, row_number() OVER (PARTITION BY x ORDER BY page_id DESC NULLS LAST, rid) AS k, max(page_id) OVER (PARTITION BY x) AS last FROM p)
@@ -98,4 +145,4 @@ SELECT page_id, size AS payload_bytes, sha1(x) AS payload_digest,
 FROM g
 """
 
-SQL = {"op13_warc": OP13, "op8_embeddings": OP8, "op1_decontaminate": OP1, "op3_personal_data": OP3, "op5_mix": OP5}
+SQL = {"op11_spelling": OP11, "op12_turns": OP12, "op13_warc": OP13, "op8_embeddings": OP8, "op1_decontaminate": OP1, "op3_personal_data": OP3, "op5_mix": OP5}
