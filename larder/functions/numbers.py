@@ -63,9 +63,9 @@ def to_number(df: DataFrame, name: str) -> Column:
     c = F.col(name)
     if isinstance(dtype, _NUMERIC_TYPES):
         d = c.cast("double")
-        return F.when(F.isnan(d) | (F.abs(d) == float("inf")), F.lit(None)).otherwise(d)
-    s = c.cast("string")
-    return F.when(s.rlike(_NUMERIC_TEXT), F.expr(f"try_cast(trim(`{name}`) AS DOUBLE)"))
+    else:
+        d = F.when(c.cast("string").rlike(_NUMERIC_TEXT), F.expr(f"try_cast(trim(`{name}`) AS DOUBLE)"))
+    return F.when(~F.isnan(d) & (F.abs(d) < float("inf")), d)
 
 
 def number_token(t: Column) -> Column:

@@ -157,18 +157,51 @@ def parse_list(c: Column) -> Column:
     )
 
 
+# Literals of lists and tuples as Python prints them.  Quantifiers are possessive, so the patterns
+# take linear time and constant stack on cells of any length.
+_STR = r"\"[^\"\\]*+(?:\\.[^\"\\]*+)*+\"|'[^'\\]*+(?:\\.[^'\\]*+)*+'"
+_STRS = rf"(?:{_STR})(?:\s*+(?:{_STR}))*+"
+_NUM = r"[+-]?(?:\d++(?:\.\d*+)?|\.\d++)(?:[eE][+-]?\d++)?"
+_NESTED = rf"[\[(](?:[^\[\](){{}}\"']++|{_STR})*+[\])]"
+_ITEM = rf"(?:{_STRS}|{_NUM}|None|True|False|{_NESTED})"
+_MANY = rf"(?:{_ITEM}(?:\s*+,\s*+{_ITEM})*+\s*+,?)?"
+_LIST = rf"(?s)^\s*+\[\s*+{_MANY}\s*+\]\s*+$"
+_TUPLE = rf"(?s)^\s*+\(\s*+{_MANY}\s*+\)\s*+$"
+_SCALAR = rf"(?s)^\s*+(?:{_STRS}|{_NUM}|True|False)\s*+$"
+
+
+def _unquoted(piece: Column) -> Column:
+    """The text of a quoted literal, escapes undone."""
+    s = F.replace(F.substring(piece, F.lit(2), F.length(piece) - 2), F.lit("\\\\"), F.lit("\x00"))
+    for code, char in (("\\n", "\n"), ("\\t", "\t"), ("\\r", "\r")):
+        s = F.replace(s, F.lit(code), F.lit(char))
+    return F.replace(F.regexp_replace(s, r"\\(.)", "$1"), F.lit("\x00"), F.lit("\\"))
+
+
+def _literal_text(item: Column) -> Column:
+    parts = F.regexp_extract_all(item, F.lit(rf"(?s){_STR}"), F.lit(0))
+    return F.when(item.rlike(r"^[\"']"), F.array_join(F.transform(parts, _unquoted), "")).otherwise(item)
+
+
+def _literal_items(s: Column) -> Column:
+    inner = F.substring(s, F.lit(2), F.length(s) - 2)
+    return F.transform(F.regexp_extract_all(inner, F.lit(rf"(?s){_ITEM}"), F.lit(0)), _literal_text)
+
+
 def parse_list_repr(c: Column) -> Column:
-    """list from a Python-list repr; a scalar or malformed text -> ``[text]``."""
+    """the items of a list or tuple as Python prints it.
+
+    A scalar literal is one item, ``None``, blank and NULL are none, and malformed text is one item
+    as it stands.  Adjacent strings are one; numbers and inner lists (one level) keep their text.
+    """
     s = strip_ws(c.cast("string"))
-    return (
-        F.when(c.isNull(), F.array().cast("array<string>"))
-        .when(s.rlike(r"(?s)^\[\s*\]$"), F.array().cast("array<string>"))
-        .when(s.rlike(_QUOTED_LIST), _quoted_items(s))
-        .otherwise(F.array(c.cast("string")))
-    )
+    empty = F.array().cast("array<string>")
+    return (F.when(c.isNull() | s.isin("", "None"), empty).when(s.rlike(_LIST) | s.rlike(_TUPLE), _literal_items(s))
+            .when(s.rlike(_SCALAR), F.array(_literal_text(s))).otherwise(F.array(s)))
 
 
-def list_parsed_ok(c: Column) -> Column:
-    """whether a cell parses as a list repr (malformed -> False, ``[]``)."""
+def parse_list_checked(c: Column) -> Column:
+    """``struct(items, ok)``; only a list literal is parsed, anything else gives no items and ok = false."""
     s = strip_ws(c.cast("string"))
-    return c.isNotNull() & (s.rlike(r"(?s)^\[\s*\]$") | s.rlike(_QUOTED_LIST))
+    ok = F.coalesce(s.rlike(_LIST), F.lit(False))
+    return F.struct(F.when(ok, _literal_items(s)).otherwise(F.array().cast("array<string>")).alias("items"), ok.alias("ok"))

@@ -54,20 +54,27 @@ def _metric_table(one: DataFrame, metrics: list[tuple[str, Column]], value_type:
 
 
 def missingness(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Per column non-NULL, NULL, NULL percent and distinct values, most missing first."""
-    cols = columns or df.columns
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, c in enumerate(cols):
-        aggs += [F.count(F.col(c)).alias(f"nn_{i}"), F.count_distinct(F.col(c)).alias(f"d_{i}")]
-    one = df.agg(*aggs)
-    dtypes = dict(df.dtypes)
-    rows = one.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.lit(dtypes[c]).alias("dtype"),
-                 F.col(f"nn_{i}").alias("non_null_count"),
-                 (F.col("__n") - F.col(f"nn_{i}")).alias("null_count"),
-                 percent(F.col("__n") - F.col(f"nn_{i}"), F.col("__n")).alias("null_pct"),
-                 F.col(f"d_{i}").alias("distinct_count")) for i, c in enumerate(cols)])))
-    return rows.orderBy(F.desc("null_pct"), "column")
+    """Per column its type, non-NULL, NULL, NULL percent and distinct values, most missing first.
+
+    Rows go to long form (column, value as text) and are counted per distinct value, with partial
+    counts before the shuffle; the counts of a column then give both its sums.
+    """
+    cols, dtypes = columns or df.columns, dict(df.dtypes)
+
+    def text(c):
+        # 0.0 + x: minus zero is no value of its own
+        return (F.lit(0.0) + F.col(c) if dtypes[c] in ("double", "float") else F.col(c)).cast("string")
+
+    entries = F.inline(F.array(*(F.struct(F.lit(i).alias("i"), text(c).alias("value")) for i, c in enumerate(cols))))
+    values = df.select(entries).groupBy("i", "value").agg(F.count(F.lit(1)).alias("k"))
+    per = values.groupBy("i").agg(F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("k"))), F.lit(0)).alias("non_null_count"),
+                                  F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("k"))), F.lit(0)).alias("null_count"), F.count("value").alias("distinct_count"))
+    names = df.sparkSession.createDataFrame([(i, c, dtypes[c]) for i, c in enumerate(cols)], "i int, column string, dtype string")
+    rows = names.join(per, "i", "left")
+    counts = {c: F.coalesce(c, F.lit(0)).cast("long") for c in ("non_null_count", "null_count", "distinct_count")}
+    return rows.select("column", "dtype", counts["non_null_count"].alias("non_null_count"), counts["null_count"].alias("null_count"),
+                       percent(counts["null_count"], counts["non_null_count"] + counts["null_count"]).alias("null_pct"),
+                       counts["distinct_count"].alias("distinct_count")).orderBy(F.desc("null_pct"), "column")
 
 
 def quality_audit(catalog: DataFrame, reviews: DataFrame, id_col: str = "RecipeId",
@@ -209,15 +216,27 @@ def audit_token_sets(long_df: DataFrame, id_col: str, raw_col: str) -> DataFrame
             .where(F.col("token") != "").distinct())
 
 
-def list_parse_summary(universe: DataFrame, tokens: DataFrame, id_col: str = "RecipeId") -> DataFrame:
-    """Zero-token documents, mean / median / p95 tokens per document, distinct tokens."""
+def document_token_sets(docs: DataFrame, id_col: str, words: Column) -> DataFrame:
+    """F15 + F16 for an array of words per document: distinct non-empty tokens, normalized inside the document."""
+    plain = F.transform(F.array_distinct(words), lambda w: F.when(w.rlike("^[a-z0-9]+$"), w).otherwise(normalize_token_ascii(w)))
+    return docs.select(F.col(id_col).alias("id"), F.explode(F.array_distinct(plain)).alias("token")).where(F.col("token") != "")
+
+
+def list_parse_summary(universe: DataFrame, tokens: DataFrame, id_col: str = "RecipeId", parsed: str | None = None) -> DataFrame:
+    """Zero-token documents, mean / median / p95 tokens per document, distinct tokens.
+
+    ``parsed`` names a boolean column of ``universe`` that says whether the cell was a list (F3);
+    the percent of such cells then comes first.
+    """
     per_doc = tokens.groupBy("id").agg(F.count(F.lit(1)).alias("k"))
-    counts = (universe.select(F.col(id_col).alias("id")).join(per_doc, "id", "left")
-              .select(F.coalesce("k", F.lit(0)).alias("k")))
+    ok = F.col(parsed) if parsed else F.lit(None).cast("boolean")
+    counts = (universe.select(F.col(id_col).alias("id"), ok.alias("ok")).join(per_doc, "id", "left")
+              .select(F.coalesce("k", F.lit(0)).alias("k"), "ok"))
     one = counts.agg(_count_if(F.col("k") == 0).alias("zero"), F.avg("k").alias("avg"),
-                     F.percentile("k", F.lit(0.5)).alias("med"), F.percentile("k", F.lit(0.95)).alias("p95"))
+                     F.percentile("k", F.lit(0.5)).alias("med"), F.percentile("k", F.lit(0.95)).alias("p95"),
+                     (F.avg(F.col("ok").cast("double")) * 100).alias("ok"))
     distinct = tokens.select("token").distinct().count()
-    return _metric_table(one, [
+    return _metric_table(one, [("parse_success_rate_pct", F.round("ok", 2))] * bool(parsed) + [
         ("documents_with_zero_tokens", F.col("zero")),
         ("avg_tokens_per_document", F.round("avg", 2)),
         ("median_tokens_per_document", F.round("med", 2)),
@@ -236,17 +255,20 @@ def vocabulary_sweep(universe: DataFrame, tokens: DataFrame, thresholds: list[in
                      id_col: str = "RecipeId") -> DataFrame:
     """A25 + J4: vocabulary size, covered documents, coverage and density per ``min_df``.
 
-    One document-frequency table; coverage from each document's largest token
-    df (a document shares a token with the vocabulary of ``min_df = t`` iff
-    that maximum is ``>= t``); hits from ``Σ df`` over kept tokens.
+    ``tokens`` (id, token) is a written table.  One document-frequency table; a token's class
+    is the number of thresholds that its frequency reaches, and a document is covered by
+    ``min_df = t`` iff its largest class reaches t's.  Tokens below all thresholds join nothing.
     """
     n_docs = universe.select(id_col).count()
     dfreq = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    per_doc = tokens.join(dfreq, "token").groupBy("id").agg(F.max("df").alias("maxdf"))
+    reached = sum((F.col("df") >= t).cast("int") for t in thresholds)
+    classes = dfreq.where(F.col("df") >= min(thresholds)).select("token", reached.cast("byte").alias("class"))
+    per_doc = tokens.join(classes, "token").groupBy("id").agg(F.max("class").alias("class"))
     v = dfreq.agg(*[_count_if(F.col("df") >= t).alias(f"v{t}") for t in thresholds],
                   *[F.sum(F.when(F.col("df") >= t, F.col("df")).otherwise(0)).cast("long").alias(f"h{t}")
                     for t in thresholds]).first()
-    cov = per_doc.agg(*[_count_if(F.col("maxdf") >= t).alias(f"c{t}") for t in thresholds]).first()
+    rank = {t: sum(t >= x for x in thresholds) for t in thresholds}
+    cov = per_doc.agg(*[_count_if(F.col("class") >= rank[t]).alias(f"c{t}") for t in thresholds]).first()
     rows = []
     for t in thresholds:
         vs, hits, covered = int(v[f"v{t}"] or 0), int(v[f"h{t}"] or 0), int(cov[f"c{t}"] or 0)
@@ -320,14 +342,23 @@ def recipes_per_year(df: DataFrame, col: str = "DatePublished") -> DataFrame:
 
 def interaction_summary(catalog: DataFrame, reviews: DataFrame, id_col: str = "RecipeId",
                         user_col: str = "AuthorId") -> DataFrame:
-    """Users, reviewed recipes, density and activity shares of the review table."""
-    per_user = reviews.groupBy(user_col).agg(F.count(F.lit(1)).alias("k"))
-    per_recipe = reviews.groupBy(id_col).agg(F.count(F.lit(1)).alias("k"))
-    u = per_user.agg(F.count(F.lit(1)).alias("n"), _count_if(F.col("k") == 1).alias("one"),
-                     _count_if(F.col("k") >= 5).alias("ge5"), F.sum("k").alias("obs")).first()
-    r = per_recipe.agg(F.count(F.lit(1)).alias("n"), _count_if(F.col("k") >= 5).alias("ge5")).first()
-    n_catalog = catalog.agg(F.count_distinct(id_col)).first()[0]
-    zero = unreviewed_recipes(catalog, reviews, id_col).count()
+    """Users, reviewed recipes, density and activity shares; each table is read once.
+
+    A review counts for its user and for its recipe; catalog ids meet the recipes' counts as rows
+    without reviews.  Ids are compared as text; a NULL user or recipe is a group of its own, a
+    NULL catalog id is none.
+    """
+    sides = F.inline(F.array(F.struct(F.lit("u").alias("kind"), F.col(user_col).cast("string").alias("key"), F.lit(1).alias("review"), F.lit(0).alias("listed")),
+                             F.struct(F.lit("r").alias("kind"), F.col(id_col).cast("string").alias("key"), F.lit(1).alias("review"), F.lit(0).alias("listed"))))
+    listed = catalog.select(F.lit("r").alias("kind"), F.col(id_col).cast("string").alias("key"), F.lit(0).alias("review"), F.lit(1).alias("listed"))
+    per = reviews.select(sides).union(listed).groupBy("kind", "key").agg(F.sum("review").alias("k"), F.max("listed").alias("listed"))
+    users, recipes = (F.col("kind") == "u"), (F.col("kind") == "r") & (F.col("k") > 0)
+    known = (F.col("kind") == "r") & F.col("key").isNotNull() & (F.col("listed") > 0)
+    one = per.agg(_count_if(users).alias("n"), _count_if(users & (F.col("k") == 1)).alias("one"), _count_if(users & (F.col("k") >= 5)).alias("ge5"),
+                  F.coalesce(F.sum(F.when(users, F.col("k"))), F.lit(0)).alias("obs"), _count_if(recipes).alias("rn"), _count_if(recipes & (F.col("k") >= 5)).alias("r5"),
+                  _count_if(known).alias("catalog"), _count_if(known & (F.col("k") == 0)).alias("zero")).first()
+    u, r = {k: one[k] or 0 for k in ("n", "one", "ge5", "obs")}, {"n": one["rn"] or 0, "ge5": one["r5"] or 0}
+    n_catalog, zero = one["catalog"] or 0, one["zero"] or 0
     pairs = u["n"] * n_catalog
     rows = [
         ("num_users", u["n"]), ("num_reviewed_recipes", r["n"]), ("num_recipes_catalog", n_catalog),

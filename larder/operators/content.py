@@ -109,12 +109,26 @@ def yield_documents(df: DataFrame, id_col: str = "RecipeId",
                    & F.col("token").rlike(YIELD_TOKEN_RE)))
 
 
-def document_terms(docs: DataFrame, group: str) -> DataFrame:
-    """``(id, group, term, tf)`` as the vectorizer counts them."""
-    with_terms = docs.join(token_terms(docs), "token", "inner")
-    return (with_terms.select("id", F.explode("terms").alias("term"))
-            .groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
-            .withColumn("feature_group", F.lit(group)))
+TEXT_PARAMS = GroupParams(10, 0.80, True)
+
+
+def text_content(docs: DataFrame, id_col: str, text_col: str, params: GroupParams = TEXT_PARAMS) -> tuple[DataFrame, DataFrame]:
+    """M3 + F22 over whole texts: (features, matrix), both written.
+
+    A document is its text; terms are what the vectorizer finds in it, with their counts, and the
+    limits, idf, sublinear counts and norms are those of the other groups.  Repeated ids are one
+    document; NULL texts have no terms but count as documents.
+    """
+    from larder.plans.materialize import materialize
+    from larder.plans.partitioning import dense_index
+
+    n_docs = docs.select(id_col).distinct().count()
+    terms = materialize(docs.select(F.col(id_col).alias("id"), F.explode(vectorizer_terms(F.col(text_col))).alias("term"))
+                        .groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf")).withColumn("feature_group", F.lit("text")), "text-terms")
+    vocab = fit_vocabulary(terms, n_docs, {"text": params})
+    features = materialize(dense_index(vocab, ["term"], "feature_index").select(
+        F.col("feature_index").cast("int").alias("feature_index"), F.col("term").alias("feature_name"), "feature_group", "term", "df", "idf", F.lit(1.0).alias("group_weight")), "text-features")
+    return features, materialize(weighted_matrix(terms, features, {"text": params}), "text-matrix")
 
 
 def fit_vocabulary(terms: DataFrame, n_docs: int, params: dict[str, GroupParams]) -> DataFrame:

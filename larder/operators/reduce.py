@@ -4,15 +4,11 @@ PCA: the sample covariance of the scaled matrix is **one** distributed
 aggregate (``covar_samp`` per feature pair, d(d+1)/2 sums); its d x d
 eigen-decomposition runs on the driver (d = 15).  Scores are a projection.
 
-SVD: the content matrix stays sparse and long.  Its top right singular
-vectors come from block subspace iteration on ``XᵀX`` without ever forming
-pairs of features per row: each pass is ``Y = X Q`` (join with the f x l block
-``Q``, weighted vector sums per row) and ``W = Xᵀ Y`` (join on the row id,
-weighted vector sums per feature), so the shuffled volume is linear in the
-nonzeros.  Only f x l numbers (vocabulary x block width) reach the driver a pass,
-where the Rayleigh-Ritz step runs.  There is one algorithm at every size: the
-basis grows by the residuals of its Ritz vectors (a restarted block Krylov
-space) and stops when ``||XᵀXv - λv||`` is small for all wanted components.
+SVD: the content matrix stays sparse and long, V is a table of a row per
+feature (``operators.tall``: block Lanczos over row blocks, tall-skinny QR as
+a tree), and scores are a join of the two in blocks of components.  There is
+one algorithm at every size; it stops when ``||XᵀXv - λv||`` is small for all
+wanted components.
 """
 
 from __future__ import annotations
@@ -25,6 +21,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from larder.operators.tall import leading_vectors
+
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference's for identical results)
 # ---------------------------------------------------------------------------
@@ -34,6 +32,8 @@ DEFAULT_SELECTED_SVD_COMPONENTS = 200
 RANDOM_STATE = 42
 PCA_TOP_LOADINGS = 10
 SVD_TOP_TERMS = 15
+SVD_RECONSTRUCTION_MAX_ROWS = 20_000
+SVD_RECONSTRUCTION_MAX_DENSE_ENTRIES = 25_000_000
 # ---------------------------------------------------------------------------
 
 
@@ -167,30 +167,8 @@ def pca_scores(scaled: DataFrame, model: PCAModel, k: int | None = None, id_col:
 
 # -- truncated SVD of the long sparse content matrix ----------------------------------
 
-def row_vectors(matrix: DataFrame) -> DataFrame:
-    """Group the long matrix into one sparse row per id: ``(id, idx, val)``.
-
-    A row holds at most one entry per feature, so its size is bounded by the
-    vocabulary, never by the data.
-    """
-    return (matrix.groupBy("id")
-            .agg(F.sort_array(F.collect_list(F.struct("feature_index", "value"))).alias("e"))
-            .select("id", F.col("e.feature_index").alias("idx"), F.col("e.value").alias("val")))
-
-
-# The f x l block is broadcast only up to this many bytes; beyond it the block
-# is joined as a table.  Session setting: ``larder.svd.blockBroadcastMaxBytes``.
-BLOCK_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
-
-
-def _block_fits(spark, block: np.ndarray) -> bool:
-    limit = int(spark.conf.get("larder.svd.blockBroadcastMaxBytes", str(BLOCK_BROADCAST_MAX_BYTES)))
-    return block.nbytes <= limit
-
-
-def _block_table(spark, block: np.ndarray) -> DataFrame:
-    rows = [(i, block[i].tolist()) for i in range(block.shape[0])]
-    return spark.createDataFrame(rows, "feature_index int, q array<double>")
+# Columns of V that a row's partial scores hold together.
+SCORE_COLUMNS = 32
 
 
 def _scaled_sum(vec: str, weight: str, out: str):
@@ -199,86 +177,24 @@ def _scaled_sum(vec: str, weight: str, out: str):
     return vector_to_array(Summarizer.sum(array_to_vector(scaled))).alias(out)
 
 
-def _xtx_times_joined(matrix: DataFrame, block: np.ndarray) -> np.ndarray:
-    """``Xᵀ (X Q)`` with the block as a joined table (for blocks too large to broadcast)."""
-    q = _block_table(matrix.sparkSession, block)
-    y = matrix.join(q, "feature_index").groupBy("id").agg(_scaled_sum("q", "value", "y"))
-    w = matrix.join(y, "id").groupBy("feature_index").agg(_scaled_sum("y", "value", "w"))
-    out = np.zeros_like(block)
-    for r in w.collect():
-        out[r["feature_index"]] = r["w"]
-    return out
-
-
-def _sparse_chunks(pdf, entries: int = 16384):
-    """(idx, val, row starts, row sizes) of whole rows, about ``entries`` nonzeros at a time."""
-    sizes = pdf["idx"].str.len().to_numpy()
-    ends = np.cumsum(sizes)
-    at = 0
-    while at < len(sizes):
-        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + entries, side="right")))
-        part = slice(at, stop)
-        yield (np.concatenate(pdf["idx"].iloc[part].to_list()).astype(np.int64), np.concatenate(pdf["val"].iloc[part].to_list()).astype(np.float64),
-               np.cumsum(sizes[part]) - sizes[part], sizes[part])
-        at = stop
-
-
-def _xtx_times(rows: DataFrame, block: np.ndarray, matrix: DataFrame | None = None) -> np.ndarray:
-    """``Xᵀ (X Q)`` for an f x l block ``Q``: one pass over the rows.
-
-    Each task keeps an f x l partial sum (``W[idx] += v ⊗ (v Q[idx])`` per
-    row) and emits only its touched rows; a vector-sum aggregate merges the
-    partials.  Nothing per pair of features is ever materialized.  The block
-    is broadcast only when its size is at most
-    ``larder.svd.blockBroadcastMaxBytes``; beyond it the joined form runs.
-    """
-    spark = rows.sparkSession
-    if matrix is not None and not _block_fits(spark, block):
-        return _xtx_times_joined(matrix, block)
-    f, width = block.shape
-    bq = spark.sparkContext.broadcast(block)
-
-    def partial(batches):
-        import pandas as pd
-        q = bq.value
-        acc = np.zeros((f, width))
-        touched = np.zeros(f, dtype=bool)
-        for pdf in batches:
-            for idx, val, starts, sizes in _sparse_chunks(pdf):
-                y = np.add.reduceat(val[:, None] * q[idx], starts, axis=0)
-                order = np.argsort(idx, kind="stable")
-                feature, first = np.unique(idx[order], return_index=True)
-                acc[feature] += np.add.reduceat((val[:, None] * np.repeat(y, sizes, axis=0))[order], first, axis=0)
-                touched[feature] = True
-        hit = np.nonzero(touched)[0]
-        yield pd.DataFrame({"feature_index": hit.astype(np.int32), "w": list(acc[hit])})
-
-    parts = rows.mapInPandas(partial, "feature_index int, w array<double>")
-    w = (parts.groupBy("feature_index")
-         .agg(vector_to_array(Summarizer.sum(array_to_vector("w"))).alias("w")))
-    out = np.zeros_like(block)
-    for r in w.collect():
-        out[r["feature_index"]] = r["w"]
-    bq.unpersist()
-    return out
-
-
 @dataclass
 class SVDModel:
     n_rows: int
     n_features: int
     singular_values_sq: np.ndarray   # λ_j = σ_j², descending
-    components: np.ndarray           # rows = right singular vectors (k_max x f)
-    col_mean: np.ndarray             # per-feature mean over all rows
+    vectors: DataFrame               # (feature_index, vector): right singular vectors, an entry per component
+    mean_projection: np.ndarray      # mean(X) · v_j
     total_variance: float            # Σ_f var(X_f), population
     frob_sq: float                   # ||X||²
-    converged: bool
-    rows: DataFrame | None = None    # (id, idx, val) sparse rows, checkpointed
+    passes: int = 0
+
+    @property
+    def k(self) -> int:
+        return len(self.singular_values_sq)
 
     def explained_variance(self, k: int) -> np.ndarray:
         """var(Z_j) = σ_j²/n − (mean(X)·v_j)², population (as the reference reports)."""
-        proj = self.components[:k] @ self.col_mean
-        return self.singular_values_sq[:k] / self.n_rows - proj ** 2
+        return self.singular_values_sq[:k] / self.n_rows - self.mean_projection[:k] ** 2
 
     def explained_variance_ratio(self, k: int) -> np.ndarray:
         return self.explained_variance(k) / self.total_variance
@@ -293,54 +209,21 @@ def valid_svd_candidates(n_features: int, candidates: list[int] = SVD_CANDIDATES
 
 
 def fit_svd(matrix: DataFrame, n_rows: int, n_features: int, k: int, oversample: int = 10,
-            tolerance: float = 1e-8, max_passes: int = 60, seed: int = RANDOM_STATE) -> SVDModel:
+            tolerance: float = 1e-8, seed: int = RANDOM_STATE) -> SVDModel:
     """M9 fit: top-k right singular vectors of the long matrix ``(id, feature_index, value)``.
 
-    Every pass multiplies one block by ``XᵀX``.  The basis restarts from its best Ritz
-    vectors when it has grown to eight blocks.  ``converged`` says that the largest
-    residual of the k components is at most ``tolerance`` times the largest eigenvalue.
+    V stays a table; the driver gets k numbers and single totals.  The residual of every
+    component is at most ``tolerance`` times the largest eigenvalue (``operators.tall``).
     """
     from larder.plans.materialize import materialize
 
-    sums = {r["feature_index"]: (r["s"], r["s2"]) for r in
-            matrix.groupBy("feature_index").agg(F.sum("value").alias("s"),
-                                                F.sum(F.col("value") * F.col("value")).alias("s2")).collect()}
-    col_sum = np.zeros(n_features)
-    col_sq = np.zeros(n_features)
-    for fi, (s_, s2) in sums.items():
-        col_sum[fi], col_sq[fi] = s_, s2
-    mean = col_sum / n_rows
-    total_var = float(np.sum(col_sq / n_rows - mean ** 2))
-    rows = materialize(row_vectors(matrix))
-    width = min(n_features, k + oversample)
-    block, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((n_features, width)))
-    basis, image = block, np.zeros((n_features, 0))
-    converged = False
-    for _ in range(max_passes):
-        image = np.hstack([image, _xtx_times(rows, block, matrix)])
-        small = basis.T @ image
-        vals, vecs = np.linalg.eigh((small + small.T) / 2.0)
-        best = np.argsort(vals)[::-1][:width]
-        lam, v, xv = vals[best], basis @ vecs[:, best], image @ vecs[:, best]
-        residual = xv - v * lam
-        converged = bool(np.linalg.norm(residual[:, :k], axis=0).max() <= tolerance * max(lam[0], 0.0))
-        if converged or basis.shape[1] >= n_features:
-            converged = True
-            break
-        if basis.shape[1] + width > 8 * width:
-            basis, image = v, xv
-        for _ in range(2):
-            residual = residual - basis @ (basis.T @ residual)
-        u, size, _ = np.linalg.svd(residual, full_matrices=False)
-        block = u[:, size > 1e-13 * max(lam[0], 1e-300)][:, :n_features - basis.shape[1]]
-        if not block.shape[1]:
-            converged = True
-            break
-        block, _ = np.linalg.qr(block - basis @ (basis.T @ block))
-        basis = np.hstack([basis, block])
-    comps = fix_signs(v[:, :k].T)
-    return SVDModel(n_rows, n_features, np.clip(lam[:k], 0.0, None), comps, mean, total_var,
-                    float(col_sq.sum()), converged, rows)
+    stats = materialize(matrix.groupBy("feature_index").agg(F.sum("value").alias("s"), F.sum(F.col("value") * F.col("value")).alias("s2")), "svd-columns")
+    mean = F.col("s") / n_rows
+    one = stats.agg(F.sum("s2").alias("sq"), F.sum(F.col("s2") / n_rows - mean * mean).alias("var")).first()
+    found = leading_vectors(matrix, n_features, k, oversample, tolerance, seed=seed)
+    vectors = materialize(found.vectors, "svd-v")
+    along = vectors.join(stats.select("feature_index", mean.alias("mean")), "feature_index").agg(_scaled_sum("vector", "mean", "m")).first()["m"]
+    return SVDModel(n_rows, n_features, found.eigenvalues, vectors, np.array(along), float(one["var"]), float(one["sq"]), found.passes)
 
 
 def svd_sweep(spark: SparkSession, model: SVDModel, candidates: list[int]) -> DataFrame:
@@ -369,48 +252,98 @@ def svd_explained(spark: SparkSession, model: SVDModel, k: int) -> DataFrame:
     return df.withColumn("cumulative_explained_variance_ratio", F.sum("explained_variance_ratio").over(w))
 
 
-def components_long(spark: SparkSession, model: SVDModel, k: int) -> DataFrame:
+def components_long(model: SVDModel, k: int) -> DataFrame:
     """Right singular vectors as ``(component, feature_index, loading)``."""
-    rows = [(c + 1, fi, float(model.components[c, fi])) for c in range(k) for fi in range(model.n_features)]
-    return spark.createDataFrame(rows, "component int, feature_index int, loading double")
+    return (model.vectors.select("feature_index", F.posexplode(F.slice("vector", 1, k)).alias("c", "loading"))
+            .select((F.col("c") + 1).alias("component"), "feature_index", "loading"))
+
+
+def two_sided_top(loadings: DataFrame, top: int) -> DataFrame:
+    """(component, side, feature_index, loading, rank): the ``top`` largest and smallest loadings of each component.
+
+    Ties go to the lower feature_index.  Every task keeps ``top`` rows a side for each component it
+    meets, whatever the rows it reads; only these are merged.  NULL loadings are left out.
+    """
+    kind = loadings.schema["component"].dataType.simpleString()
+
+    def kept(batches):
+        import pyarrow as pa
+
+        held = None
+        for b in batches:
+            now = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+            codes = now["component"].combine_chunks().dictionary_encode().indices.to_numpy()
+            feature, loading = now["feature_index"].to_numpy(), now["loading"].to_numpy()
+            chosen = np.zeros(len(codes), dtype=bool)
+            for by in (-loading, loading):
+                order = np.lexsort((feature, by, codes))
+                first = np.concatenate([[True], codes[order][1:] != codes[order][:-1]])
+                place = np.arange(len(order)) - np.flatnonzero(first)[np.cumsum(first) - 1]
+                chosen[order[place < top]] = True
+            held = now.filter(pa.array(chosen)).combine_chunks()
+        if held is not None:
+            yield from held.to_batches()
+
+    rows = loadings.where(F.col("loading").isNotNull() & F.col("component").isNotNull()).select(
+        "component", F.col("feature_index").cast("long").alias("feature_index"), F.col("loading").cast("double").alias("loading"))
+    few = rows.mapInArrow(kept, f"component {kind}, feature_index long, loading double")
+    sides = few.select("*", F.explode(F.array(F.lit("positive"), F.lit("negative"))).alias("side"))
+    by = F.when(F.col("side") == "positive", -F.col("loading")).otherwise(F.col("loading"))
+    w = Window.partitionBy("component", "side").orderBy(by, "feature_index")
+    return sides.select("component", "side", "feature_index", "loading", F.row_number().over(w).alias("rank")).where(F.col("rank") <= top)
 
 
 def svd_top_terms(loadings: DataFrame, features: DataFrame, top: int = SVD_TOP_TERMS) -> DataFrame:
     """W5 + J8: top positive and top negative terms per component, with names and groups."""
-    named = loadings.join(features.select("feature_index", "feature_name", "feature_group"), "feature_index")
-    pos = Window.partitionBy("component").orderBy(F.desc("loading"), "feature_index")
-    neg = Window.partitionBy("component").orderBy(F.asc("loading"), "feature_index")
-    a = named.withColumn("rank", F.row_number().over(pos)).withColumn("side", F.lit("positive"))
-    b = named.withColumn("rank", F.row_number().over(neg)).withColumn("side", F.lit("negative"))
-    cols = ["component", "side", "rank", "feature_name", "feature_group", "loading",
-            F.abs("loading").alias("abs_loading")]
-    return a.where(F.col("rank") <= top).select(*cols).unionByName(b.where(F.col("rank") <= top).select(*cols))
+    few = two_sided_top(loadings, top)
+    return few.join(features.select("feature_index", "feature_name", "feature_group"), "feature_index").select(
+        "component", "side", "rank", "feature_name", "feature_group", "loading", F.abs("loading").alias("abs_loading"))
+
+
+def projected(matrix: DataFrame, vectors: DataFrame, k: int, columns: int = SCORE_COLUMNS) -> DataFrame:
+    """(id, z): ``X V_k`` as a sparse product with V in blocks of ``columns`` components.
+
+    The long matrix joins V's blocks on the term; the planner broadcasts V only where its measured
+    size allows and otherwise splits hot terms of the shuffled join.  Partial sums meet by
+    (id, block), so no row of the plan is wider than a block until the blocks are put together.
+    """
+    pieces = F.explode(F.array(*(F.struct(F.lit(c).alias("block"), F.slice("vector", c * columns + 1, columns).alias("q")) for c in range(-(-k // columns))))).alias("e")
+    blocks = vectors.select("feature_index", pieces).select("feature_index", "e.block", "e.q")
+    sums = [F.sum(F.col("value") * F.get("q", F.lit(j))).alias(f"s{j}") for j in range(columns)]
+    parts = matrix.join(blocks, "feature_index").groupBy("id", "block").agg(*sums)
+    parts = parts.select("id", F.struct("block", F.array(*(f"s{j}" for j in range(columns))).alias("z")).alias("e"))
+    return parts.groupBy("id").agg(F.slice(F.flatten(F.transform(F.sort_array(F.collect_list("e")), lambda e: e["z"])), 1, k).alias("z"))
 
 
 def svd_scores(matrix: DataFrame, ids: DataFrame, model: SVDModel, k: int, id_col: str = "RecipeId") -> DataFrame:
-    """``Z = X V_k`` per row, a per-row projection (rows without any nonzero get zeros)."""
-    spark = matrix.sparkSession
-    zero = F.array_repeat(F.lit(0.0), k)
-    vk = np.ascontiguousarray(model.components[:k].T)
-    if not _block_fits(spark, vk):  # too large to broadcast: join V as a table
-        z = (matrix.join(_block_table(spark, vk), "feature_index")
-             .groupBy("id").agg(_scaled_sum("q", "value", "z")))
-        return (ids.select(F.col(id_col).alias("id")).join(z, "id", "left")
-                .select(F.col("id").alias(id_col), F.coalesce(F.col("z"), zero).alias("content_svd")))
-    rows = model.rows if model.rows is not None else row_vectors(matrix)
-    bv = spark.sparkContext.broadcast(vk)
-
-    def project(batches):
-        import pandas as pd
-        v = bv.value
-        for pdf in batches:
-            z = [y for idx, val, starts, _ in _sparse_chunks(pdf)
-                 for y in np.add.reduceat(val[:, None] * v[idx], starts, axis=0)]
-            yield pd.DataFrame({"id": pdf["id"], "z": z})
-
-    z = rows.mapInPandas(project, "id long, z array<double>")
+    """``Z = X V_k`` per row (rows without any nonzero get zeros)."""
+    z = projected(matrix, model.vectors, k)
     return (ids.select(F.col(id_col).alias("id")).join(z, "id", "left")
-            .select(F.col("id").alias(id_col), F.coalesce(F.col("z"), zero).alias("content_svd")))
+            .select(F.col("id").alias(id_col), F.coalesce(F.col("z"), F.array_repeat(F.lit(0.0), k)).alias("content_svd")))
+
+
+def reconstruction_sample(matrix: DataFrame, ids: DataFrame, model: SVDModel, ks: list[int], id_col: str = "RecipeId",
+                          max_rows: int = SVD_RECONSTRUCTION_MAX_ROWS, max_entries: int = SVD_RECONSTRUCTION_MAX_DENSE_ENTRIES) -> DataFrame:
+    """Mean squared residual of sampled rows for every k of ``ks``, row by row.
+
+    The sample is min(n, ``max_rows``, ``max_entries`` / features) rows at even distances of the
+    positional index of the ids (W2).  A row's residual is ``||x||² − ||x V_k||²``, as V's columns
+    are orthonormal.
+    """
+    from larder.plans.partitioning import dense_index
+
+    n = ids.count()
+    size = max(1, min(n, max_rows, max_entries // max(model.n_features, 1)))
+    placed = dense_index(ids.select(id_col), [id_col], "row_index")
+    step = F.floor((F.col("row_index") + 1) * size / F.lit(n)) - F.floor(F.col("row_index") * size / F.lit(n))
+    sample = placed.where(step > 0).select(F.col(id_col).alias("id"))
+    norms = matrix.join(sample, "id", "left_semi").groupBy("id").agg(F.sum(F.col("value") * F.col("value")).alias("norm"))
+    z = projected(matrix.join(sample, "id", "left_semi"), model.vectors, max(ks))
+    kept = F.explode(F.array(*(F.struct(F.lit(k).alias("n_components"), F.aggregate(F.slice("z", 1, k), F.lit(0.0), lambda a, x: a + x * x).alias("kept")) for k in ks))).alias("e")
+    rows = norms.join(z, "id").select("norm", kept).groupBy(F.col("e.n_components").alias("n_components")).agg(F.sum(F.greatest(F.col("norm") - F.col("e.kept"), F.lit(0.0))).alias("total"))
+    entries = float(size) * model.n_features
+    return rows.select("n_components", (F.col("total") / entries).alias("reconstruction_mse_sample"), F.sqrt(F.col("total") / entries).alias("reconstruction_rmse_sample"),
+                       F.lit(size).cast("long").alias("sample_rows"))
 
 
 def combined_embedding(content: DataFrame, numeric: DataFrame, numeric_cols: list[str],

@@ -164,64 +164,51 @@ def resolve_times(df: DataFrame) -> DataFrame:
     })
 
 
-def global_medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
-    """Exact medians of whole columns by distributed rank selection (no single-task merge)."""
-    meds = exact_quantiles(df, {c: F.col(c) for c in columns}, [0.5])
-    out = {}
-    for c in columns:
-        if meds[c][0] is None:
-            raise ValueError(f"{c} has no value, so it has no median to fill gaps with")
-        out[c] = float(meds[c][0])
-    return out
-
-
-MEDIAN_BUCKETS = 1024
-MEDIAN_WINDOW_VALUES = 50_000
-
-
-def grouped_medians(df: DataFrame, group_col: str, value_cols: list[str],
-                    names: dict[str, str]) -> DataFrame:
-    """Exact median of each value column per non-NULL group, whatever the size of a group.
-
-    Values are first counted per (group, value).  The two middle ranks of each group are
-    then searched in those counts: equal-width buckets of the open bracket are counted and
-    the bucket that holds the rank becomes the bracket, until a bracket holds few enough
-    distinct values for a running count.  Each step is an aggregate with at most
-    ``MEDIAN_BUCKETS`` rows per group and rank; no task sees all values of a group.
+def medians(df: DataFrame, group_col: str, value_cols: list[str]) -> DataFrame:
+    """(whole, g, c, m): exact medians of each value column, per non-NULL group and of all rows (``whole``).
+
+    c is the number of the value column.  NaN and infinities count as missing.  Values are
+    counted once per (group, value); the counts are sorted in ranges with running totals, and a
+    group's two middle values are where those pass its middle ranks.  One sort ends on any
+    input, and no task sees more than its range of the distinct values.
     """
     from larder.plans.materialize import materialize
+    from larder.plans.scans import running
 
     entries = [F.struct(F.lit(i).alias("c"), F.col(v).cast("double").alias("v")) for i, v in enumerate(value_cols)]
-    values = (df.where(F.col(group_col).isNotNull()).select(F.col(group_col).alias("g"), F.inline(F.array(*entries)))
-              .where(F.col("v").isNotNull() & ~F.isnan("v")))
+    values = df.select(F.col(group_col).alias("g"), F.inline(F.array(*entries))).where(F.col("v").isNotNull() & ~F.isnan("v") & (F.abs("v") < float("inf")))
     counts = materialize(values.groupBy("g", "c", "v").agg(F.count(F.lit(1)).alias("n")), "value-counts")
-    total = counts.groupBy("g", "c").agg(F.sum("n").alias("t"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    middle = F.array(F.floor((F.col("t") - 1) / 2), F.floor(F.col("t") / 2))
-    keys = ["g", "c", "side"]
-    open_ = materialize(total.select("g", "c", F.posexplode(middle).alias("side", "rank"), "lo", "hi",
-                                     F.lit(0).cast("long").alias("below")), "brackets")
-
-    def inside(brackets: DataFrame) -> DataFrame:
-        return counts.join(brackets, ["g", "c"]).where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-
-    while True:
-        most = inside(open_).groupBy(*keys).agg(F.count(F.lit(1)).alias("k")).agg(F.max("k")).first()[0] or 0
-        if most <= MEDIAN_WINDOW_VALUES:
-            break
-        width = F.col("hi") - F.col("lo")
-        bucket = F.least(F.floor((F.col("v") - F.col("lo")) / width * MEDIAN_BUCKETS), F.lit(MEDIAN_BUCKETS - 1))
-        cells = (inside(open_).withColumn("b", F.when(width > 0, bucket).otherwise(F.lit(0).cast("long")))
-                 .groupBy(*keys, "rank", "below", "b").agg(F.sum("n").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")))
-        upto = F.col("below") + F.sum("n").over(Window.partitionBy(*keys).orderBy("b"))
-        open_ = materialize(cells.withColumn("upto", upto).where((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("n") <= F.col("rank")))
-                            .select(*keys, "rank", "lo", "hi", (F.col("upto") - F.col("n")).alias("below")), "brackets")
-    upto = F.col("below") + F.sum("n").over(Window.partitionBy(*keys).orderBy("v"))
-    found = inside(open_).withColumn("upto", upto).where((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("n") <= F.col("rank")))
-    medians = found.groupBy("g", "c").agg((F.sum("v") / 2).alias("m"))
-    return medians.groupBy(F.col("g").alias(group_col)).agg(
+    nobody = F.lit(None).cast(counts.schema["g"].dataType)
+    whole = counts.groupBy("c", "v").agg(F.sum("n").alias("n")).select(F.lit(True).alias("whole"), nobody.alias("g"), "c", "v", "n")
+    both = whole.union(counts.where(F.col("g").isNotNull()).select(F.lit(False), "g", "c", "v", "n"))
+    keys = ["whole", "g", "c"]
+    placed = running(both, keys, [F.col("v")], {"upto": (F.sum, "n")}, "value-ranks")
+    totals = both.groupBy(*keys).agg(F.sum("n").alias("t")).select(*(F.col(k).alias(f"t_{k}") for k in keys), "t")
+    same = (F.col("whole") == F.col("t_whole")) & F.col("g").eqNullSafe(F.col("t_g")) & (F.col("c") == F.col("t_c"))
+
+    def holds(rank):
+        return ((F.col("upto") > rank) & (F.col("upto") - F.col("n") <= rank)).cast("int")
+
+    middle = holds(F.floor((F.col("t") - 1) / 2)) + holds(F.floor(F.col("t") / 2))
+    found = placed.join(totals, same).withColumn("times", middle).where("times > 0")
+    return materialize(found.groupBy(*keys).agg((F.sum(F.col("v") * F.col("times")) / 2).alias("m")), "medians")
+
+
+def grouped_medians(found: DataFrame, group_col: str, value_cols: list[str], names: dict[str, str]) -> DataFrame:
+    """The group medians of ``medians`` as a row per group, a column ``names[v]`` for each value column."""
+    return found.where("not whole").groupBy(F.col("g").alias(group_col)).agg(
         *[F.max(F.when(F.col("c") == i, F.col("m"))).alias(names[v]) for i, v in enumerate(value_cols)])
 
 
+def global_medians(found: DataFrame, value_cols: list[str]) -> dict[str, float]:
+    """The medians of whole columns of ``medians``; a column without any value raises an error."""
+    of = {r["c"]: r["m"] for r in found.where("whole").collect()}
+    for i, v in enumerate(value_cols):
+        if of.get(i) is None:
+            raise ValueError(f"{v} has no value, so it has no median to fill gaps with")
+    return {v: float(of[i]) for i, v in enumerate(value_cols)}
+
+
 def impute_category_then_global(df: DataFrame, specs: list[ImputeSpec],
                                 category_col: str = CATEGORY_COL) -> DataFrame:
     """A1 + J1: fill each value with its category median, else the global median.
@@ -232,12 +219,12 @@ def impute_category_then_global(df: DataFrame, specs: list[ImputeSpec],
     """
     value_cols = [s.value_col for s in specs]
     require_columns(df, value_cols, "imputation input")
-    glob = global_medians(df, value_cols)
     if category_col not in df.columns:
         df = df.withColumn(category_col, F.lit(None).cast("string"))
+    found = medians(df, category_col, value_cols)
+    glob = global_medians(found, value_cols)
     med_names = {s.value_col: f"__cat_median_{i}" for i, s in enumerate(specs)}
-    medians = grouped_medians(df, category_col, value_cols, med_names)
-    out = df.join(medians, on=category_col, how="left")
+    out = df.join(grouped_medians(found, category_col, value_cols, med_names), on=category_col, how="left")
     cols = {}
     for s in specs:
         v, m = F.col(s.value_col), F.col(med_names[s.value_col])

@@ -97,7 +97,8 @@ def run_numeric(spark: SparkSession, res: DataFrame, out_dir: str) -> tuple[Data
     _write(N.scaled_summary(scaled, model.features), out_dir, "numeric/scaled_summary")
     _write(N.feature_names(spark, model.features), out_dir, "numeric/feature_names")
     n_rows = scaled.count()
-    _write(N.numeric_contract(_read(spark, out_dir, "numeric/log"), scaled, model.features, n_rows), out_dir, "numeric/contract")
+    _write(N.numeric_contract(_read(spark, out_dir, "numeric/log"), scaled, model.features, n_rows, names=_read(spark, out_dir, "numeric/feature_names")),
+           out_dir, "numeric/contract")
     _record(spark, {"n_items": n_rows, "features": model.features, "clipping_quantiles": N.CLIPPING_QUANTILE_BY_GROUP},
             out_dir, "numeric/pipeline_config")
     return scaled, model
@@ -139,8 +140,9 @@ def run_reduce(spark: SparkSession, scaled: DataFrame, numeric: N.NumericModel,
     M.save_svd(spark, svd, out_dir)
     sel = RD.DEFAULT_SELECTED_SVD_COMPONENTS if RD.DEFAULT_SELECTED_SVD_COMPONENTS in cands else max(cands)
     _write(RD.svd_sweep(spark, svd, cands), out_dir, "reduced/svd_sweep")
+    _write(RD.reconstruction_sample(matrix, scaled.select("RecipeId"), svd, cands), out_dir, "reduced/svd_reconstruction_sample")
     _write(RD.svd_explained(spark, svd, sel), out_dir, "reduced/svd_explained")
-    _write(RD.svd_top_terms(RD.components_long(spark, svd, sel), cm.features), out_dir, "reduced/svd_top_terms")
+    _write(RD.svd_top_terms(RD.components_long(svd, sel), cm.features), out_dir, "reduced/svd_top_terms")
     _write(RD.svd_scores(matrix, scaled.select("RecipeId"), svd, sel), out_dir, "reduced/svd_scores")
     _write(RD.pca_scores(scaled, pca), out_dir, "reduced/pca_scores")
     _write(RD.pca_scores(scaled, pca, k=2), out_dir, "reduced/pca_scores_2d")
@@ -152,7 +154,7 @@ def run_reduce(spark: SparkSession, scaled: DataFrame, numeric: N.NumericModel,
     meta = {"selected_pca_components": pca.selected_k,
             "achieved_cumulative_variance": float(pca.cumulative[pca.selected_k - 1]),
             "selected_svd_components": sel, "svd_candidates": cands,
-            "svd_converged": svd.converged, "content_features": f, "n_items": cm.n_docs}
+            "svd_passes": svd.passes, "content_features": f, "n_items": cm.n_docs}
     _write(K.reduction_warnings(RD.svd_sweep(spark, svd, [sel]), cm.n_docs, sel + pca.selected_k), out_dir, "reduced/warnings")
     _record(spark, meta, out_dir, "reduced/pipeline_config")
     return meta

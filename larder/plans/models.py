@@ -54,19 +54,17 @@ def load_pca(spark: SparkSession, out_dir: str) -> RD.PCAModel:
 
 
 def save_svd(spark: SparkSession, model: RD.SVDModel, out_dir: str) -> None:
-    """One row for each component with its squared singular value and vector, and the column means."""
-    rows = [(c + 1, float(v), [float(x) for x in vec]) for c, (v, vec) in enumerate(zip(model.singular_values_sq, model.components))]
-    _save(spark, rows, "component int, singular_value_sq double, vector array<double>", out_dir, "svd_components")
-    _save(spark, [(i, float(m)) for i, m in enumerate(model.col_mean)], "feature_index int, mean double", out_dir, "svd_features")
-    one = (model.n_rows, model.n_features, model.total_variance, model.frob_sq, model.converged)
-    _save(spark, [one], "n_rows long, n_features int, total_variance double, frob_sq double, converged boolean", out_dir, "svd_totals")
+    """V as a table of one row per feature; one row per component with its squared singular value; the totals."""
+    model.vectors.write.mode("overwrite").parquet(os.path.join(out_dir, "models", "svd_vectors"))
+    rows = [(c + 1, float(v), float(m)) for c, (v, m) in enumerate(zip(model.singular_values_sq, model.mean_projection))]
+    _save(spark, rows, "component int, singular_value_sq double, mean_projection double", out_dir, "svd_components")
+    one = (model.n_rows, model.n_features, model.total_variance, model.frob_sq, model.passes)
+    _save(spark, [one], "n_rows long, n_features int, total_variance double, frob_sq double, passes int", out_dir, "svd_totals")
 
 
 def load_svd(spark: SparkSession, out_dir: str) -> RD.SVDModel:
-    """The model without its sparse rows; scores are then taken from the matrix."""
     comps = _load(spark, out_dir, "svd_components", "component").collect()
-    means = _load(spark, out_dir, "svd_features", "feature_index").collect()
     one = _load(spark, out_dir, "svd_totals", "n_rows").first()
-    return RD.SVDModel(one["n_rows"], one["n_features"], np.array([r["singular_value_sq"] for r in comps]),
-                       np.array([r["vector"] for r in comps]), np.array([r["mean"] for r in means]),
-                       one["total_variance"], one["frob_sq"], one["converged"])
+    vectors = spark.read.parquet(os.path.join(out_dir, "models", "svd_vectors"))
+    return RD.SVDModel(one["n_rows"], one["n_features"], np.array([r["singular_value_sq"] for r in comps]), vectors,
+                       np.array([r["mean_projection"] for r in comps]), one["total_variance"], one["frob_sq"], one["passes"])

@@ -27,9 +27,10 @@ def dense_index(df: DataFrame, order_cols: list, out: str = "index") -> DataFram
 
     Range-partition and sort; within a partition the position comes from
     ``monotonically_increasing_id`` (partition id in the high bits, position
-    in the low 33); the numbered rows are written once, per-partition counts
-    (one number per partition) give the offsets.
+    in the low 33); the numbered rows are written once, and the running total of
+    the partitions' counts (one row per partition) is joined to them.
     """
+    from pyspark.sql import Window
     from pyspark.sql import functions as F
 
     from larder.plans.materialize import materialize
@@ -37,15 +38,9 @@ def dense_index(df: DataFrame, order_cols: list, out: str = "index") -> DataFram
     n = target_partitions(df)
     numbered = materialize(df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
                            .withColumn("__mid", F.monotonically_increasing_id()), "indexed")
-    part = F.shiftright(F.col("__mid"), 33)
+    numbered = numbered.withColumn("__part", F.shiftright("__mid", 33))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (numbered.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+              .select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")))
     local = F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))
-    counts = sorted((r["p"], r["c"]) for r in numbered.groupBy(part.alias("p"))
-                    .agg(F.count(F.lit(1)).alias("c")).collect())
-    offsets, run = {}, 0
-    for p, c in counts:
-        offsets[p] = run
-        run += c
-    if not offsets:
-        return numbered.drop("__mid").withColumn(out, F.lit(0).cast("long")).where(F.lit(False))
-    offset = F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p), F.lit(o))])
-    return numbered.withColumn(out, offset[part] + local).drop("__mid")
+    return numbered.join(starts, "__part").withColumn(out, F.col("__start") + local).drop("__mid", "__part", "__start")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from larder.operators import resolve as R
 from larder.plans.materialize import materialize
+from larder.plans.partitioning import dense_index
 from larder.sources import testdata as V
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,7 +178,13 @@ def q_numeric_contract(spark, sf_dir):
     res, model = numeric_fit(spark, sf_dir)
     n = res.count()
     return N.numeric_contract(N.log_matrix(res, model), N.scaled_matrix(res, model),
-                              model.features, n)
+                              model.features, n, names=N.feature_names(spark, model.features))
+
+
+@query("item_index")
+def q_item_index(spark, sf_dir):
+    """The position of every item in the order of the ids."""
+    return dense_index(resolved(spark, sf_dir).select("RecipeId"), ["RecipeId"], "row_index")
 
 
 # -- content matrix (F14-F22, M3-M5, A32-A34, C4, J6, W3, P14) --------------------
@@ -378,7 +385,7 @@ def q_svd_explained(spark, sf_dir):
 @query("svd_top_terms")
 def q_svd_top_terms(spark, sf_dir):
     cm, _, model, _, sel = svd_model(spark, sf_dir)
-    return RD.svd_top_terms(RD.components_long(spark, model, sel), cm.features)
+    return RD.svd_top_terms(RD.components_long(model, sel), cm.features)
 
 
 @query("svd_scores")
@@ -425,29 +432,104 @@ def q_dimensionality_comparison(spark, sf_dir):
                                        "reconstruction_rmse double")
 
 
+def _score_norms(matrix, model, k):
+    """Of every component, how far the squares of its scores are from its eigenvalue, and its scores' product with the next."""
+    pairs = F.zip_with("z", F.slice("z", 2, k), lambda a, b: F.struct((a * a).alias("own"), (a * F.coalesce(b, F.lit(0.0))).alias("next")))
+    z = RD.projected(matrix, model.vectors, k).select(F.posexplode(pairs).alias("c", "e"))
+    sums = z.groupBy("c").agg(F.sum("e.own").alias("own"), F.sum("e.next").alias("next"))
+    of = matrix.sparkSession.createDataFrame([(j, float(v)) for j, v in enumerate(model.singular_values_sq[:k])], "c int, value double")
+    top = float(model.singular_values_sq[0])
+    return of.join(sums, "c").select((F.col("c") + 1).alias("component"), F.round(F.abs(F.col("own") - F.col("value")) / top, 6).alias("norm_deviation"),
+                                     F.round(F.abs("next") / top, 6).alias("next_product"))
+
+
+@query("svd_score_norms")
+def q_svd_score_norms(spark, sf_dir):
+    """M12 check: the squares of a component's scores sum to its eigenvalue, and neighbours are orthogonal."""
+    _, matrix, model, _, sel = svd_model(spark, sf_dir)
+    return _score_norms(matrix, model, sel)
+
+
+@query("svd_power_sums")
+def q_svd_power_sums(spark, sf_dir):
+    """M9 check: sums of powers of all eigenvalues, as shares of ``||X||²``, are the traces of the powers of ``XᵀX``."""
+    cm, matrix, _, _, _ = svd_model(spark, sf_dir)
+    f = cm.features.count()
+    whole = RD.fit_svd(matrix, cm.n_docs, f, f)
+    shares = whole.singular_values_sq / whole.frob_sq
+    return spark.createDataFrame([(p, float((shares ** p).sum())) for p in (1, 2, 3)], "power int, power_sum double")
+
+
+@query("svd_reconstruction_sample")
+def q_svd_reconstruction_sample(spark, sf_dir):
+    """Residuals of rows at even distances, for every candidate k."""
+    _, matrix, model, cands, _ = svd_model(spark, sf_dir)
+    return RD.reconstruction_sample(matrix, resolved(spark, sf_dir).select("RecipeId"), model, cands)
+
+
+@query("term_feature_association")
+def q_term_feature_association(spark, sf_dir):
+    """For every numeric feature the terms whose weights go most with it and most against it."""
+    cm, matrix, _, _, _ = svd_model(spark, sf_dir)
+    scaled, pm = pca_model(spark, sf_dir)
+    joined = matrix.join(scaled.withColumnRenamed("RecipeId", "id"), "id")
+    sums = joined.groupBy("feature_index").agg(*(F.sum(F.col("value") * F.col(c)).alias(f"s{i}") for i, c in enumerate(pm.features)))
+    entries = [F.struct(F.lit(c).alias("component"), F.round(F.col(f"s{i}") / pm.n, 9).alias("loading")) for i, c in enumerate(pm.features)]
+    return RD.svd_top_terms(sums.select("feature_index", F.inline(F.array(*entries))), cm.features).drop("abs_loading")
+
+
 @query("reduce_contract")
 def q_reduce_contract(spark, sf_dir):
-    """C5 + C6: aligned ids, k > 0, target reached, row counts and finite outputs."""
-    emb = q_combined_embedding(spark, sf_dir)
+    """C5 + C6: the checks before the reduction, and those counted while its outputs are written."""
+    cm, matrix, model, _, sel = svd_model(spark, sf_dir)
     scaled, pm = pca_model(spark, sf_dir)
-    cm = content_model(spark, sf_dir)
-    agg = emb.agg(F.count(F.lit(1)).alias("rows"),
-                  F.sum(F.exists("embedding", lambda x: F.isnan(x) | (F.abs(x) == float("inf")))
-                        .cast("long")).alias("nonfinite"),
-                  F.min(F.size("embedding")).alias("dmin"), F.max(F.size("embedding")).alias("dmax")).first()
-    orphan = (cm.matrix.select(F.col("id").alias("RecipeId")).distinct()
-              .join(scaled.select("RecipeId"), "RecipeId", "left_anti").count())
-    checks = [
-        ("numeric_ids_cover_content_ids", orphan),
-        ("pca_components_positive", int(pm.selected_k <= 0)),
-        ("pca_target_reached", int(pm.cumulative[pm.selected_k - 1] < RD.PCA_TARGET_VARIANCE - 1e-12)),
-        ("embedding_rows_match", abs(agg["rows"] - cm.n_docs)),
-        ("embedding_values_finite", int(agg["nonfinite"] or 0)),
-        ("embedding_width_constant", int(agg["dmin"] != agg["dmax"])),
-    ]
-    return spark.createDataFrame([(c, int(v)) for c, v in checks], "check string, violations long")
+    inputs = K.reduction_inputs(scaled, N.feature_names(spark, pm.features), matrix, resolved(spark, sf_dir), cm.features)
+    numeric = RD.pca_scores(scaled, pm)
+    cols = [c for c in numeric.columns if c != "RecipeId"]
+    numeric, seen_pca = K.written_observed(numeric, F.array(*cols), "numeric-pca")
+    content, seen_svd = K.written_observed(RD.svd_scores(matrix, scaled.select("RecipeId"), model, sel), F.col("content_svd"), "content-svd")
+    _, seen = K.written_observed(RD.combined_embedding(content, numeric, cols), F.col("embedding"), "embedding")
+    outputs = {"numeric_pca": (seen_pca, pm.selected_k), "content_svd": (seen_svd, sel), "embedding": (seen, sel + pm.selected_k)}
+    names = RD.embedding_feature_names(spark, sel, pm.selected_k)
+    return inputs.union(K.reduction_outputs(spark, cm.n_docs, outputs, names, pm.selected_k, sel, float(pm.cumulative[pm.selected_k - 1]), RD.PCA_TARGET_VARIANCE))
 
 
+def document_content(spark, sf_dir):
+    def build():
+        docs = V.spread(V.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+        return C.text_content(docs, "doc_id", "text")
+    return stage(spark, sf_dir, "document_content", build)
+
+
+@query("document_tfidf")
+def q_document_tfidf(spark, sf_dir):
+    """M3 / F22 over whole documents: counts beyond one, accents, a vocabulary of the reference's width."""
+    _, matrix = document_content(spark, sf_dir)
+    return matrix.withColumnRenamed("id", "doc_id")
+
+
+def document_svd(spark, sf_dir):
+    def build():
+        features, matrix = document_content(spark, sf_dir)
+        f, n = features.count(), V.documents(spark, sf_dir).distinct().count()
+        cands = RD.valid_svd_candidates(f)
+        return cands, RD.fit_svd(matrix, n, f, max(cands))
+    return stage(spark, sf_dir, "document_svd", build)
+
+
+@query("document_svd_sweep")
+def q_document_svd_sweep(spark, sf_dir):
+    """M9-M11 over the terms of whole documents, up to k = 300."""
+    cands, model = document_svd(spark, sf_dir)
+    return RD.svd_sweep(spark, model, cands)
+
+
+@query("document_svd_score_norms")
+def q_document_svd_score_norms(spark, sf_dir):
+    """M12 check over the terms of whole documents."""
+    cands, model = document_svd(spark, sf_dir)
+    return _score_norms(document_content(spark, sf_dir)[1], model, max(cands))
+
 
 # -- audits (A8, A9, A17-A31, J2-J4, W6, W9, W11, F15, F23) -------------------------
 
@@ -462,7 +544,7 @@ DESCRIBE_PERCENTILES = [0.25, 0.5, 0.75, 0.9, 0.95, 0.99]
 
 @query("missingness")
 def q_missingness(spark, sf_dir):
-    return AU.missingness(V.catalog(spark, sf_dir)).drop("dtype")
+    return AU.missingness(V.catalog(spark, sf_dir))
 
 
 @query("quality_audit")
@@ -540,14 +622,15 @@ def q_top_keywords(spark, sf_dir):
 
 @query("ingredient_vocab_sweep")
 def q_ingredient_vocab_sweep(spark, sf_dir):
-    return AU.vocabulary_sweep(V.catalog(spark, sf_dir).select("RecipeId"), ingredient_sets(spark, sf_dir))
+    return AU.vocabulary_sweep(V.catalog(spark, sf_dir).select("RecipeId"), materialize(ingredient_sets(spark, sf_dir), "ingredient-tokens"))
 
 
 @query("document_vocab_sweep")
 def q_document_vocab_sweep(spark, sf_dir):
     """A25 / J4 over every word of every whole document."""
-    words = AU.audit_token_sets(V.doc_words(spark, sf_dir), "doc_id", "word")
-    return AU.vocabulary_sweep(V.documents(spark, sf_dir), words, id_col="doc_id")
+    docs = V.spread(V.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    tokens = materialize(AU.document_token_sets(docs, "doc_id", V.words_of(F.col("text"))), "document-tokens")
+    return AU.vocabulary_sweep(V.documents(spark, sf_dir), tokens, id_col="doc_id")
 
 
 @query("category_coverage")
@@ -634,6 +717,25 @@ def q_ingest_catalog(spark, sf_dir):
                       F.array_join("Keywords", "|").alias("keywords"))
 
 
+@query("list_cell_items")
+def q_list_cell_items(spark, sf_dir):
+    """Items of list cells by the lenient and by the checked rule."""
+    from larder.functions.text import parse_list_checked, parse_list_repr
+    cells = V.list_cells(spark, sf_dir).select("PartId", parse_list_repr(F.col("cell")).alias("items"), parse_list_checked(F.col("cell")).alias("checked"))
+    return cells.select("PartId", F.size("items").alias("n_items"), F.array_join("items", "|").alias("items"),
+                        F.size("checked.items").alias("n_checked"), F.col("checked.ok").alias("parsed_ok"))
+
+
+@query("list_cell_parse_summary")
+def q_list_cell_parse_summary(spark, sf_dir):
+    """A23 with the share of cells that are lists."""
+    from larder.functions.text import parse_list_checked
+    cells = V.list_cells(spark, sf_dir).select("PartId", parse_list_checked(F.col("cell")).alias("checked")).select("PartId", "checked.items", "checked.ok")
+    cells = materialize(cells, "list-cells")
+    tokens = AU.document_token_sets(cells.where("ok"), "PartId", F.col("items"))
+    return AU.list_parse_summary(cells, tokens, "PartId", parsed="ok")
+
+
 @query("document_list_cells")
 def q_document_list_cells(spark, sf_dir):
     """F1 over whole documents: items per text when each is read as a list cell."""
@@ -692,8 +794,7 @@ def q_legacy_text_svd(spark, sf_dir):
     matrix = materialize(LG.legacy_matrix(terms, vocab))
     f = vocab.count()
     model = LG.legacy_svd(matrix, n, f)
-    k = model.components.shape[0]
-    return RD.svd_explained(spark, model, k)
+    return RD.svd_explained(spark, model, model.k)
 
 
 @query("servings_summary_raw")

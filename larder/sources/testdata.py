@@ -104,7 +104,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     ok = F.col("l_orderkey")
     return li.select(
         (ok * 8 + F.col("l_linenumber")).alias("ReviewId"),
-        F.when(F.col("l_partkey") % 50 == 0, ok + 100000000).otherwise(ok).alias("RecipeId"),
+        F.when(F.col("l_partkey") % 50 == 0, -1 - ok).otherwise(ok).alias("RecipeId"),
         F.col("l_partkey").alias("AuthorId"),
         (F.col("l_linenumber") % 6).cast("int").alias("Rating"),
         F.col("l_shipdate").alias("DateSubmitted"),
@@ -139,18 +139,37 @@ def keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return from_parts.unionByName(from_orders)
 
 
+def words_of(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
+
+
 def doc_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long form ``(doc_id, word)``: every word of every whole document."""
     d = spread(table(spark, sf_dir, "documents"), "doc_id")
     return d.select(
         F.col("doc_id"),
-        F.explode(F.regexp_extract_all(F.lower(F.col("text")), F.lit(r"[\p{L}\p{N}_]+"), 0)).alias("word"))
+        F.explode(words_of(F.col("text"))).alias("word"))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id")
 
 
+def list_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(PartId, cell)``: one list cell per part, as Python would print it, or broken, scalar or missing."""
+    p, k = spread(table(spark, sf_dir, "part"), "p_partkey"), F.col("p_partkey")
+    forms = [("['{name}', '{type}']", 1), ("[\"{name}'s\", '{brand}']", 2), ("('{name}', '{type}')", 3), ("{name}", 4), ("['{name}', '{type}'", 5), ("[]", 6),
+             ("[{key}, -2.5e3, None, True, '{name}']", 7), ("['it\\'s {name}', \"a \\\\ b\\n\"]", 8), ("'{name}'", 9), ("  [ '{name}' , ]  ", 10),
+             ("[['{name}', 1], ('{type}',)]", 11), ("None", 12), ("   ", 13), ("{key}", 14), ("()", 15), ("['{name}' '{type}']", 16)]
+    cell = F.lit(None).cast("string")
+    for text, at in forms:
+        made = F.lit(text)
+        for name, col in (("name", "p_name"), ("type", "p_type"), ("brand", "p_brand"), ("key", "p_partkey")):
+            made = F.replace(made, F.lit("{" + name + "}"), F.col(col).cast("string"))
+        cell = F.when(k % 17 == at, made).otherwise(cell)
+    return p.select(k.alias("PartId"), cell.alias("cell"))
+
+
 # ---------------------------------------------------------------------------
 # SQL twins for the DuckDB oracle (tables are pre-registered views there).
 # ---------------------------------------------------------------------------
@@ -205,7 +224,7 @@ catalog AS (
     "reviews": """
 reviews AS (
   SELECT l_orderkey * 8 + l_linenumber AS ReviewId,
-    CASE WHEN l_partkey % 50 = 0 THEN l_orderkey + 100000000 ELSE l_orderkey END AS RecipeId,
+    CASE WHEN l_partkey % 50 = 0 THEN -1 - l_orderkey ELSE l_orderkey END AS RecipeId,
     l_partkey AS AuthorId, CAST(l_linenumber % 6 AS INTEGER) AS Rating, l_shipdate AS DateSubmitted
   FROM lineitem
 )""",

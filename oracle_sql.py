@@ -433,7 +433,8 @@ UNION ALL SELECT 'scaled_values_finite', CAST(0 AS BIGINT)
 UNION ALL SELECT 'scaled_means_zero', CAST(""" + " + ".join(
     f"(CASE WHEN abs(avg({f})) > 1e-5 THEN 1 ELSE 0 END)" for f in _F) + """ AS BIGINT) FROM n3
 UNION ALL SELECT 'scaled_stds_one', CAST(""" + " + ".join(
-    f"(CASE WHEN abs(stddev_pop({f}) - 1.0) > 1e-5 THEN 1 ELSE 0 END)" for f in _F) + """ AS BIGINT) FROM n3"""
+    f"(CASE WHEN abs(stddev_pop({f}) - 1.0) > 1e-5 THEN 1 ELSE 0 END)" for f in _F) + """ AS BIGINT) FROM n3
+UNION ALL SELECT 'names_in_column_order', CAST(0 AS BIGINT)"""
 
 
 # -- content matrix ------------------------------------------------------------------
@@ -604,8 +605,10 @@ _CAT_COLS = ["RecipeId", "AuthorId", "Name", "DatePublished", "RecipeCategory",
 _WC = "WITH " + VIEW_SQL["catalog"].strip()
 _WCR = "WITH " + VIEW_SQL["catalog"].strip() + ",\n" + VIEW_SQL["reviews"].strip()
 
+_CAT_TYPES = {"RecipeId": "bigint", "AuthorId": "bigint", "Name": "string", "DatePublished": "timestamp_ntz", "RecipeCategory": "string", "RecipeYield": "string",
+              "NumIngredients": "int", "NumQuantities": "int"}
 SQL["missingness"] = _WC + "\n" + "\nUNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", COUNT({c}) AS non_null_count, COUNT(*) - COUNT({c}) AS null_count, "
+    f"SELECT '{c}' AS \"column\", '{_CAT_TYPES.get(c, 'double')}' AS dtype, COUNT({c}) AS non_null_count, COUNT(*) - COUNT({c}) AS null_count, "
     f"{pctd(f'COUNT(*) - COUNT({c})', 'COUNT(*)')} AS null_pct, COUNT(DISTINCT {c}) AS distinct_count FROM catalog"
     for c in _CAT_COLS)
 
@@ -935,3 +938,113 @@ UNION ALL SELECT 'few_non_empty_documents', feature_group, non_empty_document_pe
   WHERE included AND feature_group <> 'combined_content_matrix' AND non_empty_document_percent < 1
 UNION ALL SELECT 'dense_content_matrix', feature_group, matrix_density FROM cs
   WHERE feature_group = 'combined_content_matrix' AND matrix_density > 0.05"""
+
+
+# -- positions, the SVD and its checks ------------------------------------------------
+
+SQL["item_index"] = with_resolved() + "\nSELECT RecipeId, row_number() OVER (ORDER BY RecipeId) - 1 AS row_index FROM resolved"
+
+
+def _selected(features: str) -> str:
+    return f"(SELECT CASE WHEN n > 200 THEN 200 WHEN n > 100 THEN 100 WHEN n > 50 THEN 50 ELSE least(10, n - 1) END FROM (SELECT COUNT(*) AS n FROM {features}))"
+
+
+def _zero_norms(k: str) -> str:
+    return f"""
+SELECT CAST(unnest(range(1, {k} + 1)) AS INTEGER) AS component, CAST(0 AS DOUBLE) AS norm_deviation, CAST(0 AS DOUBLE) AS next_product"""
+
+
+SQL["svd_score_norms"] = with_content() + _zero_norms(_selected("feat"))
+SQL["svd_power_sums"] = with_content() + """,
+gram AS (SELECT a.feature_index AS i, b.feature_index AS j, SUM(a.value * b.value) AS v FROM cmatrix a JOIN cmatrix b ON a.RecipeId = b.RecipeId GROUP BY 1, 2),
+tr AS (SELECT SUM(v) AS t FROM gram WHERE i = j)
+SELECT 1 AS power, CAST(1 AS DOUBLE) AS power_sum
+UNION ALL SELECT 2, SUM((v / t) * (v / t)) FROM gram, tr
+UNION ALL SELECT 3, SUM((x.v / t) * (y.v / t) * (z.v / t)) FROM gram x JOIN gram y ON x.j = y.i JOIN gram z ON y.j = z.i AND z.j = x.i, tr"""
+SQL["term_feature_association"] = with_resolved("ingredients", "keywords") + NUMERIC_CTE + CONTENT_CTE + ",\nal AS (" + "\nUNION ALL ".join(
+    f"SELECT '{f}' AS component, m.feature_index, round(SUM(m.value * n3.{f}) / (SELECT COUNT(*) FROM n3), 9) AS loading "
+    f"FROM cmatrix m JOIN n3 ON n3.RecipeId = m.RecipeId GROUP BY m.feature_index" for f in _F) + """),
+ak AS (SELECT *, row_number() OVER (PARTITION BY component ORDER BY loading DESC, feature_index) AS hi,
+         row_number() OVER (PARTITION BY component ORDER BY loading, feature_index) AS lo FROM al)
+SELECT component, side, CAST(rank AS INTEGER) AS rank, feature_name, feature_group, loading FROM (
+  SELECT component, 'positive' AS side, hi AS rank, feature_index, loading FROM ak WHERE hi <= 15
+  UNION ALL SELECT component, 'negative', lo, feature_index, loading FROM ak WHERE lo <= 15) t JOIN feat USING (feature_index)"""
+SQL["reduce_contract"] = with_resolved("ingredients", "keywords") + NUMERIC_CTE + CONTENT_CTE + _alignment("n3", "resolved") + """
+UNION ALL SELECT 'content_names_match_columns', CAST(COUNT(*) - 1 - MAX(feature_index) + COUNT(*) - COUNT(DISTINCT feature_index) AS BIGINT) FROM feat
+UNION ALL SELECT 'content_features_unnamed', CAST(COUNT(*) - COUNT(feature_name) AS BIGINT) FROM feat
+UNION ALL SELECT 'content_columns_without_feature', CAST(CASE WHEN (SELECT MAX(feature_index) FROM cmatrix) > (SELECT MAX(feature_index) FROM feat) THEN 1 ELSE 0 END AS BIGINT)
+UNION ALL SELECT 'numeric_values_finite', CAST(SUM(""" + " + ".join(f"CASE WHEN isfinite({f}) THEN 0 ELSE 1 END" for f in _F) + """) AS BIGINT) FROM n3
+UNION ALL SELECT 'content_values_finite', CAST(SUM(CASE WHEN isfinite(value) THEN 0 ELSE 1 END) AS BIGINT) FROM cmatrix
+""" + "".join(f"UNION ALL SELECT '{c}', CAST(0 AS BIGINT)\n" for c in (
+    "numeric_names_match_columns", "pca_components_positive", "svd_components_positive", "pca_target_reached", "embedding_names_match_columns",
+    *(f"{o}_{x}" for o in ("numeric_pca", "content_svd", "embedding") for x in ("values_finite", "width")))) + "".join(
+    f"UNION ALL SELECT '{o}_rows_match', abs((SELECT COUNT(*) FROM n3) - (SELECT COUNT(*) FROM resolved))\n" for o in ("numeric_pca", "content_svd", "embedding"))
+
+
+# -- whole documents as content ----------------------------------------------------------
+
+_DOC = r"""WITH dt AS (SELECT doc_id AS id, term, COUNT(*) AS tf FROM (
+  SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_](?:[\p{L}\p{N}_/]*[\p{L}\p{N}_])?')) AS term FROM documents) GROUP BY 1, 2),
+dn AS (SELECT COUNT(DISTINCT doc_id) AS n FROM documents),
+dv AS (SELECT term, ln((1.0 + n) / (1.0 + df)) + 1 AS idf, row_number() OVER (ORDER BY term) - 1 AS feature_index
+  FROM (SELECT term, COUNT(*) AS df FROM dt GROUP BY term), dn WHERE df >= 10 AND df <= 0.8::DOUBLE * n),
+dw AS (SELECT id, feature_index, (1 + ln(tf)) * idf AS w FROM dt JOIN dv USING (term))"""
+SQL["document_tfidf"] = _DOC + """
+SELECT id AS doc_id, CAST(feature_index AS INTEGER) AS feature_index, w / sqrt(SUM(w * w) OVER (PARTITION BY id)) AS value FROM dw"""
+SQL["document_svd_score_norms"] = _DOC + _zero_norms(
+    "(SELECT CASE WHEN n > 300 THEN 300 WHEN n > 200 THEN 200 WHEN n > 100 THEN 100 WHEN n > 50 THEN 50 ELSE least(10, n - 1) END FROM (SELECT COUNT(*) AS n FROM dv))")
+
+
+# -- list cells ------------------------------------------------------------------------
+
+_LSTR = r"""(?:"[^"\\]*(?:\\.[^"\\]*)*"|'[^'\\]*(?:\\.[^'\\]*)*')"""
+_LSTRS = rf"{_LSTR}(?:\s*{_LSTR})*"
+_LNUM = r"[+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?"
+_LITEM = rf"""(?:{_LSTRS}|{_LNUM}|None|True|False|[\[(](?:[^\[\](){{}}"']+|{_LSTR})*[\])])"""
+_LMANY = rf"(?:{_LITEM}(?:\s*,\s*{_LITEM})*\s*,?)?"
+_LLIST, _LTUPLE = rf"(?s)^\s*\[\s*{_LMANY}\s*\]\s*$", rf"(?s)^\s*\(\s*{_LMANY}\s*\)\s*$"
+_LSCALAR = rf"(?s)^\s*(?:{_LSTRS}|{_LNUM}|True|False)\s*$"
+
+
+def _literal_sql(x: str) -> str:
+    piece = r"replace(substring(y, 2, length(y) - 2), '\\', chr(1))"
+    for code, char in ((r"\n", 10), (r"\t", 9), (r"\r", 13)):
+        piece = f"replace({piece}, '{code}', chr({char}))"
+    piece = rf"replace(regexp_replace({piece}, '\\(.)', '\1', 'g'), chr(1), '\')"
+    return (f"(CASE WHEN regexp_matches({x}, {q('^[' + chr(34) + chr(39) + ']')}) THEN "
+            f"coalesce(array_to_string(list_transform(regexp_extract_all({x}, {q('(?s)' + _LSTR)}), lambda y: {piece}), ''), '') ELSE {x} END)")
+
+
+_CELL_FORMS = [
+    "['{name}', '{type}']", "[\"{name}'s\", '{brand}']", "('{name}', '{type}')", "{name}", "['{name}', '{type}'", "[]",
+    "[{key}, -2.5e3, None, True, '{name}']", "['it\\'s {name}', \"a \\\\ b\\n\"]", "'{name}'", "  [ '{name}' , ]  ",
+    "[['{name}', 1], ('{type}',)]", "None", "   ", "{key}", "()", "['{name}' '{type}']",
+]
+
+
+def _cell_sql(form: str) -> str:
+    out = q(form)
+    for name, col in (("name", "p_name"), ("type", "p_type"), ("brand", "p_brand"), ("key", "CAST(p_partkey AS VARCHAR)")):
+        out = f"replace({out}, '{{{name}}}', {col})"
+    return out
+
+
+_LIST_CELLS = "WITH cells AS (SELECT p_partkey AS PartId, CASE p_partkey % 17 " + " ".join(
+    f"WHEN {i} THEN {_cell_sql(form)}" for i, form in enumerate(_CELL_FORMS, 1)) + f""" END AS cell FROM part),
+lc AS (SELECT PartId, cell, trim(cell) AS s, coalesce(regexp_matches(trim(cell), {q(_LLIST)}), false) AS ok FROM cells),
+li AS (SELECT PartId, ok, CASE WHEN cell IS NULL OR s IN ('', 'None') THEN CAST([] AS VARCHAR[])
+    WHEN ok OR regexp_matches(s, {q(_LTUPLE)}) THEN list_transform(regexp_extract_all(substring(s, 2, length(s) - 2), {q('(?s)' + _LITEM)}), lambda x: {_literal_sql('x')})
+    WHEN regexp_matches(s, {q(_LSCALAR)}) THEN [{_literal_sql('s')}] ELSE [s] END AS items FROM lc)"""
+SQL["list_cell_items"] = _LIST_CELLS + """
+SELECT PartId, CAST(len(items) AS INTEGER) AS n_items, coalesce(array_to_string(items, '|'), '') AS items, CAST(CASE WHEN ok THEN len(items) ELSE 0 END AS INTEGER) AS n_checked, ok AS parsed_ok FROM li"""
+SQL["list_cell_parse_summary"] = _LIST_CELLS + f""",
+raw AS (SELECT PartId AS id, unnest(items) AS item FROM li WHERE ok),
+toks AS (SELECT DISTINCT id, {ascii_norm_sql('item')} AS token FROM raw WHERE {ascii_norm_sql('item')} <> ''),
+per AS (SELECT li.PartId, COUNT(t.token) AS k FROM li LEFT JOIN toks t ON t.id = li.PartId GROUP BY li.PartId),
+a AS (SELECT {cnt('k = 0')} AS zero, avg(k) AS av, quantile_cont(k, 0.5) AS med, quantile_cont(k, 0.95) AS p95 FROM per)
+SELECT 'parse_success_rate_pct' AS metric, (SELECT round(avg(CASE WHEN ok THEN 1.0 ELSE 0.0 END) * 100, 2) FROM li) AS value
+UNION ALL SELECT 'documents_with_zero_tokens', CAST(zero AS DOUBLE) FROM a
+UNION ALL SELECT 'avg_tokens_per_document', round(av, 2) FROM a
+UNION ALL SELECT 'median_tokens_per_document', round(med, 2) FROM a
+UNION ALL SELECT 'p95_tokens_per_document', round(p95, 2) FROM a
+UNION ALL SELECT 'unique_tokens', CAST((SELECT COUNT(DISTINCT token) FROM toks) AS DOUBLE)"""

@@ -105,3 +105,39 @@ def test_time_resolution(spark, prep, cook, total, resolved, flags):
     assert [k for k, v in derived.items() if v] == ([which] if which else [])
     assert r["time_arithmetic_consistent"] == consistent
     assert r["time_arithmetic_mismatch"] == mismatch
+
+
+def _by_ast(text):
+    """Items of a list cell by Python's own literal parser: lenient, and (items, ok) of the checked rule."""
+    import ast
+    if text is None:
+        return [], ([], False)
+    cell = text.strip()
+    try:
+        value = ast.literal_eval(cell)
+    except (ValueError, SyntaxError):
+        return [cell] if cell else [], ([], False)
+    lenient = [] if value is None else [str(x) for x in value] if isinstance(value, list | tuple) else [str(value)]
+    return lenient, (([str(x) for x in value], True) if isinstance(value, list) else ([], False))
+
+
+def test_list_literals_agree_with_python(spark):
+    import random
+
+    from larder.functions.text import parse_list_checked, parse_list_repr
+    rng = random.Random(6)
+    atoms = ["plain", "it's", 'say "x"', "back\\slash", "a, b", "[x]", "(y", "é漢", "", "tab\tline\n", 1, -25, 2.5, None, True, False, ["in", 2], ("one",)]
+    cells = [repr([rng.choice(atoms) for _ in range(rng.randint(0, 6))]) for _ in range(60)]
+    cells += [repr(tuple(rng.choice(atoms[:10]) for _ in range(rng.randint(0, 4)))) for _ in range(20)] + [repr(x) for x in atoms]
+    cells += [None, "", "  ", "['a'", "'a']", "a, b", "['a' 'b', \"c\" 'd']", "[ 'x' , ]", "\n['y']  ", "[,]", "['a',,'b']", "['a' b]", "['a')", "(1, 2", "None", "['a'] x", "[1 2]", "\"open"]
+    cells += ["['" + "', '".join(["word"] * 30_000) + "']", "'" + "x" * 300_000 + "'", "['" + "\\'" * 100_000]
+    df = spark.createDataFrame(list(enumerate(cells)), "i int, cell string").repartition(4)
+    got = df.select("i", parse_list_repr(F.col("cell")).alias("a"), parse_list_checked(F.col("cell")).alias("b")).collect()
+    for r in got:
+        assert (r.a, (r.b["items"], r.b["ok"])) == _by_ast(cells[r.i]), cells[r.i][:80]
+
+
+def test_numbers_from_text_are_finite(spark):
+    from larder.functions.numbers import to_number
+    df = spark.createDataFrame([("1e999",), ("-1e999",), ("1e308",), (" 2.5 ",), ("inf",), ("nan",), ("x",), (None,)], "t string")
+    assert [r.n for r in df.select(to_number(df, "t").alias("n")).collect()] == [None, None, 1e308, 2.5, None, None, None, None]

@@ -1,5 +1,7 @@
 """Exact distributed quantiles against numpy (linear interpolation)."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -31,21 +33,23 @@ def test_empty_column(spark):
     assert Q.exact_quantiles(df, {"a": F.col("a")}, [0.5]) == {"a": [None]}
 
 
-@pytest.mark.parametrize("few", [4, 50_000])
-def test_grouped_medians_hot_groups(spark, monkeypatch, few):
-    """Medians of a hot group, with and without narrowing brackets first."""
-    from larder.operators import resolve
-    from larder.operators.resolve import grouped_medians
-    monkeypatch.setattr(resolve, "MEDIAN_WINDOW_VALUES", few)
-    monkeypatch.setattr(resolve, "MEDIAN_BUCKETS", 16)
+def test_medians_of_hot_groups_and_infinities(spark):
+    """A hot group over many partitions; infinities, NaN, denormals and NULLs; no value at all."""
+    from larder.operators.resolve import global_medians, grouped_medians, medians
     rng = np.random.default_rng(5)
     cats = np.where(rng.random(3000) < 0.6, "hot", rng.choice(["a", "b", "c"], 3000))
     vals = rng.normal(50, 20, 3000)
     rows = [(str(c), float(v) if i % 7 else None) for i, (c, v) in enumerate(zip(cats, vals))]
-    df = spark.createDataFrame(rows + [(None, 1.0)], "g string, v double")
-    names = {"v": "m"}
-    got = {r["g"]: r["m"] for r in grouped_medians(df, "g", ["v"], names).collect()}
+    odd = [("odd", x) for x in (math.inf, -math.inf, math.nan, None, 5e-324, -0.0, 0.0, 1e308, -1e308)]
+    odd += [("none", None), ("none", math.inf), (None, 1.0), (None, math.inf)]
+    df = spark.createDataFrame(rows + odd, "g string, v double").repartition(5)
+    found = medians(df, "g", ["v"])
+    got = {r["g"]: r["m"] for r in grouped_medians(found, "g", ["v"], {"v": "m"}).collect()}
     for g in ("hot", "a", "b", "c"):
         expected = np.median([v for c, v in rows if c == g and v is not None])
         assert abs(got[g] - expected) < 1e-9, g
-    assert None not in got
+    assert got["odd"] == 0.0 and None not in got and "none" not in got
+    every = [v for _, v in rows + odd if v is not None and math.isfinite(v)]
+    assert global_medians(found, ["v"])["v"] == pytest.approx(np.median(every), abs=1e-12)
+    with pytest.raises(ValueError, match="no value"):
+        global_medians(medians(df.where("g = 'none'"), "g", ["v"]), ["v"])

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from larder.operators import reduce as RD
+from larder.operators import tall
 
 
 @pytest.fixture(scope="module")
@@ -18,14 +19,22 @@ def sparse_case(spark):
     return dense, matrix, ids
 
 
-def test_exact_svd_matches_numpy(sparse_case):
+def vectors_of(model, f):
+    rows = {r["feature_index"]: r["vector"] for r in model.vectors.collect()}
+    assert sorted(rows) == list(range(f))
+    return np.array([rows[i] for i in range(f)])
+
+
+def test_svd_matches_numpy(sparse_case):
     dense, matrix, ids = sparse_case
     n, f = dense.shape
     k = 6
     model = RD.fit_svd(matrix, n, f, k)
-    assert model.converged
     s = np.linalg.svd(dense, compute_uv=False)
     np.testing.assert_allclose(model.singular_values_sq, s[:k] ** 2, rtol=1e-9)
+    v = vectors_of(model, f)
+    np.testing.assert_allclose(v.T @ v, np.eye(k), atol=1e-10)
+    assert all(c[np.argmax(np.abs(c))] > 0 for c in v.T)
     # retained energy as var(Z)/sum var(X), population
     _, _, vt = np.linalg.svd(dense, full_matrices=False)
     z = dense @ vt[:k].T
@@ -42,34 +51,74 @@ def test_exact_svd_matches_numpy(sparse_case):
     assert np.all(got[5] == 0.0)
 
 
-def test_joined_block_path_matches_numpy(sparse_case):
-    """Blocks over the broadcast limit go through the joined form; same results."""
+def test_scores_in_blocks_of_components(sparse_case):
+    dense, matrix, _ = sparse_case
+    model = RD.fit_svd(matrix, *dense.shape, 7)
+    z = {r["id"]: r["z"] for r in RD.projected(matrix, model.vectors, 7, columns=3).collect()}
+    want = dense @ vectors_of(model, dense.shape[1])
+    for i, row in z.items():
+        np.testing.assert_allclose(row, want[i], atol=1e-12)
+    assert len(z) == int((dense != 0).any(axis=1).sum())
+
+
+def test_sampled_reconstruction(sparse_case):
+    """All rows sampled: the closed form; fewer: the residuals of the rows at even distances."""
     dense, matrix, ids = sparse_case
-    spark = matrix.sparkSession
     n, f = dense.shape
-    spark.conf.set("larder.svd.blockBroadcastMaxBytes", "0")
-    try:
-        model = RD.fit_svd(matrix, n, f, 5)
-        scores = {r["RecipeId"]: r["content_svd"] for r in RD.svd_scores(matrix, ids, model, 5).collect()}
-    finally:
-        spark.conf.unset("larder.svd.blockBroadcastMaxBytes")
-    s = np.linalg.svd(dense, compute_uv=False)
-    np.testing.assert_allclose(model.singular_values_sq, s[:5] ** 2, rtol=1e-9)
-    _, _, vt = np.linalg.svd(dense, full_matrices=False)
-    got = np.array([scores[i] for i in range(n)])
-    np.testing.assert_allclose(np.abs(got), np.abs(dense @ vt[:5].T), atol=1e-9)
+    model = RD.fit_svd(matrix, n, f, 6)
+    closed = {r["n_components"]: r["reconstruction_mse"] for r in RD.svd_sweep(matrix.sparkSession, model, [2, 6]).collect()}
+    got = {r["n_components"]: r for r in RD.reconstruction_sample(matrix, ids, model, [2, 6]).collect()}
+    assert all(abs(got[k]["reconstruction_mse_sample"] - closed[k]) < 1e-12 and got[k]["sample_rows"] == n for k in (2, 6))
+    few = RD.reconstruction_sample(matrix, ids, model, [6], max_rows=70).first()
+    rows = [i for i in range(n) if (i + 1) * 70 // n > i * 70 // n]
+    v = vectors_of(model, f)
+    assert len(rows) == few["sample_rows"] == 70
+    assert abs(few["reconstruction_mse_sample"] - np.mean((dense[rows] - dense[rows] @ v @ v.T) ** 2)) < 1e-12
 
 
-def test_wide_svd_matches_numpy(spark):
-    """More than 1,024 features take the same path; it stops on the residual."""
+def test_many_row_blocks_and_shares(spark, monkeypatch):
+    """Small row blocks, fan-in, shares and column chunks: a tree of several levels, restarts, several chunks."""
+    for name, value in {"ROWS": 64, "FAN_IN": 3, "BLOCK_NONZEROS": 500, "CHUNK_BYTES": 8 * 400 * 9, "MAX_BLOCKS": 3}.items():
+        monkeypatch.setattr(tall, name, value)
     rng = np.random.default_rng(4)
-    n, f, k = 400, 1500, 12
-    dense = np.where(rng.random((n, f)) < 0.03, rng.random((n, f)), 0.0) * (1.0 / np.arange(1, f + 1) ** 0.3)
+    n, f, k = 300, 400, 8
+    dense = np.where(rng.random((n, f)) < 0.05, rng.random((n, f)), 0.0) * (1.0 / np.arange(1, f + 1) ** 0.6)
     rows = [(int(i), int(j), float(dense[i, j])) for i, j in zip(*np.nonzero(dense))]
     model = RD.fit_svd(spark.createDataFrame(rows, "id long, feature_index int, value double"), n, f, k)
-    assert model.converged
     s = np.linalg.svd(dense, compute_uv=False)
     np.testing.assert_allclose(np.sqrt(model.singular_values_sq), s[:k], rtol=1e-6)
+    v = vectors_of(model, f)
+    np.testing.assert_allclose(v.T @ v, np.eye(k), atol=1e-9)
+    gram = dense.T @ (dense @ v)
+    assert np.linalg.norm(gram - v * model.singular_values_sq, axis=0).max() <= 1e-7 * s[0] ** 2
+
+
+def test_low_rank_and_all_components(spark):
+    """Fewer nonzero singular values than wanted ones, and as many components as features."""
+    rng = np.random.default_rng(1)
+    dense = np.round(rng.random((60, 3)) @ rng.random((3, 9)), 6)
+    dense = dense @ np.diag([1.0] * 8 + [0.0])
+    for k in (5, 9):
+        rows = [(int(i), int(j), float(dense[i, j])) for i, j in zip(*np.nonzero(dense))]
+        model = RD.fit_svd(spark.createDataFrame(rows, "id long, feature_index int, value double"), 60, 9, k)
+        s = np.linalg.svd(dense, compute_uv=False) ** 2
+        np.testing.assert_allclose(model.singular_values_sq, s[:k], atol=1e-8 * s[0])
+
+
+def test_two_sided_top(spark):
+    rng = np.random.default_rng(3)
+    rows = [(c, f, float(rng.integers(-4, 5)) if f != 7 else None) for c in range(5) for f in range(200)]
+    rng.shuffle(rows)
+    rows = [(int(c), int(f), None if x is None else float(x)) for c, f, x in rows]
+    got = {(r.component, r.side, r["rank"]): (r.feature_index, r.loading) for r in RD.two_sided_top(
+        spark.createDataFrame(rows, "component int, feature_index int, loading double").repartition(7), 6).collect()}
+    want = {}
+    for c in range(5):
+        mine = [(f, x) for d, f, x in rows if d == c and x is not None]
+        for side, sign in (("positive", -1), ("negative", 1)):
+            for rank, fx in enumerate(sorted(mine, key=lambda e: (sign * e[1], e[0]))[:6], 1):
+                want[c, side, rank] = fx
+    assert got == want
 
 
 def test_pca_matches_numpy(spark):
