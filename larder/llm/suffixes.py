@@ -115,7 +115,8 @@ def double(ranked: DataFrame, spans: int) -> DataFrame:
     """(rid, at): the anchors whose first ``spans`` phrases occur elsewhere too, at least (rounded down to a power of two)."""
     offset = 1
     while True:
-        again = ranked.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rank")
+        # written first: the join then reads a plain shuffle on both sides, and a hot rank can be split
+        again = materialize(ranked.groupBy("rank").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("rank"), "repeated-ranks")
         ranked = materialize(ranked.join(again, "rank", "left_semi").select("rid", "idx", "at", "rank"), "ranked")
         if 2 * offset > spans:
             return ranked.select("rid", "at")
