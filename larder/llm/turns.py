@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.common import materialize
-from larder.llm.scans import joined_sha256, running
+from larder.llm.scans import joined_sha256
+from larder.plans.scans import running
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -111,7 +112,7 @@ def rolled_up(tree: DataFrame, through: DataFrame) -> DataFrame:
     below g if v's smallest member passes g and goes on, and then belongs to the part of the
     chain that follows; v lies on the way from g to the top if g's smallest member passes v.
     """
-    nodes = tree.select("id", "conv", "top", F.col("n").alias("weight"), "saved", "leaves", F.lit(-1).cast("long").alias("part"))
+    nodes = materialize(tree.select("id", "conv", "top", F.col("n").alias("weight"), "saved", "leaves", F.lit(-1).cast("long").alias("part")), "centroid-start")
     onward = through.select(F.col("c").alias("oc"), F.col("pid").alias("of"), F.col("id").alias("follows"))
     passed = through.select(F.col("c").alias("pc"), F.col("id").alias("passed"))
     rounds = []

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larder.llm import scans, turns
+from larder.plans.scans import running
 
 CONVERSATIONS = "conv_id long, turn long, role string, text string, n long, depth string, x double"
 
@@ -106,7 +107,7 @@ def test_running_and_digests(spark, tmp_path):
     for g, k, v in rows:
         sums[g] += v
         want[k] = (g, v, sums[g])
-    got = {r.k: (r.g, r.v, r.s) for r in scans.running(table, ["g"], [F.col("k")], {"s": (F.sum, "v")}, "t").collect()}
+    got = {r.k: (r.g, r.v, r.s) for r in running(table, ["g"], [F.col("k")], {"s": (F.sum, "v")}, "t").collect()}
     assert got == want
     whole = {g: ",".join(str(k) for x, k, _ in rows if x == g) for g in ("hot", "a")}
     got = {r.g: r.sha256 for r in scans.joined_sha256(table.where("g is not null"), ["g"], "k", at_once=7).collect()}
