@@ -19,14 +19,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Plan nodes under which the rows of a table keep their order and splits.
+_SCAN = {"Project", "Filter", "SubqueryAlias", "View", "Relation", "LogicalRelation", "LogicalRDD", "LocalRelation"}
+
+
+def _one_scan(df: DataFrame) -> bool:
+    todo = [df._jdf.queryExecution().analyzed()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().split(" ")[0] not in _SCAN:
+            return False
+        below = node.children()
+        todo += [below.apply(i) for i in range(below.size())]
+    return True
+
+
 def row_key(df: DataFrame):
     """A key of each row by scan order, the same in every scan of one written table.
 
+    A plan that is more than a scan (a shuffle, a join, a limit) has no such order, so it raises
+    an error: two runs of it would number the rows differently.  Write the table first.
+
     The splits of a scan follow the cores at hand unless ``spark.sql.files.minPartitionNum``
     is set.  It is set here to the present number where it is unset, so that an executor
     lost (or won) between two scans does not move the splits and with them the keys.
     """
     spark = df.sparkSession
+    if not _one_scan(df):
+        raise ValueError("rows are numbered in a table as it was written; write this one first")
     if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
         spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
     return F.monotonically_increasing_id()

@@ -1,4 +1,7 @@
+import pytest
+
 from larder.llm.common import numbered, row_key
+from larder.llm.simhash import keep_first
 
 
 def test_row_keys_pin_the_splits_of_later_scans(spark, tmp_path):
@@ -17,3 +20,10 @@ def test_row_keys_pin_the_splits_of_later_scans(spark, tmp_path):
             spark.conf.unset("spark.sql.files.minPartitionNum")
         else:
             spark.conf.set("spark.sql.files.minPartitionNum", before)
+
+
+def test_other_plans_are_refused(spark, edge_docs):
+    for docs in (edge_docs.repartition(5), edge_docs.orderBy("doc_id"), edge_docs.limit(7), edge_docs.distinct(), edge_docs.union(edge_docs), edge_docs.join(edge_docs.select("doc_id"), "doc_id")):
+        with pytest.raises(ValueError, match="write this one first"):
+            keep_first(docs)
+    assert numbered(edge_docs.where("doc_id > 5").select("doc_id", "text"), "doc_id").count() > 0
