@@ -29,13 +29,21 @@ def query(name: str):
 _STAGES: dict[tuple, object] = {}
 
 
+def _identity(spark: SparkSession, sf_dir: str) -> tuple:
+    """Name, size and time of every table in the folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))
+
+
 def stage(spark: SparkSession, sf_dir: str, name: str, build):
     """A materialized stage output, built once per session and input folder.
 
     Later queries read the checkpointed table (as a pipeline step reads the
-    previous step's written output) instead of recomputing its lineage.
+    previous step's written output) instead of recomputing its lineage.  The key
+    holds the sizes and times of the input tables, so changed input is built anew.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, _identity(spark, sf_dir), name)
     if key not in _STAGES:
         _STAGES[key] = build()
     return _STAGES[key]
