@@ -157,36 +157,38 @@ def _inflated(stream):
 
 
 class _Pieces:
-    """Reads lines and counted bytes from an iterator of byte chunks."""
+    """Reads headers and counted bytes from an iterator of byte chunks; what is read is passed over, not cut off."""
 
     def __init__(self, chunks):
-        self.chunks, self.held = chunks, b""
+        self.chunks, self.held, self.at = chunks, b"", 0
 
     def more(self) -> bool:
         part = next(self.chunks, b"")
-        self.held += part
+        if part:
+            self.held, self.at = self.held[self.at:] + part, 0
         return bool(part)
 
     def until(self, mark: bytes) -> bytes | None:
         """The bytes up to and with ``mark``; None at the end of the stream."""
-        at = -1
-        while (at := self.held.find(mark, max(0, at))) < 0:
-            at = len(self.held) - len(mark) + 1
-            if at > MAX_HEADER:
+        seen = 0
+        while (found := self.held.find(mark, self.at + seen)) < 0:
+            seen = max(0, len(self.held) - self.at - len(mark) + 1)
+            if seen > MAX_HEADER:
                 raise ValueError("a record header has no end")
             if not self.more():
-                if self.held.strip():
+                if self.held[self.at:].strip():
                     raise ValueError("the archive ends inside a record header")
                 return None
-        out, self.held = self.held[:at + len(mark)], self.held[at + len(mark):]
-        return out
+        start, self.at = self.at, found + len(mark)
+        return self.held[start:self.at]
 
     def take(self, n: int):
         """The next ``n`` bytes, in pieces."""
         while n:
-            if not self.held and not self.more():
+            if self.at == len(self.held) and not self.more():
                 raise ValueError("the archive ends inside a record")
-            part, self.held = self.held[:n], self.held[n:]
+            part = self.held[self.at:self.at + n]
+            self.at += len(part)
             n -= len(part)
             yield part
 
