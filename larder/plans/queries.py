@@ -796,15 +796,34 @@ def q_legacy_text_tfidf(spark, sf_dir):
     return LG.legacy_matrix(terms, vocab).withColumnRenamed("id", "RecipeId")
 
 
+def legacy_svd_model(spark, sf_dir):
+    def build():
+        n, terms, vocab = legacy_text(spark, sf_dir)
+        matrix = materialize(LG.legacy_matrix(terms, vocab))
+        return matrix, LG.legacy_svd(matrix, n, vocab.count())
+    return stage(spark, sf_dir, "legacy_svd", build)
+
+
 @query("legacy_text_svd")
 def q_legacy_text_svd(spark, sf_dir):
-    n, terms, vocab = legacy_text(spark, sf_dir)
-    matrix = materialize(LG.legacy_matrix(terms, vocab))
-    f = vocab.count()
-    model = LG.legacy_svd(matrix, n, f)
+    _, model = legacy_svd_model(spark, sf_dir)
     return RD.svd_explained(spark, model, model.k)
 
 
+@query("legacy_svd_score_norms")
+def q_legacy_svd_score_norms(spark, sf_dir):
+    """M15 check: the squares of a component's scores sum to its eigenvalue, and neighbours are orthogonal."""
+    matrix, model = legacy_svd_model(spark, sf_dir)
+    return _score_norms(matrix, model, model.k)
+
+
+@query("legacy_pca_power_sums")
+def q_legacy_pca_power_sums(spark, sf_dir):
+    """M14 check: the sums of the eigenvalues' powers are the traces of the covariance's powers."""
+    model = RD.fit_pca(LG.legacy_scaled(V.catalog(spark, sf_dir)), LG.LEGACY_NUMERIC_COLS)
+    return spark.createDataFrame([(p, float((model.eigenvalues ** p).sum())) for p in (1, 2, 3)], "power int, power_sum double")
+
+
 @query("servings_summary_raw")
 def q_servings_summary_raw(spark, sf_dir):
     """A11, EDA form (ruling R5): servings count as present when the raw value is non-missing."""

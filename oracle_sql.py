@@ -1048,3 +1048,19 @@ UNION ALL SELECT 'avg_tokens_per_document', round(av, 2) FROM a
 UNION ALL SELECT 'median_tokens_per_document', round(med, 2) FROM a
 UNION ALL SELECT 'p95_tokens_per_document', round(p95, 2) FROM a
 UNION ALL SELECT 'unique_tokens', CAST((SELECT COUNT(DISTINCT token) FROM toks) AS DOUBLE)"""
+
+
+# -- checks of the legacy reductions -----------------------------------------------------
+
+SQL["legacy_svd_score_norms"] = _LEG + _zero_norms("(SELECT least(100, greatest(1, COUNT(*) - 1)) FROM lv)")
+_LP = ["Calories", "FatContent", "SaturatedFatContent", "CholesterolContent", "SodiumContent", "CarbohydrateContent", "FiberContent", "SugarContent",
+       "ProteinContent", "CookTime_Minutes", "PrepTime_Minutes"]
+SQL["legacy_pca_power_sums"] = (
+    _WC + ",\npm AS (SELECT " + ", ".join(f"median(CAST({c} AS DOUBLE)) AS {c}" for c in _LP) + " FROM catalog)"
+    + ",\npf AS (SELECT " + ", ".join(f"coalesce(CAST(catalog.{c} AS DOUBLE), pm.{c}) AS {c}" for c in _LP) + " FROM catalog, pm)"
+    + ",\nps AS (SELECT " + ", ".join(f"avg({c}) AS {c}__m, stddev_pop({c}) AS {c}__s" for c in _LP) + " FROM pf)"
+    + ",\npz AS (SELECT " + ", ".join(f"({c} - {c}__m) / {c}__s AS {c}" for c in _LP) + " FROM pf, ps)"
+    + ",\npc AS (" + "\nUNION ALL ".join(f"SELECT {i} AS i, {j} AS j, covar_samp({a}, {b}) AS v FROM pz" for i, a in enumerate(_LP) for j, b in enumerate(_LP)) + """)
+SELECT 1 AS power, SUM(v) AS power_sum FROM pc WHERE i = j
+UNION ALL SELECT 2, SUM(v * v) FROM pc
+UNION ALL SELECT 3, SUM(x.v * y.v * z.v) FROM pc x JOIN pc y ON x.j = y.i JOIN pc z ON y.j = z.i AND z.j = x.i""")
