@@ -27,7 +27,8 @@ def _one_scan(df: DataFrame) -> bool:
     todo = [df._jdf.queryExecution().analyzed()]
     while todo:
         node = todo.pop()
-        if node.nodeName().split(" ")[0] not in _SCAN:
+        name = node.nodeName().split(" ")[0]
+        if name not in _SCAN and not (name == "Repartition" and not node.shuffle()):  # coalesce() keeps the rows where they are
             return False
         below = node.children()
         todo += [below.apply(i) for i in range(below.size())]
