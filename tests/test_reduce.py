@@ -144,3 +144,22 @@ def test_pca_matches_numpy(spark):
     # the sign rule: largest |loading| is positive
     for comp in model.components:
         assert comp[np.argmax(np.abs(comp))] > 0
+
+
+def test_scores_shuffle_the_matrix_and_not_the_scores(spark):
+    """Repeated, missing and null ids come as of a left join, and carried rows as of an inner one; one wide exchange only."""
+    matrix = spark.createDataFrame([(1, 0, 2.0), (1, 2, 1.0), (2, 1, 3.0), (7, 0, 1.0), (None, 0, 5.0)], "id long, feature_index int, value double")
+    vectors = spark.createDataFrame([(j, [1.0 * j, 1.0, -j / 2]) for j in range(3)], "feature_index int, vector array<double>")
+    ids = spark.createDataFrame([(1,), (1,), (2,), (3,), (None,)], "RecipeId long")
+    model = RD.SVDModel(5, 3, np.ones(3), vectors, np.zeros(3), 1.0, 1.0)
+    plain = {1: [2.0, 3.0, -1.0], 2: [3.0, 3.0, -1.5], 3: [0.0] * 3, None: [0.0] * 3}
+    for columns in (None, 2):
+        z = tall.row_products(matrix, vectors, 3, columns, ids.withColumnRenamed("RecipeId", "id")).collect()
+        assert sorted(((r["id"] or 0, r["z"]) for r in z)) == sorted((i or 0, plain[i]) for i in (1, 1, 2, 3, None))
+    numeric = spark.createDataFrame([(1, 0.5), (1, 0.25), (3, 4.0), (9, 1.0), (None, 1.0)], "RecipeId long, p double")
+    got = RD.embedded(matrix, ids, model, 3, numeric, ["p"])
+    want = RD.combined_embedding(RD.svd_scores(matrix, ids, model, 3), numeric, ["p"])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == 5
+    # the scores themselves are never exchanged
+    plan = RD.svd_scores(matrix, ids, model, 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") - plan.count("ReusedExchange") == 1 and "Join" not in plan
