@@ -20,8 +20,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larder.functions.quantiles import exact_quantiles
 from larder.llm.common import materialize, text_rows
 from larder.llm.labelled import held_out, training_rows
+from larder.operators.tall import tree_sum
+from larder.plans.partitioning import dense_index
 
 _CAPS, _LOWER = re.compile(r"[A-Z]{2}"), re.compile(r"[a-z]")
 _MARKED_END = frozenset("#$%&*!@|~^=+<>")
@@ -76,32 +79,73 @@ class QualityModel:
         return 1 / (1 + np.exp(-np.clip(self.raw(x) - self.cut + level, -30, 30)))
 
 
-def fit_ranking(x: np.ndarray, y: np.ndarray, threshold: float = 0.3, bins: int = 8, max_pairs: int = 20_000,
-                l2: float = 1.0, steps: int = 12, seed: int = 5) -> QualityModel:
-    """Newton steps on the logistic loss of ``max_pairs`` preference pairs, drawn with a fixed seed."""
+def paired(n_good: int, n_bad: int, min_pairs: int) -> tuple[int, int]:
+    """(rounds, pairs of a round): in a round every labelled document takes part, the fewer ones in turn.
+
+    Pair i of round r is of good document (r n + i) mod n_good and bad document (r n + i + r) mod
+    n_bad, where n is the number of pairs of a round.
+    """
+    n = max(n_good, n_bad)
+    return max(1, -(-min_pairs // n)), n
+
+
+def newton(sums, n_weights: int, l2: float, steps: int) -> np.ndarray:
+    """Weights of the least logistic loss; ``sums(w)`` gives the Hessian over the gradient as one matrix."""
+    w = np.zeros(n_weights)
+    for _ in range(steps):
+        both = sums(w)
+        step = np.linalg.solve(both[:-1] + l2 * np.eye(n_weights), both[-1] - l2 * w)
+        w += step
+        if np.abs(step).max() < 1e-6:
+            break
+    return w
+
+
+def _sums(diff: np.ndarray, w: np.ndarray) -> np.ndarray:
+    p = 1 / (1 + np.exp(diff @ w))  # the chance that the preference is missed
+    return np.vstack([(diff * (p * (1 - p))[:, None].astype(np.float32)).T @ diff, diff.T @ p])
+
+
+def fit_ranking(x: np.ndarray, y: np.ndarray, threshold: float = 0.3, bins: int = 8, min_pairs: int = 20_000,
+                l2: float = 1.0, steps: int = 12) -> QualityModel:
+    """``fit_quality`` for features that are arrays: Newton steps on the logistic loss of the preference pairs."""
     edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) if len(x) else np.zeros(0) for j in range(N_FEATURES)]
     model = QualityModel(edges, np.zeros(sum(len(e) + 1 for e in edges)), 0.0, threshold)
     good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
     if not len(good) or not len(bad):
         model.cut = -30.0 if len(good) else 30.0
         return model
-    rng, design = np.random.default_rng(seed), model.design(x)
-    diff = design[rng.choice(good, max_pairs)] - design[rng.choice(bad, max_pairs)]
-    w = np.zeros(diff.shape[1])
-    for _ in range(steps):
-        p = 1 / (1 + np.exp(diff @ w))  # the chance that the preference is missed
-        hess = (diff * (p * (1 - p))[:, None].astype(np.float32)).T @ diff
-        step = np.linalg.solve(hess + l2 * np.eye(len(w)), diff.T @ p - l2 * w)
-        w += step
-        if np.abs(step).max() < 1e-6:
-            break
-    model.weights = w
+    rounds, n = paired(len(good), len(bad), min_pairs)
+    at, design = np.arange(rounds * n), model.design(x)
+    diff = design[good[at % len(good)]] - design[bad[(at + at // n) % len(bad)]]
+    model.weights = newton(lambda w: _sums(diff, w), diff.shape[1], l2, steps)
     model.cut = float(np.quantile(model.raw(x), len(bad) / len(x)))
     return model
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, threshold: float = 0.3, max_rows: int = 20_000) -> QualityModel:
-    """A ranking from at most about ``max_rows`` labelled documents outside the held-out fold."""
+def preference_pairs(train: DataFrame, n_good: int, n_bad: int, min_pairs: int) -> DataFrame:
+    """(good, bad): the features of the documents of every pair (``paired``), those of a label in the order of ``id``."""
+    rounds, n = paired(n_good, n_bad, min_pairs)
+    placed = dense_index(train.where("label in (0, 1)"), ["label", "id"], "at")
+    rounds = F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("r")
+
+    def side(label: int, before: int, own: int, shift: int, name: str) -> DataFrame:
+        rows = placed.where(F.col("label") == label).select((F.col("at") - before).alias("at"), F.col("x").alias(name), rounds)
+        first = F.pmod(F.col("at") - F.col("r") * F.lit(n + shift), F.lit(own))
+        rows = rows.withColumn("first", first).where(F.col("first") < n)
+        return rows.select("r", name, F.explode(F.sequence("first", F.lit(n - 1).cast("long"), F.lit(own).cast("long"))).alias("i"))
+
+    return side(1, n_bad, n_good, 0, "good").join(side(0, 0, n_bad, 1, "bad"), ["r", "i"]).select("good", "bad")
+
+
+def fit_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, threshold: float = 0.3, bins: int = 8,
+                min_pairs: int = 20_000, l2: float = 1.0, steps: int = 12) -> QualityModel:
+    """A ranking from all labelled documents outside the held-out fold.
+
+    Bin edges and the threshold are exact quantiles over all of them, every one is in a preference
+    pair, and every step adds up all pairs in the tasks; the driver gets matrices of the number of
+    weights only.
+    """
     def run(batches):
         import pyarrow as pa
 
@@ -110,10 +154,44 @@ def fit_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int =
             yield pa.record_batch([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()),
                                    pa.array([r[2] for r in rows], pa.list_(pa.float64()))], names=["id", "label", "x"])
 
-    train = materialize(training_rows(docs, labels, "quality", folds, fold, max_rows).mapInArrow(run, "id string, label int, x array<double>"), "quality-train")
-    rows = train.toPandas().sort_values("id")
-    x = np.array(rows["x"].tolist(), dtype=float).reshape(-1, N_FEATURES)
-    return fit_ranking(x, rows["label"].to_numpy(dtype=float), threshold)
+    train = materialize(training_rows(docs, labels, "quality", folds, fold, None).mapInArrow(run, "id string, label int, x array<double>"), "quality-train")
+    seen = {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_good, n_bad, total = seen.get(1, 0), seen.get(0, 0), sum(seen.values())
+    share = [float(q) for q in np.linspace(0, 1, bins + 1)[1:-1]]
+    found = exact_quantiles(train, {str(j): F.get("x", F.lit(j)) for j in range(N_FEATURES)}, share) if total else {}
+    edges = [np.unique(np.array(found[str(j)], dtype=float)) if total else np.zeros(0) for j in range(N_FEATURES)]
+    model = QualityModel(edges, np.zeros(sum(len(e) + 1 for e in edges)), 0.0, threshold)
+    if not n_good or not n_bad:
+        model.cut = -30.0 if n_good else 30.0
+        return model
+    pairs = materialize(preference_pairs(train, n_good, n_bad, min_pairs), "quality-pairs")
+    n_weights, tasks = len(model.weights), pairs.rdd.getNumPartitions()
+
+    def sums(w: np.ndarray) -> np.ndarray:
+        def add(batches):
+            import pyarrow as pa
+            from pyspark import TaskContext
+
+            both = np.zeros((n_weights + 1, n_weights))
+            for b in batches:
+                for start in range(0, b.num_rows, 4096):
+                    good, bad = (model.design(b.column(c).slice(start, 4096).flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES)) for c in (0, 1))
+                    both += _sums(good - bad, w)
+            yield pa.record_batch([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([both.tobytes()], pa.binary())], names=["node", "data"])
+
+        return tree_sum(pairs.mapInArrow(add, "node int, data binary"), tasks, n_weights)
+
+    model.weights = newton(sums, n_weights, l2, steps)
+
+    def raw(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.record_batch([pa.array(model.raw(b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, N_FEATURES)).astype(float))], names=["raw"])
+
+    scored = materialize(train.select("x").mapInArrow(raw, "raw double"), "quality-raw")
+    model.cut = float(exact_quantiles(scored, {"raw": F.col("raw")}, [n_bad / total])["raw"][0])
+    return model
 
 
 def score_column(model: QualityModel, text: Column | str) -> Column:
@@ -126,12 +204,12 @@ def score_column(model: QualityModel, text: Column | str) -> Column:
     return run(text)
 
 
-def quality(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, threshold: float = 0.3, max_rows: int = 20_000) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, threshold: float = 0.3) -> DataFrame:
     """(doc_id, held_out, score, predicted): one row per input row, repeated rows and null ids included.
 
     A null text is scored as an empty one.  Without labels of both kinds every document
     gets the only label's side.  There is no shuffle of the documents.
     """
-    model = fit_quality(docs, labels, folds, fold, threshold, max_rows)
+    model = fit_quality(docs, labels, folds, fold, threshold)
     rows = docs.select("doc_id", held_out(folds, fold).alias("held_out"), score_column(model, "text").alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

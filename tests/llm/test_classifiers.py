@@ -73,3 +73,23 @@ def test_features_of_a_long_unbroken_text_take_linear_time():
     for text in ("a" * 1_000_000, "A" * 1_000_000 + "b", "a1" * 300_000, "1" * 1_000_000 + "a"):
         assert len(toxicity.features(text, weights)) == toxicity.N_FEATURES
         assert len(quality.features(text)) == quality.N_FEATURES
+
+
+def test_quality_learns_from_every_labelled_document(spark):
+    """Edges, pairs and threshold of all rows, as of the arrays; more rows than a bounded sample would hold are all in a pair."""
+    docs = spark.range(0, 400).selectExpr("id as doc_id", "concat(repeat('word ', cast(1 + id % 37 as int)), if(id % 3 = 0, 'AB! #### ', 'plain text. '), cast(id as string)) as text")
+    labels = spark.range(0, 400).selectExpr("id as doc_id", "cast(id % 3 > 0 as int) as quality")
+    model = quality.fit_quality(docs, labels, min_pairs=2000)
+    kept = [r for r in docs.join(labels, "doc_id").collect() if zlib.crc32(str(r.doc_id).encode()) % 5]
+    kept.sort(key=lambda r: str(r.doc_id))
+    x, y = np.array([quality.features(r.text) for r in kept]), np.array([r.quality for r in kept], dtype=float)
+    want = quality.fit_ranking(x, y, min_pairs=2000)
+    assert all(np.allclose(a, b) for a, b in zip(model.edges, want.edges, strict=True))
+    np.testing.assert_allclose(model.weights, want.weights, atol=1e-3)
+    assert abs(model.cut - want.cut) < 1e-3
+    for good, bad in ((5, 3), (3, 5), (4, 4), (1, 7)):
+        train = spark.createDataFrame([(f"{k:03d}", int(k < good), [float(k)]) for k in range(good + bad)], "id string, label int, x array<double>")
+        rows = [(int(r.good[0]), int(r.bad[0]) - good) for r in quality.preference_pairs(train, good, bad, 17).collect()]
+        rounds, n = quality.paired(good, bad, 17)
+        assert sorted(rows) == sorted((t % good, (t + t // n) % bad) for t in range(rounds * n))
+        assert {g for g, _ in rows} == set(range(good)) and {b for _, b in rows} == set(range(bad))
