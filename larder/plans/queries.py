@@ -366,10 +366,15 @@ def q_pca_scores(spark, sf_dir):
     return RD.pca_scores(scaled, m)
 
 
+def content_matrix(spark, sf_dir):
+    """The content model with its matrix as a written table."""
+    cm = content_model(spark, sf_dir)
+    return cm, stage(spark, sf_dir, "content_matrix", lambda: materialize(cm.matrix))
+
+
 def svd_model(spark, sf_dir):
     def build():
-        cm = content_model(spark, sf_dir)
-        matrix = materialize(cm.matrix)
+        cm, matrix = content_matrix(spark, sf_dir)
         n_feat = cm.features.count()
         cands = RD.valid_svd_candidates(n_feat)
         model = RD.fit_svd(matrix, cm.n_docs, n_feat, max(cands))
@@ -460,7 +465,7 @@ def q_svd_score_norms(spark, sf_dir):
 @query("svd_power_sums")
 def q_svd_power_sums(spark, sf_dir):
     """M9 check: sums of powers of all eigenvalues, as shares of ``||X||²``, are the traces of the powers of ``XᵀX``."""
-    cm, matrix, _, _, _ = svd_model(spark, sf_dir)
+    cm, matrix = content_matrix(spark, sf_dir)
     f = cm.features.count()
     whole = RD.fit_svd(matrix, cm.n_docs, f, f)
     shares = whole.singular_values_sq / whole.frob_sq
@@ -477,7 +482,7 @@ def q_svd_reconstruction_sample(spark, sf_dir):
 @query("term_feature_association")
 def q_term_feature_association(spark, sf_dir):
     """For every numeric feature the terms whose weights go most with it and most against it."""
-    cm, matrix, _, _, _ = svd_model(spark, sf_dir)
+    cm, matrix = content_matrix(spark, sf_dir)
     scaled, pm = pca_model(spark, sf_dir)
     joined = matrix.join(scaled.withColumnRenamed("RecipeId", "id"), "id")
     sums = joined.groupBy("feature_index").agg(*(F.sum(F.col("value") * F.col(c)).alias(f"s{i}") for i, c in enumerate(pm.features)))
