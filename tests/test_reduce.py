@@ -163,3 +163,32 @@ def test_scores_shuffle_the_matrix_and_not_the_scores(spark):
     # the scores themselves are never exchanged
     plan = RD.svd_scores(matrix, ids, model, 3)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") - plan.count("ReusedExchange") == 1 and "Join" not in plan
+
+
+def test_narrow_blocks_take_fewer_columns_on_a_flat_spectrum(spark, monkeypatch):
+    """Many wanted components of a slowly falling spectrum: the columns multiplied by XᵀX stay few."""
+    monkeypatch.setattr(tall, "BLOCK", 8, raising=False)
+    monkeypatch.setattr(tall, "MAX_BLOCKS", 3)
+    taken, multiplied = [], tall._multiplied
+    monkeypatch.setattr(tall, "_multiplied", lambda state, step, blocks, q, *rest: taken.append(q) or multiplied(state, step, blocks, q, *rest))
+    rng = np.random.default_rng(11)
+    f, k = 300, 40
+    u, v = (np.linalg.qr(rng.standard_normal((f, f)))[0] for _ in range(2))
+    dense = u * (1.0 + 2.0 * np.exp(-np.arange(f) / 60.0)) @ v
+    rows = [(int(i), int(j), float(dense[i, j])) for i, j in zip(*np.nonzero(dense))]
+    model = RD.fit_svd(spark.createDataFrame(rows, "id long, feature_index int, value double"), f, f, k)
+    s = np.linalg.svd(dense, compute_uv=False)
+    np.testing.assert_allclose(model.singular_values_sq, s[:k] ** 2, rtol=1e-8)
+    assert sum(taken) < 600
+
+
+@pytest.mark.parametrize("levels", [(3.0, 2.0, 1.0), (2.0, 2.0, 2.0), (3.0, 1.0, 0.0)])
+def test_eigenvalues_more_often_than_a_block_is_wide(spark, monkeypatch, levels):
+    """Every copy of a repeated eigenvalue is found, though a block shows only as many as it is wide."""
+    monkeypatch.setattr(tall, "BLOCK", 6, raising=False)
+    values = np.repeat(levels, 20)
+    rows = [(i, i, float(x)) for i, x in enumerate(values)]
+    model = RD.fit_svd(spark.createDataFrame(rows, "id long, feature_index int, value double"), 60, 60, 30)
+    np.testing.assert_allclose(model.singular_values_sq, np.sort(values ** 2)[::-1][:30], atol=1e-7)
+    v = vectors_of(model, 60)
+    np.testing.assert_allclose(v.T @ v, np.eye(30), atol=1e-9)
