@@ -1,7 +1,7 @@
 """Dimensionality reduction (jobs 6-7): numeric PCA, content SVD, embeddings.
 
 PCA: the sample covariance of the scaled matrix is **one** distributed
-aggregate (``covar_samp`` per feature pair, d(d+1)/2 sums); its d x d
+pass (``functions.moments``, a d x d matrix of each task); its d x d
 eigen-decomposition runs on the driver (d = 15).  Scores are a projection.
 
 SVD: the content matrix stays sparse and long, V is a table of a row per
@@ -21,6 +21,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from larder.functions.moments import co_moments
 from larder.operators.tall import leading_vectors, row_products
 
 # ---------------------------------------------------------------------------
@@ -49,18 +50,9 @@ def fix_signs(components: np.ndarray) -> np.ndarray:
 
 def covariance_long(scaled: DataFrame, features: list[str]) -> DataFrame:
     """Sample covariance of every feature pair as ``(feature_i, feature_j, covariance)``."""
-    aggs, pairs = [], []
-    for i, a in enumerate(features):
-        for j in range(i, len(features)):
-            b = features[j]
-            aggs.append(F.covar_samp(a, b).alias(f"c_{i}_{j}"))
-            pairs.append((a, b, f"c_{i}_{j}"))
-            if i != j:
-                pairs.append((b, a, f"c_{i}_{j}"))
-    one = scaled.agg(*aggs)
-    return one.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("feature_i"), F.lit(b).alias("feature_j"), F.col(c).alias("covariance"))
-        for a, b, c in pairs])))
+    m = co_moments(scaled, features)
+    rows = [(a, b, m.covar_samp(i, j)) for i, a in enumerate(features) for j, b in enumerate(features)]
+    return scaled.sparkSession.createDataFrame(rows, "feature_i string, feature_j string, covariance double")
 
 
 @dataclass
@@ -84,23 +76,19 @@ class PCAModel:
 def fit_pca(scaled: DataFrame, features: list[str], target: float = PCA_TARGET_VARIANCE) -> PCAModel:
     """M6: full PCA from one covariance aggregate; k = first cumulative ratio >= target."""
     d = len(features)
-    aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(f).alias(f"m_{i}") for i, f in enumerate(features)]
-    for i in range(d):
-        for j in range(i, d):
-            aggs.append(F.covar_samp(features[i], features[j]).alias(f"c_{i}_{j}"))
-    row = scaled.agg(*aggs).first()
+    m = co_moments(scaled, features)
     cov = np.zeros((d, d))
     for i in range(d):
         for j in range(i, d):
-            cov[i, j] = cov[j, i] = row[f"c_{i}_{j}"]
+            cov[i, j] = cov[j, i] = m.covar_samp(i, j)
     vals, vecs = np.linalg.eigh(cov)
     order = np.argsort(vals)[::-1]
     vals = np.clip(vals[order], 0.0, None)
     comps = fix_signs(vecs[:, order].T)
     cum = np.cumsum(vals / vals.sum())
     k = int(np.searchsorted(cum, target - 1e-12) + 1)
-    mean = np.array([row[f"m_{i}"] for i in range(d)])
-    return PCAModel(list(features), int(row["n"]), mean, vals, comps, min(k, d))
+    mean = np.array([m.mean_of(i) for i in range(d)])
+    return PCAModel(list(features), scaled.count(), mean, vals, comps, min(k, d))
 
 
 def pca_explained(spark: SparkSession, model: PCAModel) -> DataFrame:
