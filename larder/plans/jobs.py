@@ -107,7 +107,7 @@ def run_numeric(spark: SparkSession, res: DataFrame, out_dir: str) -> tuple[Data
 def run_content(spark: SparkSession, res: DataFrame, docs: dict[str, DataFrame], sources: dict[str, str],
                 out_dir: str) -> C.ContentModel:
     """Job 5: long sparse matrix, feature dictionary, summaries, contract, record."""
-    cm = C.build_content(res.select("RecipeId"), docs, sources)
+    cm = C.build_content(res.select("RecipeId"), docs, sources, distinct=("ingredients", "keywords"))
     _write(cm.matrix.withColumnRenamed("id", "RecipeId"), out_dir, "content/matrix")
     _write(cm.features, out_dir, "content/features")
     _write(C.matrix_summary(spark, cm), out_dir, "content/summary")
@@ -175,7 +175,8 @@ def run_all(spark: SparkSession, sf_dir: str, out_dir: str) -> dict:
     run_audits(catalog, reviews, out_dir)
     run_token_audits(catalog, {"ingredients": ingredient_sets(spark, sf_dir), "keywords": keyword_sets(spark, sf_dir)}, out_dir)
     scaled, model = run_numeric(spark, res, out_dir)
-    docs, removed = content_docs(spark, sf_dir, res)
+    docs = content_docs(spark, sf_dir, res)
+    _, removed = C.keyword_documents(V.keywords(spark, sf_dir), "RecipeId", "keyword")
     _write(removed, out_dir, "content/removed_time_keywords")
     cm = run_content(spark, res, docs, CONTENT_SOURCES, out_dir)
     _write(K.id_alignment(res, scaled), out_dir, "content/id_alignment")

@@ -204,21 +204,19 @@ CONTENT_SOURCES = {"ingredients": "RecipeIngredientParts", "keywords": "Keywords
 
 
 def content_docs(spark, sf_dir, res):
-    kept, removed = C.keyword_documents(V.keywords(spark, sf_dir), "RecipeId", "keyword")
-    docs = {
-        "ingredients": C.ingredient_documents(V.ingredients(spark, sf_dir), "RecipeId", "ingredient"),
-        "keywords": kept,
+    """Token occurrences of every group; ingredients and keywords are made distinct by ``build_content``."""
+    return {
+        "ingredients": C.ingredient_tokens(V.ingredients(spark, sf_dir), "RecipeId", "ingredient"),
+        "keywords": C.keyword_tokens(V.keywords(spark, sf_dir), "RecipeId", "keyword"),
         "category": C.category_documents(res),
         "yield": C.yield_documents(res),
     }
-    return docs, removed
 
 
 def content_model(spark, sf_dir):
     def build():
         res = resolved(spark, sf_dir)
-        docs, _ = content_docs(spark, sf_dir, res)
-        return C.build_content(res.select("RecipeId"), docs, CONTENT_SOURCES)
+        return C.build_content(res.select("RecipeId"), content_docs(spark, sf_dir, res), CONTENT_SOURCES, distinct=("ingredients", "keywords"))
     return stage(spark, sf_dir, "content_model", build)
 
 
