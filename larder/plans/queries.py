@@ -765,7 +765,7 @@ def legacy_text(spark, sf_dir):
     def build():
         cat = V.catalog(spark, sf_dir)
         n = cat.count()
-        terms = materialize(LG.legacy_terms(V.ingredients(spark, sf_dir), "RecipeId", "ingredient"))
+        terms = materialize(LG.legacy_terms(V.ingredients(spark, sf_dir), "RecipeId", "ingredient", C.task_partitions(cat, n, C.TASK_ROWS // 4)))
         vocab = materialize(LG.legacy_vocabulary(terms, n))
         return n, terms, vocab
     return stage(spark, sf_dir, "legacy_text", build)
