@@ -7,6 +7,13 @@ values that reach the driver are model-sized aggregates (medians, caps,
 means, covariance / Gramian matrices bounded by the number of features).
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 from larder.session import get_spark, checkpoint_dir
 
+# the code of tasks travels with them: executors need no copy of the library
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = ["get_spark", "checkpoint_dir"]

@@ -55,3 +55,27 @@ def test_moments_of_columns_with_gaps(spark):
     assert m.covar_samp(0, 3) is want[6] is None and m.mean_of(3) is want[7] is None and m.extremes(3) == (None, None)
     empty = co_moments(df.where("false"), df.columns)
     assert empty.mean_of(0) is None and empty.covar_samp(0, 1) is None
+
+
+def test_clipped_values_of_odd_numbers(spark):
+    """Missing, NaN, infinite and invalid values take the median, itself clipped; others the cap at most."""
+    from larder.operators import numeric as N
+
+    odd = [None, float("nan"), float("inf"), float("-inf"), -1.0, -0.0, 0.0, 2.0, 5.0, 9.0]
+    df = spark.createDataFrame([(i, x, x) for i, x in enumerate(odd)], "RecipeId long, Calories double, ResolvedServings_imputed double")
+    m = N.NumericModel(["Calories", "ResolvedServings_imputed"])
+    for cap in (4.0, 7.0, None):
+        m.medians, m.caps = {f: 6.0 for f in m.features}, {f: cap for f in m.features}
+        got = {r["RecipeId"]: r for r in N.log_matrix(df, m).collect()}
+        for i, x in enumerate(odd):
+            for f, bad in (("Calories", lambda v: v < 0), ("ResolvedServings_imputed", lambda v: v <= 0)):
+                v = 6.0 if x is None or not np.isfinite(x) or bad(x) else x
+                np.testing.assert_allclose(got[i][f], np.log1p(v if cap is None else min(v, cap)), rtol=1e-14, atol=0)
+
+
+def test_task_code_needs_no_library(spark):
+    """Functions of tasks are pickled by value, as executors may not have the library."""
+    from pyspark import cloudpickle
+    from larder.functions import moments
+
+    assert b"apart" in cloudpickle.dumps(moments._merged)
