@@ -12,6 +12,12 @@ def held_out(folds: int, fold: int) -> Column:
     return F.coalesce(F.pmod(crc, F.lit(folds)) == fold, F.lit(False))
 
 
+def known_labels(labels: DataFrame, label: str, folds: int, fold: int) -> DataFrame:
+    """(doc_id, label) outside the held-out fold; null ids and labels are left out, an id labelled twice has its larger label."""
+    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).dropna().where(~held_out(folds, fold))
+    return known.groupBy("doc_id").agg(F.max("label").alias("label"))
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, max_rows: int | None) -> DataFrame:
     """(doc_id, text, label) of labelled documents outside the held-out fold.
 
@@ -21,8 +27,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, fo
     labels are left out; an id labelled twice has its larger label, a document id that
     repeats counts once.
     """
-    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).dropna().where(~held_out(folds, fold))
-    known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
+    known = known_labels(labels, label, folds, fold)
     if max_rows is None:
         rows = docs.select("doc_id", "text").join(known, "doc_id")
         return rows.groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), F.max("label").alias("label"))

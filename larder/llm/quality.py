@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from larder.functions.quantiles import exact_quantiles
 from larder.llm.common import materialize, text_rows
-from larder.llm.labelled import held_out, training_rows
+from larder.llm.labelled import held_out, known_labels, training_rows
 from larder.operators.tall import tree_sum
 from larder.plans.partitioning import dense_index
 
@@ -74,7 +74,9 @@ class QualityModel:
         return self.design(x) @ self.weights
 
     def scores(self, texts) -> np.ndarray:
-        x = np.array([features(t or "") for t in texts], dtype=float).reshape(-1, N_FEATURES)
+        return self.scores_of(np.array([features(t or "") for t in texts], dtype=float).reshape(-1, N_FEATURES))
+
+    def scores_of(self, x: np.ndarray) -> np.ndarray:
         level = math.log(self.threshold / (1 - self.threshold))
         return 1 / (1 + np.exp(-np.clip(self.raw(x) - self.cut + level, -30, 30)))
 
@@ -138,23 +140,55 @@ def preference_pairs(train: DataFrame, n_good: int, n_bad: int, min_pairs: int)
     return side(1, n_bad, n_good, 0, "good").join(side(0, 0, n_bad, 1, "bad"), ["r", "i"]).select("good", "bad")
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, threshold: float = 0.3, bins: int = 8,
-                min_pairs: int = 20_000, l2: float = 1.0, steps: int = 12) -> QualityModel:
-    """A ranking from all labelled documents outside the held-out fold.
+def document_features(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest, x): the features of every document, and a digest that tells different texts apart.
 
-    Bin edges and the threshold are exact quantiles over all of them, every one is in a preference
-    pair, and every step adds up all pairs in the tasks; the driver gets matrices of the number of
-    weights only.
+    One pass over the scan.  What comes after works on these rows, so no text is shuffled or sorted.
     """
     def run(batches):
         import pyarrow as pa
+        import xxhash
 
         for b in batches:
-            rows = [(str(doc), label, features(text)) for text, label, doc in text_rows(b, "text", "label", "doc_id")]
-            yield pa.record_batch([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()),
-                                   pa.array([r[2] for r in rows], pa.list_(pa.float64()))], names=["id", "label", "x"])
+            digests, rows = [], []
+            for (text,) in text_rows(b, "text"):
+                text = text or ""
+                digests.append(xxhash.xxh3_128_digest(text.encode("utf-8", "replace")))
+                rows.append(features(text))
+            yield pa.record_batch([b.column(b.schema.get_field_index("doc_id")), pa.array(digests, pa.binary()), pa.array(rows, pa.list_(pa.float64()))],
+                                  names=["doc_id", "digest", "x"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return materialize(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, digest binary, x array<double>"), "quality-features")
+
+
+def training_features(docs: DataFrame, featured: DataFrame, labels: DataFrame, folds: int, fold: int) -> DataFrame:
+    """(id, label, x) of labelled documents outside the held-out fold, each id once.
+
+    Ids that repeat with different texts take the smallest text (``training_rows``); only the
+    texts of such ids are shuffled.
+    """
+    joined = featured.join(known_labels(labels, "quality", folds, fold), "doc_id")
+    per = materialize(joined.groupBy("doc_id").agg(F.max("label").alias("label"), F.any_value("x").alias("x"),
+                                                   (F.min("digest") != F.max("digest")).alias("differ")), "quality-labelled")
+    one = per.where("not differ").select(F.col("doc_id").cast("string").alias("id"), "label", "x")
+    differ = materialize(per.where("differ").select("doc_id"), "quality-differ")
+    if differ.isEmpty():
+        return one
+    texts = training_rows(docs.join(differ, "doc_id", "left_semi"), labels, "quality", folds, fold, None)
+    smallest = document_features(texts).join(per.select("doc_id", "label"), "doc_id").select(F.col("doc_id").cast("string").alias("id"), "label", "x")
+    return materialize(one.unionAll(smallest), "quality-train")
+
 
-    train = materialize(training_rows(docs, labels, "quality", folds, fold, None).mapInArrow(run, "id string, label int, x array<double>"), "quality-train")
+def fit_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, threshold: float = 0.3, bins: int = 8,
+                min_pairs: int = 20_000, l2: float = 1.0, steps: int = 12, featured: DataFrame | None = None) -> QualityModel:
+    """A ranking from all labelled documents outside the held-out fold.
+
+    Bin edges and the threshold are exact quantiles over all of them, every one is in a preference
+    pair, and every step adds up all pairs in the tasks; the driver gets matrices of the number of
+    weights only.  ``featured`` are the rows of ``document_features`` where they are at hand.
+    """
+    train = training_features(docs, document_features(docs) if featured is None else featured, labels, folds, fold)
     seen = {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_good, n_bad, total = seen.get(1, 0), seen.get(0, 0), sum(seen.values())
     share = [float(q) for q in np.linspace(0, 1, bins + 1)[1:-1]]
@@ -204,12 +238,24 @@ def score_column(model: QualityModel, text: Column | str) -> Column:
     return run(text)
 
 
+def feature_score_column(model: QualityModel, x: Column | str) -> Column:
+    """The score of a column of features (``document_features``), 0 to 1."""
+    @F.pandas_udf("double")
+    def run(rows: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in rows:
+            yield pd.Series(model.scores_of(np.array(part.tolist(), dtype=float).reshape(-1, N_FEATURES)))
+
+    return run(x)
+
+
 def quality(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, threshold: float = 0.3) -> DataFrame:
     """(doc_id, held_out, score, predicted): one row per input row, repeated rows and null ids included.
 
     A null text is scored as an empty one.  Without labels of both kinds every document
-    gets the only label's side.  There is no shuffle of the documents.
+    gets the only label's side.  The features of a text are computed once, for the fit and
+    for its score; the texts are not shuffled.
     """
-    model = fit_quality(docs, labels, folds, fold, threshold)
-    rows = docs.select("doc_id", held_out(folds, fold).alias("held_out"), score_column(model, "text").alias("score"))
+    featured = document_features(docs)
+    model = fit_quality(docs, labels, folds, fold, threshold, featured=featured)
+    rows = featured.select("doc_id", held_out(folds, fold).alias("held_out"), feature_score_column(model, "x").alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -93,3 +93,21 @@ def test_quality_learns_from_every_labelled_document(spark):
         rounds, n = quality.paired(good, bad, 17)
         assert sorted(rows) == sorted((t % good, (t + t // n) % bad) for t in range(rounds * n))
         assert {g for g, _ in rows} == set(range(good)) and {b for _, b in rows} == set(range(bad))
+
+
+def test_quality_shuffles_no_text(spark, monkeypatch):
+    """Features come from one pass over the documents; texts are sorted only for ids that repeat with different ones."""
+    asked, rows_of = [], quality.training_rows
+    monkeypatch.setattr(quality, "training_rows", lambda docs, *a: asked.append(sorted(r.doc_id for r in docs.collect())) or rows_of(docs, *a))
+    rows = [(k, f"text of {k} " + "word " * (k % 7)) for k in range(40)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, quality int")
+    kind = "doc_id long, text string"
+    docs = spark.createDataFrame([*rows, rows[3], rows[3]], kind)
+    train = {r.id: r.x for r in quality.training_features(docs, quality.document_features(docs), labels, 5, 0).collect()}
+    assert not asked and len(train) == sum(zlib.crc32(str(k).encode()) % 5 != 0 for k in range(40))
+    other = next(k for k in range(40) if zlib.crc32(str(k).encode()) % 5)
+    docs = spark.createDataFrame([*rows, (other, "a smaller text"), (other, None)], kind)
+    got = {r.id: r.x for r in quality.training_features(docs, quality.document_features(docs), labels, 5, 0).collect()}
+    assert asked == [[other] * 3] and got == {**train, str(other): quality.features("")}
+    scored = quality.quality(docs, labels)
+    assert scored.count() == 42 and "text" not in scored._jdf.queryExecution().analyzed().toString()
