@@ -13,7 +13,6 @@ accepts name them, so a lost executor leaves at most files that nothing refers t
 
 from __future__ import annotations
 
-import os
 import uuid
 from urllib.parse import quote, unquote
 
@@ -21,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larder.llm.common import materialize, numbered
-from larder.plans.materialize import _track
-from larder.session import checkpoint_dir
+from larder.plans.materialize import new_folder
+from larder.plans.materialize import opened as _open
 
 #: Payloads shorter than this are stored in full however often they occur.
 MIN_REVISIT_BYTES = 1000
@@ -37,24 +36,6 @@ HTTP = "application/http; msgtype=response"
 MAX_HEADER = 1 << 20
 
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    """The URI of a new folder under the session's shared folder."""
-    path = _track(os.path.join(checkpoint_dir(spark), f"larder-{name}-{uuid.uuid4().hex}"))
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    uri = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(at).toString()
-    return "file://" + uri[5:] if uri.startswith("file:/") and not uri.startswith("file://") else uri
-
-
-def _open(folder: str):
-    """(file system, path) of a folder's URI, which is made if need be."""
-    from pyarrow import fs
-
-    store, path = fs.FileSystem.from_uri(folder)
-    store.create_dir(path, recursive=True)
-    return store, path
-
-
 def _uri(text: str) -> str:
     """A header value: control characters, blanks and non-ASCII as percent codes."""
     return "".join(c if "\x21" <= c <= "\x7e" else "".join(f"%{b:02X}" for b in c.encode("utf-8", "replace")) for c in text)
